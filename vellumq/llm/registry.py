@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from vellumq.llm import decontaminate, jaccard
+from vellumq.llm import decontaminate, jaccard, packing, toxicity
 
 QUERIES = {
+    "op1_packing": packing.op1_packing,
+    "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
 }
