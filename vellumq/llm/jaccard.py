@@ -294,7 +294,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key")
     texts = documents.select(key, "text").filter("text is not null")
     first = members.select(key, "digest", of, F.lit(True).alias("base"), F.col("digest").alias("class"))
-    links = shared.written(linked(texts.join(first, "key").select("part", "digest", "base", "class", "text"), k, percent), "links")
+    links = shared.written(linked(texts.join(first.hint("merge"), "key").select("part", "digest", "base", "class", "text"), k, percent), "links")
     large = members.filter("blocks > 1")
     if not large.isEmpty():
         inside = components(links, "inside").withColumnRenamed("node", "digest").withColumnRenamed("component", "class")
@@ -302,7 +302,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1
         top = large.groupBy("component", "class").count().groupBy("component").agg(F.max_by("class", F.struct("count", "class")).alias("top"))
         other = large.join(top, "component").filter("class <> top").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         across = large.select(key, "digest", of, F.lit(True).alias("base"), "class").unionByName(other.filter("to <> block").select(key, "digest", F.xxhash64("component", "to").alias("part"), F.lit(False).alias("base"), "class"))
-        links = links.unionByName(linked(texts.join(across, "key").select("part", "digest", "base", "class", "text"), k, percent))
+        links = links.unionByName(linked(texts.join(across.hint("merge"), "key").select("part", "digest", "base", "class", "text"), k, percent))
     joined = components(links, "joined").withColumnRenamed("node", "digest")
     nodes = nodes.join(joined, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
     named = nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
