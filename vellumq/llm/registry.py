@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from vellumq.llm import decontaminate, jaccard, packing, toxicity
+from vellumq.llm import decontaminate, jaccard, neighbours, packing, quality, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
+    "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
+    "op10_quality": quality.op10_quality,
 }
 
 ORACLES = {
