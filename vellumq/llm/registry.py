@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from vellumq.llm import decontaminate, jaccard, neighbours, packing, quality, toxicity
+from vellumq.llm import chat, decontaminate, jaccard, neighbours, packing, quality, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": decontaminate.op5_decontamination,
+    "op6_secret_scan": secrets.op6_secret_scan,
+    "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_quality": quality.op10_quality,
@@ -15,5 +17,7 @@ QUERIES = {
 
 ORACLES = {
     "op5_decontamination": decontaminate.ORACLE_SQL,
+    "op6_secret_scan": secrets.ORACLE_SQL,
+    "op7_chat_formatting": chat.ORACLE_SQL,
     "op8_ngram_jaccard_join": jaccard.ORACLE_SQL,
 }
