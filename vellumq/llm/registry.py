@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from vellumq.llm import chat, decontaminate, jaccard, neighbours, packing, quality, secrets, toxicity
+from vellumq.llm import chat, decontaminate, jaccard, neighbours, packing, private, quality, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
+    "op2_personal_data": private.op2_personal_data,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_secret_scan": secrets.op6_secret_scan,
