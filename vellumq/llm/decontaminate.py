@@ -22,7 +22,6 @@ are not read.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -307,8 +306,11 @@ def proximity(documents: DataFrame, phrases: list[str], slop: int = 5) -> DataFr
     return index.mapInArrow(look, "doc_id bigint, phrase string, position bigint").distinct()
 
 
-def digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
+def cleaned(documents: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """The rows, with all their columns, that hold no window of the items. Rows are known by a hash of doc_id and text."""
+    key = F.xxhash64("doc_id", "text")
+    hit = contamination(documents.select(key.alias("doc_id"), "text"), benchmark, size).filter("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct()
+    return documents.withColumn("__key", key).join(hit.hint("merge"), "__key", "left_anti").select(*documents.columns)
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -48,14 +48,14 @@ def _digest(own: np.ndarray) -> int:
 
 
 def described(documents: DataFrame, k: int) -> DataFrame:
-    """doc_id, n (size of the set), digest (null of an empty set) of each row."""
+    """doc_id, hash (of the text), n (size of the set), digest (null of an empty set) of each row."""
 
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in words.pieces(batches, "text"):
             sets = list(words.shingle_sets(part.column("text"), k))
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array([len(x) for x in sets], pa.int64()), pa.array([_digest(x) if len(x) else None for x in sets], pa.int64())], names=["doc_id", "n", "digest"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), part.column("hash"), pa.array([len(x) for x in sets], pa.int64()), pa.array([_digest(x) if len(x) else None for x in sets], pa.int64())], names=["doc_id", "hash", "n", "digest"])
 
-    return documents.select("doc_id", "text").mapInArrow(describe, "doc_id bigint, n bigint, digest bigint")
+    return documents.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(describe, "doc_id bigint, hash bigint, n bigint, digest bigint")
 
 
 def apart(n: int, percent: int) -> int:
@@ -281,7 +281,7 @@ def linked(rows: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1 << 19) -> DataFrame:
-    """doc_id, n_shingles, digest, component_id of each row."""
+    """doc_id, hash of the text, n_shingles, digest of the set, class (a digest), component_id (its least doc_id) of each row."""
     documents = documents.select("doc_id", "text")
     rows = shared.written(described(documents, k), "sets")
     nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
@@ -304,10 +304,27 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1
         across = large.select(key, "digest", of, F.lit(True).alias("base"), "class").unionByName(other.filter("to <> block").select(key, "digest", F.xxhash64("component", "to").alias("part"), F.lit(False).alias("base"), "class"))
         links = links.unionByName(linked(texts.join(across.hint("merge"), "key").select("part", "digest", "base", "class", "text"), k, percent))
     joined = components(links, "joined").withColumnRenamed("node", "digest")
-    nodes = nodes.join(joined, "digest", "left").withColumn("component", F.coalesce("component", "digest"))
-    named = nodes.groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    named = nodes.join(named, "component").select("digest", "component_id")
-    return rows.join(named, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), "digest", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    nodes = nodes.join(joined, "digest", "left").withColumn("class", F.coalesce("component", "digest"))
+    named = nodes.groupBy("class").agg(F.min("doc_id").alias("component_id"))
+    named = nodes.join(named, "class").select("digest", "class", "component_id")
+    name = F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    return rows.join(named, "digest", "left").select("doc_id", "hash", F.col("n").alias("n_shingles"), "digest", "class", name)
+
+
+def deduplicated(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The rows, with all their columns, without near copies: of each class the row with the least doc_id (nulls last), then the least hash of the text, stays.
+
+    Texts without shingles are linked with nothing and stay.
+    """
+    key = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("__key")
+    each = classes(documents, k, percent).filter("class is not null").groupBy("class", key, F.col("hash").alias("__hash")).agg(F.count("*").alias("n"))
+    order = F.struct("__key", "__hash")
+    first = each.groupBy("class").agg(F.min(order).alias("first"))
+    mark = F.when(F.col("first") != order, "drop").when(F.col("n") > 1, "once")
+    marks = shared.written(each.join(first, "class").select("__key", "__hash", mark.alias("__mark")).filter("__mark is not null"), "marks")
+    rows = documents.select("*", key, F.xxhash64("text").alias("__hash")).join(marks.hint("merge"), ["__key", "__hash"], "left")
+    once = rows.filter("__mark = 'once'").dropDuplicates(["__key", "__hash"])
+    return rows.filter("__mark is null").unionByName(once).select(*documents.columns)
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:

@@ -149,26 +149,48 @@ def train(sample: DataFrame, bits: int = 20, epochs: int = 8, least: int = 2, ma
     return np.array(row[0], np.int64), np.array(row[1], np.float64), row[2]
 
 
+class Scorer:
+    """Scores of texts by a model of train()."""
+
+    def __init__(self, model: tuple[np.ndarray, np.ndarray, float], bits: int):
+        places, weights, self.bias = model
+        self.bits, self.size = bits, KINDS << bits
+        self.table = np.zeros(self.size, np.float32)
+        self.table[places] = weights
+
+    def __call__(self, texts: pa.Array) -> np.ndarray:
+        text, place = features(texts, self.bits)
+        hit = np.flatnonzero(self.table[place])
+        both = np.unique(text[hit] * self.size + place[hit])
+        total = np.full(len(texts), self.bias)
+        np.add.at(total, both // self.size, self.table[both % self.size])
+        return 1 / (1 + np.exp(-np.clip(total, -35, 35)))
+
+
 def scored(documents: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bits: int = 20) -> DataFrame:
     """doc_id, score of every row."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    size = KINDS << bits
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places, weights, bias = sent.value
-        table = np.zeros(size, np.float32)
-        table[places] = weights
+        scorer = Scorer(sent.value, bits)
         for part in words.pieces(batches, "text"):
-            text, place = features(part.column("text"), bits)
-            hit = np.flatnonzero(table[place])
-            both = np.unique(text[hit] * size + place[hit])
-            total = np.full(part.num_rows, bias)
-            np.add.at(total, both // size, table[both % size])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(1 / (1 + np.exp(-np.clip(total, -35, 35))))], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(scorer(part.column("text")))], names=["doc_id", "score"])
 
     return documents.select("doc_id", "text").mapInArrow(score, "doc_id bigint, score double")
 
 
+def kept(documents: DataFrame, labels: DataFrame, training: Column, threshold: float = 0.7, fit_rows: int = 20_000, fit_chars: int = 60_000_000, bits: int = 20) -> DataFrame:
+    """The rows, with all their columns, whose score is below the threshold."""
+    sent = documents.sparkSession.sparkContext.broadcast(train(labelled(documents, labels, "toxic", training, fit_rows, fit_chars), bits))
+
+    def choose(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value, bits)
+        for part in words.pieces(batches, "text"):
+            yield part.filter(pa.array(scorer(part.column("text")) < threshold))
+
+    return documents.mapInArrow(choose, documents.schema)
+
+
 def toxicity(documents: DataFrame, labels: DataFrame, training: Column, fit_rows: int = 20_000, fit_chars: int = 60_000_000, bits: int = 20) -> DataFrame:
     """doc_id, score (0 to 1) of every document, learnt from the labelled rows that training selects."""
     model = train(labelled(documents, labels, "toxic", training, fit_rows, fit_chars), bits)
