@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from vellumq.llm import chat, decontaminate, jaccard, neighbours, packing, private, quality, secrets, toxicity
+from vellumq.llm import chat, decontaminate, jaccard, neighbours, packing, private, quality, repeats, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
     "op2_personal_data": private.op2_personal_data,
+    "op3_repeated_passages": repeats.op3_repeated_passages,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_secret_scan": secrets.op6_secret_scan,
@@ -17,6 +18,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op3_repeated_passages": repeats.ORACLE_SQL,
     "op5_decontamination": decontaminate.ORACLE_SQL,
     "op6_secret_scan": secrets.ORACLE_SQL,
     "op7_chat_formatting": chat.ORACLE_SQL,
