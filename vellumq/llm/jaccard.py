@@ -5,32 +5,28 @@ The result is each document's class: the component of the links, named by its le
 
 1. ``described`` gives each document the size and a digest of its set. Equal sets are one node
    from here on, however many copies there are.
-2. All sets are ordered by shingle hash. ``paths`` cuts that order into P ranges; the shingles of a
-   set within one range are the first path of the set in a tree that begins at this range. Sets that
-   link differ in at most D shingles, P - D of the ranges hold equal paths, so that linked sets
-   share a first path in one of the trees (rotations of one order). P and D follow from the set's
-   size class; a set is in the trees of its own and the next smaller class, as linked sets are in
-   the same class or in neighbouring ones. A path in an empty range says nothing: P has spare ranges
-   for them, and a set with more empty ranges than that is filed under its empty ranges too.
-3. Sets under one path are chained, not paired: neighbours in digest order make an edge. Components
-   of these edges hold all links, and nothing but their members goes on.
-4. ``Tree`` stores the members' shingles, ordered from the commonest to the rarest, in a prefix tree
-   with compressed paths. A set traverses it once: nodes share the partial overlap, a subtree
-   goes when the overlap so far plus what can remain of either side is too little, and when all below
-   is already in the set's component. Only spanning links leave the task.
-5. A component of more than ``block`` shingles is split into blocks by digest. Members outside the
+2. A set that links has at most n - percent/100 * n shingles that no other set has (``spare``). ``thinned`` gives the
+   shingles with the least hashes, twice as many as may be alone; a set of which too many are alone goes. This is exact, and few sets are left.
+3. ``common`` gives of the sets that are left all shingles that several hold, with the number of holders: the global
+   order is from the rarest to the commonest, then by hash. ``ordered`` puts each set in that order; sets with too many lone shingles go.
+4. Two sets that link share one of their first spare + 1 shingles in that order. Sets under one such shingle are
+   chained in the order of their sizes, not paired (``chained``); components of these chains hold all links.
+5. ``Tree`` stores the globally ordered sets of a component in a prefix tree with compressed paths. A set traverses it once: nodes share the
+   partial overlap, a subtree goes when the overlap so far plus what can remain on either side is too little, and when all below
+   is already in the set's class. Only spanning links leave the task.
+6. A component of more than ``block`` shingles is split into blocks by digest. Members outside the
    largest class found then traverse the trees of all other blocks: a pair within the largest class needs no
    more links, and every other pair is compared.
 
+Rows of one shingle stream through a task in order, with a bounded number held back, so that a shingle of a third of all documents needs no memory.
+
 Defined results: empty or null texts have n_shingles 0 and their own doc_id as class; repeated rows give
-repeated rows; a null doc_id is never a name if the class has another; empty tables give empty results; extra
+repeated rows; a null doc_id is never a name if the class has another; empty tables give no rows; extra
 columns are not read.
 """
 
 from __future__ import annotations
 
-import functools
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -58,96 +54,151 @@ def described(documents: DataFrame, k: int) -> DataFrame:
     return documents.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(describe, "doc_id bigint, hash bigint, n bigint, digest bigint")
 
 
-def apart(n: int, percent: int) -> int:
-    """Most shingles that are in one only of two linked sets, the smaller of at most n."""
-    return (n + 100 * n // percent) * (100 - percent) // (100 + percent)
+def spare(n: int, percent: int) -> int:
+    """Most shingles of a set of n that a linked set lacks."""
+    return n - (percent * n + 99) // 100
 
 
-@functools.cache
-def size_class(c: int, percent: int) -> tuple[int, int]:
-    """Least size of class c and of the next: linked sets are in one class or in neighbouring ones."""
-    least = 1 if c == 0 else size_class(c - 1, percent)[1]
-    return least, 100 * least // percent + 1
+def drawn(n: int, percent: int) -> int:
+    """How many of n shingles are looked at first."""
+    return min(n, max(spare(n, percent) + 1, (2 * (100 - percent) * n + 99) // 100))
 
 
-@functools.cache
-def ranges(c: int, percent: int) -> tuple[int, np.ndarray] | None:
-    """Spare ranges, and the bounds of all ranges, for links whose smaller set is of class c; None: only equal sets link."""
-    least, after = size_class(c, percent)
-    differ = apart(after - 1, percent)
-    if not differ:
-        return None
-    spare = 1
-    for _ in range(20):
-        empty = (differ + 1 + spare) * math.exp(-least / (differ + 1 + spare))
-        spare = math.ceil(empty + 4 * math.sqrt(empty))
-    p = differ + 1 + spare
-    return spare, np.array([(i << 64) // p for i in range(1, p)], np.uint64)
+def _spare_column(percent: int):
+    return F.col("n") - F.expr(f"({percent} * n + 99) div 100")
 
 
-def _class_of(n: int, percent: int, known: list[int]) -> int:
-    while not known or known[-1] <= n:
-        known.append(size_class(len(known), percent)[1])
-    return int(np.searchsorted(known, n, "right"))
+def _drawn_column(percent: int):
+    return F.least("n", F.greatest(_spare_column(percent) + 1, F.expr(f"({2 * (100 - percent)} * n + 99) div 100")))
 
 
-def paths(documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """path, digest: the first paths of each set in the trees where links may be found."""
+ROWS = "shingle bigint, digest bigint, n int"
 
-    def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: list[int] = []
-        for part in words.pieces(batches, "text"):
-            found, of, seen = [], [], set()
-            for own in words.shingle_sets(part.column("text"), k):
-                if not len(own) or (digest := _digest(own)) in seen:
-                    continue
-                seen.add(digest)
-                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words.mix(own ^ np.uint64(0x5851F42D4C957F2D)))))
-                c = _class_of(len(own), percent, known)
-                for tree in (c, c - 1):
-                    if tree < 0 or not (cut := ranges(tree, percent)):
-                        continue
-                    edge = np.concatenate(([0], np.searchsorted(own, cut[1]), [len(own)]))
-                    full = edge[1:] > edge[:-1]
-                    path = sums[edge[1:]] - sums[edge[:-1]] + np.arange(len(full), dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93) + words.mix(np.array([tree]))
-                    if np.count_nonzero(~full) <= cut[0]:
-                        path = path[full]
-                    found.append(path)
-                    of.append(np.full(len(path), digest, np.int64))
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(words.mix(np.concatenate(found)).view(np.int64)), pa.array(np.concatenate(of))], names=["path", "digest"])
-
-    return documents.select("text").mapInArrow(emit, "path bigint, digest bigint")
-
-
-def chained(rows: DataFrame) -> DataFrame:
-    """Edges (a, b) between neighbouring distinct digests of one path; rows stream, a large group needs no memory."""
+
+def _emitted(texts: Iterable[pa.RecordBatch], k: int, take, wanted: str | None = None) -> Iterator[pa.RecordBatch]:
+    for part in words.pieces(texts, "text"):
+        found, of, size, seen = [], [], [], set()
+        wants = part.column(wanted).to_pylist() if wanted else [None] * part.num_rows
+        for own, want in zip(words.shingle_sets(part.column("text"), k), wants, strict=True):
+            if not len(own) or (digest := _digest(own)) in seen or want not in (None, digest):
+                continue
+            seen.add(digest)
+            found.append(own[: take(len(own))])
+            of.append(digest)
+            size.append(len(own))
+        if found:
+            each = [len(x) for x in found]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(of, np.int64), each)), pa.array(np.repeat(np.array(size, np.int32), each))], names=["shingle", "digest", "n"])
+
+
+def thinned(documents: DataFrame, k: int, percent: int) -> DataFrame:
+    """shingle, digest, n: of each set the shingles with the least hashes."""
+    return documents.select("text").mapInArrow(lambda batches: _emitted(batches, k, lambda n: drawn(n, percent)), ROWS)
+
+
+def whole(texts: DataFrame, k: int) -> DataFrame:
+    """shingle, digest, n of all shingles of the texts whose set has the wanted digest; texts: text, digest."""
+    return texts.select("text", "digest").mapInArrow(lambda batches: _emitted(batches, k, lambda n: n, "digest"), ROWS)
+
+
+def common(rows: DataFrame, most: int = 1024) -> DataFrame:
+    """shingle, digest, n, holders (at most ``most``) of the shingles that several sets hold."""
+
+    def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        told = None  # a shingle of ``most`` holders or more, some of whose rows are out, and the last of these holders
+        for batch in batches:
+            shingle, digest, n = (np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True))
+            fresh = np.ones(len(shingle), bool)  # equal rows, of copies, count once
+            fresh[1:] = (shingle[1:] != shingle[:-1]) | (digest[1:] != digest[:-1])
+            if told and len(shingle) and (shingle[0], digest[0]) == told:
+                fresh[0] = False
+            shingle, digest, n = shingle[fresh], digest[fresh], n[fresh]
+            new = np.concatenate((np.ones(min(1, len(shingle)), bool), shingle[1:] != shingle[:-1]))
+            first = np.flatnonzero(new)
+            holders = np.minimum(np.diff(np.append(first, len(shingle))), most)
+            if told and len(shingle) and shingle[0] == told[0]:
+                holders[0] = most
+            end = len(shingle)
+            if len(first) and holders[-1] < most:  # may go on: held back
+                end = first[-1]
+            if len(shingle) and end == len(shingle):
+                told = (shingle[-1], digest[-1])
+            out = np.repeat(holders, np.diff(np.append(first, len(shingle))))[:end]
+            several = np.flatnonzero(out > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(shingle[several]), pa.array(digest[several]), pa.array(n[several]), pa.array(out[several].astype(np.int32))], names=["shingle", "digest", "n", "holders"])
+            held = [shingle[end:], digest[end:], n[end:]]
+        shingle = held[0]
+        if len(shingle) > 1:  # one shingle, of several sets
+            yield pa.RecordBatch.from_arrays([*map(pa.array, held), pa.array(np.full(len(shingle), len(shingle), np.int32))], names=["shingle", "digest", "n", "holders"])
+
+    return rows.repartition("shingle").sortWithinPartitions("shingle", "digest").mapInArrow(keep, ROWS + ", holders int")
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """digest, n, several: how many of a set's rows other sets hold too. Summed within each task before the shuffle."""
+    return rows.groupBy("digest", "n").agg(F.count("*").alias("several"))
+
+
+def ordered(rows: DataFrame, percent: int) -> DataFrame:
+    """digest, n, shingles: each set's shared shingles in the global order, sets with too many lone ones left out."""
+
+    def put(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)]
+
+        def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+            digest, n, shingle = columns
+            first = np.flatnonzero(np.concatenate(([True], digest[1:] != digest[:-1])))
+            each = np.diff(np.append(first, len(digest)))
+            size = n[first].astype(np.int64)
+            ok = size - each <= size - (percent * size + 99) // 100
+            sets = pa.ListArray.from_arrays(pa.array(np.append(first, len(digest)).astype(np.int32)), pa.array(shingle))
+            return pa.RecordBatch.from_arrays([pa.array(digest[first]), pa.array(n[first]), sets], names=["digest", "n", "shingles"]).filter(pa.array(ok))
+
+        for batch in batches:
+            rows = [np.concatenate((h, batch.column(c).to_numpy())) for h, c in zip(held, ("digest", "n", "shingle"), strict=True)]
+            if not len(rows[0]):
+                continue
+            last = int(np.searchsorted(rows[0], rows[0][-1]))  # ascending: the last set may go on
+            if last:
+                yield out([x[:last] for x in rows])
+            held = [x[last:] for x in rows]
+        if len(held[0]):
+            yield out(held)
+
+    return rows.repartition("digest").sortWithinPartitions("digest", "holders", "shingle").mapInArrow(put, "digest bigint, n int, shingles array<bigint>")
+
+
+def chained(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b) between sets that follow each other, by size, under one of their first shingles and whose sizes may link."""
+    first = F.slice("shingles", 1, (_spare_column(percent) + 1 - (F.col("n") - F.size("shingles"))).cast("int"))
+    rows = sets.select(F.explode(first).alias("shingle"), F.col("n").cast("int").alias("n"), "digest")
 
     def chain(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        last = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
         for batch in batches:
-            path, digest = (np.concatenate((x, batch.column(i).to_numpy())) for i, x in enumerate(last))
-            link = (path[1:] == path[:-1]) & (digest[1:] != digest[:-1])
+            shingle, n, digest = (np.concatenate((x, c.to_numpy().astype(np.int64))) for x, c in zip(last, batch.columns, strict=True))
+            link = (shingle[1:] == shingle[:-1]) & (100 * n[:-1] >= percent * n[1:])
             pairs = np.unique(np.stack((np.minimum(digest[1:], digest[:-1])[link], np.maximum(digest[1:], digest[:-1])[link])), axis=1)
-            last = (path[-1:], digest[-1:])
+            last = (shingle[-1:], n[-1:], digest[-1:])
             yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
 
-    return rows.repartition("path").sortWithinPartitions("path", "digest").mapInArrow(chain, "a bigint, b bigint")
+    return rows.repartition("shingle").sortWithinPartitions("shingle", "n", "digest").mapInArrow(chain, "a bigint, b bigint")
 
 
 class Node:
-    __slots__ = ("segment", "kids", "least", "most", "depth", "ends", "member", "mixed")
+    __slots__ = ("segment", "kids", "least", "longest", "depth", "ends", "member", "mixed")
 
-    def __init__(self, segment: np.ndarray, depth: int, size: int, member: int):
+    def __init__(self, segment: np.ndarray, depth: int, least: int, longest: int, member: int):
         self.segment, self.depth = segment, depth  # depth: shingles from the root to the segment's end
         self.kids: dict[int, Node] = {}
-        self.least = self.most = size
+        self.least, self.longest = least, longest  # least size, and most stored shingles, of the sets below
         self.ends: list[int] = []
         self.member, self.mixed = member, False
 
 
 class Tree:
-    """A prefix tree of ordered sets, and the classes of the members it has linked so far."""
+    """A prefix tree of ordered sets, and the classes of the members it has linked so far. Stored sets lack shingles that nobody shares; sizes count these."""
 
     def __init__(self, percent: int):
         self.percent = percent
@@ -169,35 +220,35 @@ class Tree:
         """Least intersection of linked sets of these sizes."""
         return -(-self.percent * (n + m) // (100 + self.percent))
 
-    def add(self, own: np.ndarray, member: int) -> None:
-        n = self.size[member] = len(own)
+    def add(self, own: np.ndarray, size: int, member: int) -> None:
+        n, self.size[member] = len(own), size
         if self.root is None:
-            self.root = Node(own[:0], 0, n, member)
+            self.root = Node(own[:0], 0, size, n, member)
         node, at = self.root, 0
         while True:
-            node.least, node.most = min(node.least, n), max(node.most, n)
+            node.least, node.longest = min(node.least, size), max(node.longest, n)
             node.mixed = node.mixed or self.top(node.member) != self.top(member)
             if at == n:
                 node.ends.append(member)
                 return
             kid = node.kids.get(int(own[at]))
             if kid is None:
-                leaf = node.kids[int(own[at])] = Node(own[at:], n, n, member)
+                leaf = node.kids[int(own[at])] = Node(own[at:], n, size, n, member)
                 leaf.ends.append(member)
                 return
             ahead = own[at : at + len(kid.segment)]
             differ = np.flatnonzero(ahead != kid.segment[: len(ahead)])
             same = int(differ[0]) if len(differ) else len(ahead)
             if same < len(kid.segment):  # the path forks, or ends, within the segment
-                fork = Node(kid.segment[:same], kid.depth - len(kid.segment) + same, kid.least, kid.member)
-                fork.most, fork.mixed = kid.most, kid.mixed
+                fork = Node(kid.segment[:same], kid.depth - len(kid.segment) + same, kid.least, kid.longest, kid.member)
+                fork.mixed = kid.mixed
                 kid.segment = kid.segment[same:]
                 fork.kids[int(kid.segment[0])] = kid
                 node.kids[int(fork.segment[0])] = fork
                 kid = fork
             node, at = kid, at + same
 
-    def probe(self, own: np.ndarray, member: int) -> list[tuple[int, int]]:
+    def probe(self, own: np.ndarray, size: int, member: int) -> list[tuple[int, int]]:
         """Links of the set with members of other classes, as many as connect it to each such class; joins them."""
         links: list[tuple[int, int]] = []
         n = len(own)
@@ -210,10 +261,10 @@ class Tree:
                 at = np.searchsorted(own, node.segment)
                 overlap += int(np.count_nonzero(own[np.minimum(at, n - 1)] == node.segment))
                 left = n - int(np.searchsorted(own, node.segment[-1], "right"))
-                if overlap + left < self.need(n, node.least) or overlap + node.most - node.depth < self.need(n, node.most):
+                if overlap + min(left, node.longest - node.depth) < self.need(size, node.least):
                     continue
             for other in node.ends:
-                if overlap >= self.need(n, self.size[other]) and self.top(other) != self.top(member):
+                if overlap >= self.need(size, self.size[other]) and self.top(other) != self.top(member):
                     links.append((member, other))
                     self.join(member, other)
             if node.kids:
@@ -226,83 +277,81 @@ class Tree:
         return links
 
 
-def _joined(sets: list[np.ndarray], digests: list[int], base: list[bool], classes: list[int], percent: int) -> list[tuple[int, int]]:
-    """Spanning links of a group. Members that aren't base only traverse; classes: what is known to be connected."""
-    order = np.concatenate(sets)
-    kinds, inverse, counts = np.unique(order, return_inverse=True, return_counts=True)
+def _joined(sets: list[np.ndarray], sizes: list[int], digests: list[int], base: list[bool], known: list[int], percent: int) -> list[tuple[int, int]]:
+    """Spanning links of a group. Members that aren't base only traverse; known: what is known to be connected."""
+    every = np.concatenate(sets)
+    kinds, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
     rank = np.empty(len(kinds), np.int64)
-    rank[np.lexsort((kinds, -counts))] = np.arange(len(kinds))  # the commonest first: near copies share long paths
+    rank[np.lexsort((kinds, -counts))] = np.arange(len(kinds))  # within a group the commonest first: near copies share long paths
     ranked = np.split(rank[inverse], np.cumsum([len(x) for x in sets])[:-1])
     tree, links = Tree(percent), []
-    for d, c in zip(digests, classes, strict=True):
+    for d, c in zip(digests, known, strict=True):
         tree.join(d, c)
-    todo = sorted(range(len(sets)), key=lambda i: (not base[i], len(sets[i]), digests[i]))
-    seen: set[int] = set()
-    for i in todo:
+    for i in sorted(range(len(sets)), key=lambda i: (not base[i], sizes[i], digests[i])):
         own = np.sort(ranked[i])
-        if base[i] and digests[i] in seen:
-            continue
-        links += tree.probe(own, digests[i])
+        links += tree.probe(own, sizes[i], digests[i])
         if base[i]:
-            seen.add(digests[i])
-            tree.add(own, digests[i])
+            tree.add(own, sizes[i], digests[i])
     return links
 
 
-def linked(rows: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) within each group; rows: part, digest, base, class, text."""
+def linked(rows: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within each group; rows: part, digest, n, shingles, base, class."""
 
     def link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: list[np.ndarray] = []
-        group: list[tuple[int, bool, int]] = []
+        group: list[tuple] = []
         now = None
 
         def out() -> pa.RecordBatch:
-            found = _joined(sets, [g[0] for g in group], [g[1] for g in group], [g[2] for g in group], percent) if len(sets) > 1 else []
+            sets, sizes, digests, base, known = map(list, zip(*group, strict=True))
+            found = _joined(sets, sizes, digests, base, known, percent) if len(sets) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())], names=["a", "b"])
 
-        for part in words.pieces(batches, "text"):
-            keys = zip(part.column("part").to_pylist(), part.column("digest").to_pylist(), part.column("base").to_pylist(), part.column("class").to_pylist(), strict=True)
-            for (key, digest, base, known), own in zip(keys, words.shingle_sets(part.column("text"), k), strict=True):
+        for batch in batches:
+            sets = batch.column("shingles")
+            for i, (key, *rest) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("part", "n", "digest", "base", "class")), strict=True)):
                 if key != now:
-                    if sets:
+                    if group:
                         yield out()
-                    sets.clear()
-                    group.clear()
-                    now = key
-                if _digest(own) == digest:  # another row of that doc_id has another set
-                    sets.append(own)
-                    group.append((digest, base, known))
-        if sets:
+                    group, now = [], key
+                group.append((sets[i].values.to_numpy(), *rest))
+        if group:
             yield out()
 
-    # the digest and the component, not the texts, say which group a row is of, so the sort moves each text once
-    return rows.repartition("part").sortWithinPartitions("part").mapInArrow(link, "a bigint, b bigint")
+    return rows.select("part", "digest", "n", "shingles", "base", "class").repartition("part").sortWithinPartitions("part").mapInArrow(link, "a bigint, b bigint")
 
 
-def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1 << 19) -> DataFrame:
+def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1 << 18) -> DataFrame:
     """doc_id, hash of the text, n_shingles, digest of the set, class (a digest), component_id (its least doc_id) of each row."""
     documents = documents.select("doc_id", "text")
+    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key")
     rows = shared.written(described(documents, k), "sets")
-    nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"))
-    near = components(chained(paths(documents, k, percent)), "near")
-    members = near.withColumnRenamed("node", "digest").join(nodes, "digest")
-    weight = near.withColumnRenamed("node", "digest").join(nodes, "digest").groupBy("component").agg(F.sum("n").alias("weight"))
-    members = shared.written(members.join(weight, "component").select("digest", "doc_id", "component", F.ceil(F.col("weight") / block).cast("int").alias("blocks")), "members")
-    members = members.withColumn("block", F.pmod(F.xxhash64("digest", F.lit(7)), F.col("blocks")).cast("int"))
+    nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
+    left = counted(common(thinned(documents, k, percent), 2)).filter(F.col("several") >= _drawn_column(percent) - _spare_column(percent)).select("digest")
+    left = shared.written(nodes.join(left, "digest").select(key, "digest"), "left")
+    # the same join at every size: a broadcast of what is left would have no bound
+    texts = documents.select(key, "text").join(left.hint("merge"), "key")
+    sets = shared.written(ordered(common(whole(texts, k)), percent), "ordered")
+    near = components(chained(sets, percent), "near").withColumnRenamed("node", "digest")
+    # who goes where is settled without the sets; they are moved once for the join and once to their part
+    placed = near.join(sets.select("digest", F.size("shingles").alias("size")), "digest")
+    weight = placed.groupBy("component").agg(F.ceil(F.sum("size") / block).cast("int").alias("blocks"))
+    members = placed.join(weight, "component").select("digest", "component", "blocks", F.pmod(F.xxhash64("digest", F.lit(7)), F.col("blocks")).cast("int").alias("block"))
+    members = shared.written(members, "members")
     of = F.xxhash64("component", "block").alias("part")
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key")
-    texts = documents.select(key, "text").filter("text is not null")
-    first = members.select(key, "digest", of, F.lit(True).alias("base"), F.col("digest").alias("class"))
-    links = shared.written(linked(texts.join(first.hint("merge"), "key").select("part", "digest", "base", "class", "text"), k, percent), "links")
+
+    def held(rows: DataFrame) -> DataFrame:
+        return sets.join(rows.hint("merge"), "digest")
+
+    links = shared.written(linked(held(members.select("digest", of, F.lit(True).alias("base"), F.col("digest").alias("class"))), percent), "links")
     large = members.filter("blocks > 1")
     if not large.isEmpty():
         inside = components(links, "inside").withColumnRenamed("node", "digest").withColumnRenamed("component", "class")
         large = shared.written(large.join(inside, "digest", "left").withColumn("class", F.coalesce("class", "digest")), "large")
         top = large.groupBy("component", "class").count().groupBy("component").agg(F.max_by("class", F.struct("count", "class")).alias("top"))
         other = large.join(top, "component").filter("class <> top").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        across = large.select(key, "digest", of, F.lit(True).alias("base"), "class").unionByName(other.filter("to <> block").select(key, "digest", F.xxhash64("component", "to").alias("part"), F.lit(False).alias("base"), "class"))
-        links = links.unionByName(linked(texts.join(across.hint("merge"), "key").select("part", "digest", "base", "class", "text"), k, percent))
+        across = large.select("digest", of, F.lit(True).alias("base"), "class").unionByName(other.filter("to <> block").select("digest", F.xxhash64("component", "to").alias("part"), F.lit(False).alias("base"), "class"))
+        links = links.unionByName(linked(held(across), percent))
     joined = components(links, "joined").withColumnRenamed("node", "digest")
     nodes = nodes.join(joined, "digest", "left").withColumn("class", F.coalesce("component", "digest"))
     named = nodes.groupBy("class").agg(F.min("doc_id").alias("component_id"))
