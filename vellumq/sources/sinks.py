@@ -52,5 +52,5 @@ def json_lines(rows: DataFrame, path: str) -> None:
 def site_manifest(books: DataFrame, editions: DataFrame, files: DataFrame) -> DataFrame:
     """entry: a JSON object for each book: its editions in order, each with a map from kind to file."""
     held = files.groupBy("book", "edition").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "name")))).alias("files"))
-    rows = editions.join(held, ["book", "edition"], "left").groupBy("book").agg(F.array_sort(F.collect_list(F.struct("edition", "version", "files"))).alias("editions"))
+    rows = editions.join(held, ["book", "edition"], "left").groupBy("book").agg(F.array_sort(F.collect_list(F.struct("edition", "version", "files")), lambda a, b: F.when(a["edition"] < b["edition"], -1).otherwise(F.when(a["edition"] > b["edition"], 1).otherwise(0))).alias("editions"))
     return books.join(rows, "book", "left").select("book", F.to_json(F.struct("book", "title", "editions")).alias("entry"))

@@ -47,6 +47,7 @@ def unique(rows: DataFrame, keys: list[str], time: str, late: str = "1 hour") ->
     return rows.withWatermark(time, late).dropDuplicatesWithinWatermark(keys)
 
 
-def windowed(events: DataFrame, size: str = "1 hour", late: str = "1 hour") -> DataFrame:
-    """An extension: counts of events by type in windows of their own time."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("window.start").alias("start"), "event_type", "n", "value")
+def windowed(events: DataFrame, size: str = "1 hour", late: str | None = "1 hour") -> DataFrame:
+    """An extension: counts of events by type in windows of their own time. late: None if the rows have a watermark already."""
+    events = events.withWatermark("ts", late) if late else events
+    return events.groupBy(F.window("ts", size), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("window.start").alias("start"), "event_type", "n", "value")
