@@ -102,26 +102,39 @@ def _groups(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(rows: DataFrame, size: int, anchor: int) -> DataFrame:
-    """window, doc, at: the windows whose selected suffix is in rows' keys; rows: doc, text, keys."""
+    """window, doc, at: the windows whose selected suffix is in rows' keys, with all their places in the text; rows: doc, text, keys.
+
+    A text that repeats itself thousands of times gives a row for each of its distinct windows only.
+    """
 
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in words.pieces(batches, "text"):
-            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-            for (_, key, whole), doc, known in zip(selected(part.column("text"), size, anchor), part.column("doc").to_pylist(), part.column("keys"), strict=True):
+            found: list[tuple[np.ndarray, np.ndarray]] = []
+            of: list[int] = []
+            for (_, key, whole), known in zip(selected(part.column("text"), size, anchor), part.column("keys"), strict=True):
                 at = np.flatnonzero(np.isin(key.view(np.int64), known.values.to_numpy()))
-                found.append((whole[at].view(np.int64), np.full(len(at), doc, np.int64), at.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], names=["window", "doc", "at"])
+                own = whole[at].view(np.int64)
+                order = np.argsort(own, kind="stable")
+                found.append((own[order], at[order].astype(np.int32)))
+                of.append(len(at))
+            window, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            doc = np.repeat(part.column("doc").to_numpy(), of)
+            new = np.flatnonzero(np.concatenate((np.ones(min(1, len(window)), bool), (window[1:] != window[:-1]) | (doc[1:] != doc[:-1]))))
+            places = pa.ListArray.from_arrays(pa.array(np.append(new, len(window)).astype(np.int32)), pa.array(at))
+            yield pa.RecordBatch.from_arrays([pa.array(window[new]), pa.array(doc[new]), places], names=["window", "doc", "at"])
 
-    return rows.mapInArrow(emit, "window bigint, doc bigint, at int")
+    return rows.mapInArrow(emit, "window bigint, doc bigint, at array<int>")
 
 
 def matched(rows: DataFrame) -> DataFrame:
     """doc, at, other: windows that stand in another document, and the least such document."""
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)]
+        none = pa.array([], pa.list_(pa.int32()))
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64), none)
         for batch in batches:
-            window, doc, at = (np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True))
+            window, doc = (np.concatenate((h, c.to_numpy())) for h, c in zip(held[:2], batch.columns[:2], strict=True))
+            at = pa.concat_arrays([held[2], batch.column(2).cast(none.type)])
             first, group = _groups(window)
             least = doc[first]
             later = doc != least[group]
@@ -129,15 +142,17 @@ def matched(rows: DataFrame) -> DataFrame:
             some = np.zeros(len(first), bool)
             g, where = np.unique(group[later], return_index=True)
             some[g], second[g] = True, doc[later][where]
-            out = some[group] & (at >= 0)
-            other = np.where(later, least[group], second[group])
-            yield pa.RecordBatch.from_arrays([pa.array(doc[out]), pa.array(at[out]), pa.array(other[out])], names=["doc", "at", "other"])
-            if len(window) and some[-1]:  # the last window may go on: its two least documents are enough
-                held = [window[-1:].repeat(2), np.array([least[-1], second[-1]]), np.full(2, -1, np.int32)]
+            out = np.flatnonzero(some[group])
+            other = np.where(later, least[group], second[group])[out]
+            places = at.take(pa.array(out))
+            each = places.value_lengths().to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(doc[out], each)), places.flatten(), pa.array(np.repeat(other, each))], names=["doc", "at", "other"])
+            if len(window) and some[-1]:  # the last window may go on: its two least documents, whose places are out, are enough
+                held = (window[-1:].repeat(2), np.array([least[-1], second[-1]]), pa.array([[], []], none.type))
             elif len(window):
-                held = [window[first[-1] :], doc[first[-1] :], at[first[-1] :]]
+                held = (window[first[-1] :], doc[first[-1] :], at.slice(int(first[-1])))
             else:
-                held = [window, doc, at]
+                held = (window, doc, at)
 
     return rows.repartition("window").sortWithinPartitions("window", "doc").mapInArrow(compare, "doc bigint, at int, other bigint")
 
