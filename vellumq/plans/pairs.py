@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vellumq.functions import text as T
 from vellumq.operators import align as A
 from vellumq.operators import graph as G
+from vellumq.operators import sync as Z
 from vellumq.operators import witness as V
 from vellumq.plans import sql as S
 from vellumq.plans.words import _docs
@@ -158,3 +159,31 @@ def forward_match(spark, sf_dir):
         return rows.select("doc", "n", T.paragraph_key(F.col("s")).alias("key")).filter(F.size(F.split("key", " ")) >= 4)
 
     return V.forward_match(side("text_a"), side("text_b"))
+
+
+@query()
+def sync_decisions(spark, sf_dir):
+    """Decisions that make each document's nearest earlier text read as it, by type, and the checks that failed (none)."""
+    pairs = V.nearest_pairs(_docs(spark, sf_dir))
+
+    def as_xml(text):
+        escaped = T.escaped_html(text)
+        return F.concat(F.lit("<div><p>"), F.replace(escaped, F.lit("\n"), F.lit("</p><p>")), F.lit("</p></div>"))
+
+    review = F.regexp_replace(F.regexp_replace("text_b", r"([\\#\[\]])", r"\\$1"), r"(?m)^(\s*)([=+-])", "$1")
+    rows = Z.sync(pairs.select("a", "b", as_xml(F.col("text_a")).alias("xml"), review.alias("review")))
+    return rows.select("a", "b", F.size("decisions").cast("long").alias("decisions"), F.size(F.filter("decisions", lambda d: d["editor"].isNotNull())).cast("long").alias("by_editor"), F.array_join("failed", ",").alias("failed"))
+
+
+@query()
+def structure_changes(spark, sf_dir):
+    """Changes of block marks between each document and its nearest earlier one, by kind."""
+    blank = lambda c: F.replace(F.regexp_replace(c, r"([\\#\[\]])", r"\\$1"), F.lit("\n"), F.lit("\n\n"))
+    pairs = V.nearest_pairs(_docs(spark, sf_dir)).select("a", "b", blank("text_a").alias("text_a"), blank("text_b").alias("text_b"))
+    return Z.structure(pairs).groupBy("kind").agg(F.count("*").alias("n"), F.count_distinct("b").alias("pairs"))
+
+
+@query()
+def chapter_facets(spark, sf_dir):
+    """Pairs whose words, italics, notes, headings or lists are the same."""
+    return Z.facets(V.nearest_pairs(_docs(spark, sf_dir))).groupBy("facet").agg(F.count("*").alias("pairs"), F.count(F.when(F.col("same"), 1)).alias("same"))
