@@ -59,7 +59,8 @@ def _pairs(word: Column) -> Column:
 
 
 def _final_e(word: Column) -> Column:
-    return F.when((F.length(word) > 3) & word.endswith("e"), F.substring(word, F.lit(1), F.length(word) - 1)).otherwise(word)
+    # one pattern rather than a condition: a condition would hold the word's whole expression several times
+    return F.regexp_replace(word, "^(.{3,})e$", "$1")
 
 
 def loose_key(word: Column) -> Column:
@@ -103,9 +104,8 @@ def ij_rule(word: Column) -> Column:
 
 
 def suffix_rule(word: Column) -> Column:
-    """-sse to -ss, -ie to -y."""
-    n = F.length(word)
-    return F.when(word.endswith("sse") & (n > 4), F.substring(word, F.lit(1), n - 1)).when(word.endswith("ie") & (n > 3), F.concat(F.substring(word, F.lit(1), n - 2), F.lit("y"))).otherwise(word)
+    """-sse to -ss, -ie to -y, in words of five letters and of four or more."""
+    return F.regexp_replace(F.regexp_replace(word, "^(.{2,}ss)e$", "$1"), "^(.{2,})ie$", "$1y")
 
 
 def letterforms(word: Column) -> Column:

@@ -28,7 +28,8 @@ def _readings(spark, sf_dir):
     first = F.transform(T.sentences(F.col("text")), lambda s: F.transform(T.words(s), lambda w, i: F.struct(w.alias("word"), (i == 0).alias("start"))))
     rows = _docs(spark, sf_dir).select("lang", "source", F.explode(F.flatten(first)).alias("x")).groupBy("lang", "source", "x.word", "x.start").agg(F.count("*").alias("n"))
     lower = F.lower("word")
-    modern = F.when(lower.rlike("^[a-z]+$"), T.letterforms(lower)).otherwise(lower)
+    rows = rows.withColumn("modern", F.when(lower.rlike("^[a-z]+$"), T.letterforms(lower)).otherwise(lower))
+    modern = F.col("modern")
     small = F.when(F.col("start"), F.concat(F.upper(F.substring(modern, 1, 1)), F.substring(modern, F.lit(2), F.length(modern)))).otherwise(modern)
     return rows.withColumn("modern", F.when((F.upper("word") == F.col("word")) & (F.length("word") > 1), F.upper(modern)).otherwise(small))
 

@@ -82,9 +82,10 @@ def looped_docs(spark, sf_dir):
     return K.looped(_docs(spark, sf_dir))
 
 
-def _variants(spark, sf_dir, key):
+def _variants(spark, sf_dir, key, kept="[a-zſ]"):
+    # a key is empty if the word has none of the kept signs: asking that first, the key is made once
     words = _docs(spark, sf_dir).select(F.explode(T.words(F.col("text"))).alias("w")).groupBy(F.lower("w").alias("w")).agg(F.count("*").alias("n"))
-    groups = words.withColumn("key", key(F.col("w"))).filter("key <> ''").groupBy("key").agg(F.count("*").alias("spellings"), F.sum("n").alias("n"), F.max_by("w", F.struct("n", "w")).alias("commonest"))
+    groups = words.filter(F.col("w").rlike(kept)).withColumn("key", key(F.col("w"))).groupBy("key").agg(F.count("*").alias("spellings"), F.sum("n").alias("n"), F.max_by("w", F.struct("n", "w")).alias("commonest"))
     return groups.filter("spellings >= 2")
 
 
@@ -106,7 +107,7 @@ def ocr_variants(spark, sf_dir):
 
 @query(_variants_sql(S.crop("w")))
 def crop_variants(spark, sf_dir):
-    return _variants(spark, sf_dir, T.crop_key)
+    return _variants(spark, sf_dir, T.crop_key, "[a-z0-9ſ]")
 
 
 @query("""SELECT sha256(coalesce(text, '')) AS sha256, count(*) AS copies, min(doc_id) AS first_doc, count(DISTINCT source) AS sources FROM documents GROUP BY 1 HAVING count(*) >= 2""")
