@@ -179,7 +179,7 @@ def scored(documents: DataFrame, model: tuple[np.ndarray, np.ndarray, float], bi
     return documents.select("doc_id", "text").mapInArrow(score, "doc_id bigint, score double")
 
 
-def kept(documents: DataFrame, labels: DataFrame, training: Column, threshold: float = 0.7, fit_rows: int = 20_000, fit_chars: int = 60_000_000, bits: int = 20) -> DataFrame:
+def kept(documents: DataFrame, labels: DataFrame, training: Column, threshold: float = 0.7, fit_rows: int = 12_000, fit_chars: int = 40_000_000, bits: int = 20) -> DataFrame:
     """The rows, with all their columns, whose score is below the threshold."""
     sent = documents.sparkSession.sparkContext.broadcast(train(labelled(documents, labels, "toxic", training, fit_rows, fit_chars), bits))
 
@@ -191,7 +191,7 @@ def kept(documents: DataFrame, labels: DataFrame, training: Column, threshold: f
     return documents.mapInArrow(choose, documents.schema)
 
 
-def toxicity(documents: DataFrame, labels: DataFrame, training: Column, fit_rows: int = 20_000, fit_chars: int = 60_000_000, bits: int = 20) -> DataFrame:
+def toxicity(documents: DataFrame, labels: DataFrame, training: Column, fit_rows: int = 12_000, fit_chars: int = 40_000_000, bits: int = 20) -> DataFrame:
     """doc_id, score (0 to 1) of every document, learnt from the labelled rows that training selects."""
     model = train(labelled(documents, labels, "toxic", training, fit_rows, fit_chars), bits)
     return scored(documents, model, bits)
