@@ -83,19 +83,31 @@ def spans(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
     return begins, ends, np.searchsorted(begins, offsets)
 
 
+_CHUNK = 1 << 19
+_powers: list[np.ndarray] = []
+
+
+def _scales(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse, n of each at least."""
+    if not _powers or len(_powers[0]) < n:
+        _powers[:] = [np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(max(n, _CHUNK + 1), x, np.uint64)))) for x in (_BASE, _INVERSE)]
+    return _powers
+
+
 def hashes(data: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word, A-Z taken as a-z."""
-    if not len(begins):
-        return np.zeros(0, np.uint64)
-    powers = np.full(len(data) + 1, _BASE, np.uint64)
-    powers[0] = 1
-    np.cumprod(powers, out=powers)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_SPREAD[data] * powers[:-1], out=sums[1:])
-    back = np.full(len(data) + 1, _INVERSE, np.uint64)
-    back[0] = 1
-    np.cumprod(back, out=back)
-    return mix((sums[ends] - sums[begins]) * back[begins] + (ends - begins).astype(np.uint64))
+    """A 64-bit hash of each word, A-Z taken as a-z. Bytes are gone through in chunks, so memory doesn't follow a text's length."""
+    out = np.empty(len(begins), np.uint64)
+    i = 0
+    while i < len(begins):
+        j = max(i + 1, int(np.searchsorted(ends, begins[i] + _CHUNK, "right")))
+        low, high = int(begins[i]), int(ends[j - 1])
+        powers, back = _scales(high - low)
+        sums = np.zeros(high - low + 1, np.uint64)
+        np.cumsum(_SPREAD[data[low:high]] * powers[: high - low], out=sums[1:])
+        a, b = begins[i:j] - low, ends[i:j] - low
+        out[i:j] = (sums[b] - sums[a]) * back[a]
+        i = j
+    return mix(out + (ends - begins).astype(np.uint64))
 
 
 def word_hashes(texts: pa.Array, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
