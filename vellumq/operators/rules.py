@@ -19,7 +19,7 @@ LINTS = {
 }
 #: The divine name with a small h, but for the adjective after one of these words.
 HOLY = r"(?<!\bhis )(?<!\bthy )(?<!\bthat )(?<!\bmy )(?<!\bour )(?<!\byour )(?<!\bher )(?<!\band )\bholy (?:Ghost\b|Spirit\b)|\bholy Ghost\b"
-#: A word, then an opening quote where a closing one belongs.
+#: Fixed value: a word, then an opening quote where a closing one belongs; a line that is only markup.
 WRONG_CLOSE = rf"(?m){W}[‘“](?=[\s,.;:!?)\]]|$)"
 MARKUP_LINE = r"^\s*(#set|#import|#\[|\]|//|=)"
 

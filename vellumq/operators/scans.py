@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vellumq.functions import text as T
 
+#: Fixed value: the line before each page of an export.
 PAGE_MARK = r"(?m)^--- Source PDF page (\d+) \(OCR sequence \d+\) ---$"
 
 
