@@ -14,9 +14,9 @@ The result is each document's class: the component of the links, named by its le
 5. ``Tree`` stores the globally ordered sets of a component in a prefix tree with compressed paths. A set traverses it once: nodes share the
    partial overlap, a subtree goes when the overlap so far plus what can remain on either side is too little, and when all below
    is already in the set's class. Only spanning links leave the task.
-6. A component of more than ``block`` shingles is split into blocks by digest. Members outside the
-   largest class found then traverse the trees of all other blocks: a pair within the largest class needs no
-   more links, and every other pair is compared.
+6. A component of more than ``block`` shingles is split into blocks by digest; ``tied`` of its members stand in all of them, so that
+   the blocks' classes meet. Members outside the largest class found then traverse the trees of all other blocks: a pair within the
+   largest class needs no more links, and every other pair is compared.
 
 Rows of one shingle stream through a task in order, with a bounded number held back, so that a shingle of a third of all documents needs no memory.
 
@@ -31,7 +31,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumq.llm import shared, words
@@ -277,8 +277,8 @@ class Tree:
         return links
 
 
-def _joined(sets: list[np.ndarray], sizes: list[int], digests: list[int], base: list[bool], known: list[int], percent: int) -> list[tuple[int, int]]:
-    """Spanning links of a group. Members that aren't base only traverse; known: what is known to be connected."""
+def _joined(sets: list[np.ndarray], sizes: list[int], digests: list[int], base: list[bool], known: list[int], percent: int, met: bool) -> list[tuple[int, int]]:
+    """Spanning links of a group. Members that aren't base only traverse; known: what is known to be connected; met: base members were compared before, and are only stored."""
     every = np.concatenate(sets)
     kinds, inverse, counts = np.unique(every, return_inverse=True, return_counts=True)
     rank = np.empty(len(kinds), np.int64)
@@ -289,13 +289,14 @@ def _joined(sets: list[np.ndarray], sizes: list[int], digests: list[int], base:
         tree.join(d, c)
     for i in sorted(range(len(sets)), key=lambda i: (not base[i], sizes[i], digests[i])):
         own = np.sort(ranked[i])
-        links += tree.probe(own, sizes[i], digests[i])
+        if not (met and base[i]):
+            links += tree.probe(own, sizes[i], digests[i])
         if base[i]:
             tree.add(own, sizes[i], digests[i])
     return links
 
 
-def linked(rows: DataFrame, percent: int) -> DataFrame:
+def linked(rows: DataFrame, percent: int, met: bool = False) -> DataFrame:
     """Links (a, b) within each group; rows: part, digest, n, shingles, base, class."""
 
     def link(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +305,7 @@ def linked(rows: DataFrame, percent: int) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             sets, sizes, digests, base, known = map(list, zip(*group, strict=True))
-            found = _joined(sets, sizes, digests, base, known, percent) if len(sets) > 1 else []
+            found = _joined(sets, sizes, digests, base, known, percent, met) if len(sets) > 1 and not (met and all(base)) else []
             return pa.RecordBatch.from_arrays([pa.array([min(x) for x in found], pa.int64()), pa.array([max(x) for x in found], pa.int64())], names=["a", "b"])
 
         for batch in batches:
@@ -321,7 +322,7 @@ def linked(rows: DataFrame, percent: int) -> DataFrame:
     return rows.select("part", "digest", "n", "shingles", "base", "class").repartition("part").sortWithinPartitions("part").mapInArrow(link, "a bigint, b bigint")
 
 
-def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1 << 18) -> DataFrame:
+def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1 << 18, tied: int = 16) -> DataFrame:
     """doc_id, hash of the text, n_shingles, digest of the set, class (a digest), component_id (its least doc_id) of each row."""
     documents = documents.select("doc_id", "text")
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key")
@@ -343,15 +344,21 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1
     def held(rows: DataFrame) -> DataFrame:
         return sets.join(rows.hint("merge"), "digest")
 
-    links = shared.written(linked(held(members.select("digest", of, F.lit(True).alias("base"), F.col("digest").alias("class"))), percent), "links")
     large = members.filter("blocks > 1")
-    if not large.isEmpty():
+    split = not large.isEmpty()
+    first = members.select("digest", of, F.lit(True).alias("base"), F.col("digest").alias("class"))
+    if split:  # a few members stand in every block of their component, and tie the classes of its blocks together
+        order = Window.partitionBy("component").orderBy(F.xxhash64("digest", F.lit(9)), "digest")
+        ties = large.withColumn("at", F.row_number().over(order)).filter(F.col("at") <= tied).withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).filter("to <> block")
+        first = first.unionByName(ties.select("digest", F.xxhash64("component", "to").alias("part"), F.lit(True).alias("base"), F.col("digest").alias("class")))
+    links = shared.written(linked(held(first), percent), "links")
+    if split:
         inside = components(links, "inside").withColumnRenamed("node", "digest").withColumnRenamed("component", "class")
         large = shared.written(large.join(inside, "digest", "left").withColumn("class", F.coalesce("class", "digest")), "large")
         top = large.groupBy("component", "class").count().groupBy("component").agg(F.max_by("class", F.struct("count", "class")).alias("top"))
         other = large.join(top, "component").filter("class <> top").withColumn("to", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         across = large.select("digest", of, F.lit(True).alias("base"), "class").unionByName(other.filter("to <> block").select("digest", F.xxhash64("component", "to").alias("part"), F.lit(False).alias("base"), "class"))
-        links = links.unionByName(linked(held(across), percent))
+        links = links.unionByName(linked(held(across), percent, met=True))
     joined = components(links, "joined").withColumnRenamed("node", "digest")
     nodes = nodes.join(joined, "digest", "left").withColumn("class", F.coalesce("component", "digest"))
     named = nodes.groupBy("class").agg(F.min("doc_id").alias("component_id"))
