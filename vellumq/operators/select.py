@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumq.functions import text as T
+from vellumq.operators.graph import settled
 from vellumq.operators.tokens import sentences
 
 
@@ -33,13 +34,14 @@ def sentence_scores(scores: DataFrame) -> DataFrame:
     return rows.select("doc_id", "sent_no", "words", "score", F.when(F.col("score") > 0, F.col("at")).alias("strongest"), "strength")
 
 
-def taken(rows: DataFrame, order: list[Column], weight: str, budget: Column, buckets: int = 4096) -> DataFrame:
+def taken(rows: DataFrame, order: list[Column], weight: str, budget: Column) -> DataFrame:
     """Rows in order while the weight of those before is under the budget; the last may overshoot.
 
     The running sum is made in two steps, so no task sees all rows: rows are ranged into partitions in order, each partition's
-    weight is summed, and the sums before a partition (one row each) are added to the running sum within it.
+    weight is summed, and the sums before a partition (one row each) are added to the running sum within it. The ranged rows are written, so
+    that both steps see one division of the rows.
     """
-    ranged = rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    ranged = settled(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
     sums = ranged.groupBy("__part").agg(F.sum(weight).alias("__sum"))
     before = sums.select("__part", F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
     inner = F.coalesce(F.sum(weight).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
