@@ -332,6 +332,29 @@ def test_classes_by_brute_force(spark, k, percent, block):
     assert got == brute_classes(texts, k, percent)
 
 
+@pytest.mark.parametrize(("k", "percent", "sizes"), [(5, 80, (4, 8, 12)), (3, 90, (9, 18, 27, 36))])
+def test_sets_within_larger_ones(spark, k, percent, sizes):
+    """A set and the same with as many more shingles as a link allows, under many hashes."""
+    texts, want = [], {}
+    for n in sizes:
+        for s in range(40):
+            m = n * 100 // percent
+            w = [f"w{n}x{s}x{i}" for i in range(m + k - 1)]
+            want |= {len(texts): (n, len(texts)), len(texts) + 1: (m, len(texts))}
+            texts += [" ".join(w[: n + k - 1]), " ".join(w)]
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.classes(rows(spark, texts), k, percent).collect()}
+    assert got == want
+
+
+@pytest.mark.parametrize("percent", [30, 50, 60, 70, 80, 90, 95])
+def test_least_met_of_all_sizes(percent):
+    for n in range(1, 400):
+        for m in range(-(-percent * n // 100), 100 * n // percent + 1):
+            i = -(-percent * (n + m) // (100 + percent))  # the least intersection
+            if 0 < i <= min(n, m):
+                assert 1 <= jaccard.met(n, percent) <= min(jaccard.drawn(n, percent) - n + i, jaccard.drawn(m, percent) - m + i)
+
+
 def test_classes_of_odd_rows(spark):
     got = jaccard.classes(odd(spark), 3, 90).collect()
     assert len(got) == len(ODD)

@@ -6,7 +6,8 @@ The result is each document's class: the component of the links, named by its le
 1. ``described`` gives each document the size and a digest of its set. Equal sets are one node
    from here on, however many copies there are.
 2. A set that links has at most n - percent/100 * n shingles that no other set has (``spare``). ``thinned`` gives the
-   shingles with the least hashes, twice as many as may be alone; a set of which too many are alone goes. This is exact, and few sets are left.
+   shingles with the least hashes, twice as many as may be alone; a set of which fewer than ``met`` are among those of other sets goes.
+   This is exact, and few sets are left.
 3. ``common`` gives of the sets that are left all shingles that several hold, with the number of holders: the global
    order is from the rarest to the commonest, then by hash. ``ordered`` puts each set in that order; sets with too many lone shingles go.
 4. Two sets that link share one of their first spare + 1 shingles in that order. Sets under one such shingle are
@@ -64,6 +65,17 @@ def drawn(n: int, percent: int) -> int:
     return min(n, max(spare(n, percent) + 1, (2 * (100 - percent) * n + 99) // 100))
 
 
+def met(n: int, percent: int) -> int:
+    """Fewest drawn shingles of a set of n that a linked set has drawn too.
+
+    Let a set of n lack b shingles of a linked set of m, which lacks a of its own: the first drawn(n) - a shingles that both hold are drawn by
+    the one, the first drawn(m) - b by the other. The former are drawn(n) - spare(n) at least; the latter may be one less, by rounding,
+    as b pushes out what both hold: with q = 1 - percent / 100 of 1/2 at most, b is at most q * union - a, and drawn(m) - b at least q * n.
+    With more, all shingles are drawn.
+    """
+    return max(1, drawn(n, percent) - spare(n, percent) - 1)
+
+
 def _spare_column(percent: int):
     return F.col("n") - F.expr(f"({percent} * n + 99) div 100")
 
@@ -72,6 +84,10 @@ def _drawn_column(percent: int):
     return F.least("n", F.greatest(_spare_column(percent) + 1, F.expr(f"({2 * (100 - percent)} * n + 99) div 100")))
 
 
+def _met_column(percent: int):
+    return F.greatest(F.lit(1), _drawn_column(percent) - _spare_column(percent) - 1)
+
+
 ROWS = "shingle bigint, digest bigint, n int"
 
 
@@ -328,7 +344,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key")
     rows = shared.written(described(documents, k), "sets")
     nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    left = counted(common(thinned(documents, k, percent), 2)).filter(F.col("several") >= _drawn_column(percent) - _spare_column(percent)).select("digest")
+    left = counted(common(thinned(documents, k, percent), 2)).filter(F.col("several") >= _met_column(percent)).select("digest")
     left = shared.written(nodes.join(left, "digest").select(key, "digest"), "left")
     # the same join at every size: a broadcast of what is left would have no bound
     texts = documents.select(key, "text").join(left.hint("merge"), "key")
