@@ -40,6 +40,27 @@ def test_scores_of_odd_rows(spark, operator, label):
     assert operator(docs.limit(0), labels, F.lit(True)).count() == 0
 
 
+def late_words(n):
+    """Texts alike in their first 4 KB and told apart by what follows."""
+    r = np.random.default_rng(6)
+    start = " ".join(r.choice(["some", "plain", "words", "here"], 1000))
+    return [(start + f" own{i}word " + " ".join(f"{'good' if i // 2 % 2 else 'bad'}{x}" for x in r.integers(0, 300, 150)), i // 2 % 2) for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [1 << 20, 4096])
+def test_dictionaries_of_whole_texts(spark, size):
+    rows = late_words(120)
+    sample = spark.createDataFrame([(i, t, y) for i, (t, y) in enumerate(rows[:80])], "order int, text string, label int")
+    model = quality.train(sample, size)
+    for y, held in ((1, b"".join(model[0])), (0, b"".join(model[1]))):
+        assert (b"good" in held, b"bad" in held) == (y == 1, y == 0)
+        if size == 1 << 20:  # all texts fit
+            assert all(f"own{i}word".encode() in held for i in range(80) if i // 2 % 2 == y)
+    docs = documents(spark, [(i, t) for i, (t, _) in enumerate(rows[80:])])
+    if size == 4096:
+        assert all((r.score > 0.5) == (r.doc_id // 2 % 2 == 1) for r in quality.scored(docs, model).collect())
+
+
 @needs_data
 def test_toxicity_of_held_out_rows(spark):
     check(spark, registry.QUERIES["op4_toxicity"](spark, f"{DATA}/sf0.1"), "toxic", 3, 1, f"{DATA}/sf0.1", 0.8, 0.9)

@@ -4,8 +4,10 @@ Two dictionaries hold text of the training rows with label 1 and with label 0. A
 the differences of the compressed sizes, over the text's size, say which kind of text it repeats. A logistic curve, fitted on training
 rows whose text is not in the dictionaries, makes them a probability.
 
-The dictionaries come from a sample of at most about ``fit_rows`` rows and ``fit_chars`` characters, chosen by a hash of the doc_id, each is
-``dictionary_bytes`` long at most: what is sent to the executors has that bound. Every row is scored over its whole text.
+The dictionaries come from a sample of at most about ``fit_rows`` rows and ``fit_chars`` characters, chosen by a hash of the doc_id. Whole texts of the
+sample are cut into pieces of ``piece`` bytes, and all pieces go into training. Each half of the rows gives a pair of dictionaries, the curve is fitted on
+the other half, and a text's values are the means over both pairs, so all rows of the sample count. A dictionary is ``dictionary_bytes`` long at most:
+what is sent to the executors has that bound. Every row is scored over its whole text.
 
 Defined results: null and empty texts get the training rows' share of label 1 (0.5 without any); a null doc_id is scored and isn't held out; labels that are
 null or contradict each other are no training rows; repeated rows are scored each for itself; with one label only, or none, every score is that share;
@@ -42,22 +44,27 @@ class Sizes:
         self.alone = zstandard.ZstdCompressor(level=LEVEL, **plain)
 
     def features(self, data: bytes) -> list[float]:
-        """The normalised size difference, the size without a dictionary, and each over short pieces of the text."""
+        """The normalised size difference, the sizes without and with the good dictionary, the difference less for texts over 200 bytes, and the square of the second."""
         n = len(data)
         own = len(self.alone.compress(data)) / (n + 20)
         good, bad = (len(t.compress(data)) / (n + 20) if t else own for t in self.tools)
         return [bad - good, own, good, (bad - good) * min(1.0, 200 / (n + 1)), own * own]
 
 
-def dictionary(texts: list[bytes], size: int) -> bytes:
-    """A trained dictionary where there is enough text, else the text itself, its newest bytes last."""
-    whole = sum(map(len, texts))
-    if whole > 8 * size and len(texts) >= 50:
+def dictionary(texts: list[bytes], size: int, piece: int = 4096) -> bytes:
+    """A dictionary trained on all pieces of the texts, or the texts themselves where they are no longer.
+
+    If training finds nothing to choose from, as in texts of one repeated word, pieces are made smaller; then the newest bytes are taken.
+    """
+    whole = b"\n".join(texts)
+    if len(whole) <= size:
+        return whole
+    while piece >= 64:
         try:
-            return zstandard.train_dictionary(size, texts).as_bytes()
+            return zstandard.train_dictionary(size, [t[i : i + piece] for t in texts for i in range(0, len(t), piece)]).as_bytes()
         except zstandard.ZstdError:
-            pass
-    return b"\n".join(texts)[-size:]
+            piece //= 8
+    return whole[-size:]
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -73,47 +80,48 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
     return w
 
 
-def train(sample: DataFrame, dictionary_bytes: int = 112_640, piece: int = 4096) -> tuple[bytes, bytes, list[float], float]:
-    """Both dictionaries, means, scales and weights in one list, and the share of label 1; fitted in one task."""
+def train(sample: DataFrame, dictionary_bytes: int = 112_640, piece: int = 4096) -> tuple[list[bytes], list[bytes], list[float], float]:
+    """The dictionaries of either half, good and bad, means, scales and weights in one list, and the share of label 1; fitted in one task."""
 
     def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = [(t.encode(), y) for part in words.pieces(batches, "text") for t, y in zip(part.column("text").to_pylist(), part.column("label").to_pylist(), strict=True)]
         y = np.array([r[1] for r in rows])
         share = float(y.mean()) if len(y) else 0.5
-        good = bad = b""
+        good: list[bytes] = []
+        bad: list[bytes] = []
         model: list[float] = []
         if 0 < y.sum() < len(y):
             half = [rows[0::2], rows[1::2]]
-            made, points, labels = [], [], []
+            points, labels = [], []
             for i in (0, 1):
-                pair = [dictionary([t[:piece] for t, label in half[i] if label == want], dictionary_bytes) for want in (1, 0)]
-                made.append(pair)
+                pair = [dictionary([t for t, label in half[i] if label == want], dictionary_bytes, piece) for want in (1, 0)]
+                good.append(pair[0])
+                bad.append(pair[1])
                 sizes = Sizes(*pair)
                 points += [sizes.features(t) for t, _ in half[1 - i]]
                 labels += [label for _, label in half[1 - i]]
             x = np.array(points)
             mean, scale = x.mean(0), x.std(0) + 1e-9
             model = [*mean, *scale, *logistic((x - mean) / scale, np.array(labels))]
-            good, bad = made[0]
-        yield pa.RecordBatch.from_arrays([pa.array([good], pa.binary()), pa.array([bad], pa.binary()), pa.array([[float(v) for v in model]], pa.list_(pa.float64())), pa.array([share])], names=["good", "bad", "model", "share"])
+        yield pa.RecordBatch.from_arrays([pa.array([good], pa.list_(pa.binary())), pa.array([bad], pa.list_(pa.binary())), pa.array([[float(v) for v in model]], pa.list_(pa.float64())), pa.array([share])], names=["good", "bad", "model", "share"])
 
-    row = sample.repartition(1).sortWithinPartitions("order", "label").select("text", "label").mapInArrow(fit, "good binary, bad binary, model array<double>, share double").head()
-    return (bytes(row[0]), bytes(row[1]), list(row[2]), row[3]) if row else (b"", b"", [], 0.5)
+    row = sample.repartition(1).sortWithinPartitions("order", "label").select("text", "label").mapInArrow(fit, "good array<binary>, bad array<binary>, model array<double>, share double").head()
+    return ([bytes(x) for x in row[0]], [bytes(x) for x in row[1]], list(row[2]), row[3]) if row else ([], [], [], 0.5)
 
 
-def scored(documents: DataFrame, model: tuple[bytes, bytes, list[float], float]) -> DataFrame:
+def scored(documents: DataFrame, model: tuple[list[bytes], list[bytes], list[float], float]) -> DataFrame:
     """doc_id, difference (normalised), score of every row."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         good, bad, numbers, share = sent.value
-        sizes = Sizes(good, bad)
+        halves = [Sizes(*pair) for pair in zip(good, bad, strict=True)] or [Sizes(b"", b"")]
         k = (len(numbers) - 1) // 3
         mean, scale, w = (np.array(x) for x in (numbers[:k], numbers[k : 2 * k], numbers[2 * k :]))
         for part in words.pieces(batches, "text"):
             data, offsets = words.utf8(part.column("text"))
             whole = data.tobytes()
-            x = np.array([sizes.features(whole[a:b]) if b > a else [0.0] * 5 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
+            x = np.array([np.mean([sizes.features(whole[a:b]) for sizes in halves], axis=0) if b > a else [0.0] * 5 for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)])
             p = np.full(len(x), share)
             if len(numbers):
                 p = np.where(np.diff(offsets) > 0, 1 / (1 + np.exp(-np.clip((x - mean) / scale @ w[:-1] + w[-1], -35, 35))), share)
