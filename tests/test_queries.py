@@ -49,6 +49,18 @@ def test_runs(spark, name):
     assert registry.QUERIES[name](spark, DATA).toPandas() is not None
 
 
+def written(spark, path, texts):
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_slips_of_all_later_copies(spark, tmp_path):
+    lines = [f"line {i} of a text that all copies have in common" for i in range(8)]
+    texts = ["\n".join(lines)] * 2 + ["\n".join(x.replace("common", "use") if i == n else x for i, x in enumerate(lines)) for n in range(5)]
+    got = registry.QUERIES["slips3"](spark, written(spark, tmp_path, texts)).collect()
+    assert {(r.doc, r.early, r.witness, r.word, r.was) for r in got} == {(d, 0, 1, "use", "common") for d in range(2, 7)}
+
+
 def test_entry(spark):
     sys.path.insert(0, ROOT)
     import __spark_entry__ as e

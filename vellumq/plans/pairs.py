@@ -130,10 +130,11 @@ def collate_candidates(spark, sf_dir):
 
 @query()
 def slips3(spark, sf_dir):
-    """Places where the last copy of a group departs from the first and the second keeps to it."""
+    """Places where a copy of a group, from the third on, departs from the first and the second keeps to it."""
     docs = _docs(spark, sf_dir)
     groups = G.components(V.line_pairs(docs))
-    ranked = groups.withColumn("at", F.row_number().over(Window.partitionBy("component").orderBy("node"))).filter("at <= 3").groupBy("component").agg(*[F.max(F.when(F.col("at") == i, F.col("node"))).alias(c) for i, c in ((1, "early"), (2, "witness"), (3, "doc"))]).filter("doc is not null")
+    order = Window.partitionBy("component").orderBy("node")
+    ranked = groups.select(F.first("node").over(order).alias("early"), F.nth_value("node", 2).over(order).alias("witness"), F.col("node").alias("doc"), F.row_number().over(order).alias("at")).filter("at >= 3").drop("at")
     texts = docs.select("doc_id", "text")
     for key, name in (("early", "early_text"), ("witness", "witness_text"), ("doc", "text")):
         ranked = ranked.join(texts.select(F.col("doc_id").alias(key), F.col("text").alias(name)), key)
