@@ -61,6 +61,15 @@ def test_slips_of_all_later_copies(spark, tmp_path):
     assert {(r.doc, r.early, r.witness, r.word, r.was) for r in got} == {(d, 0, 1, "use", "common") for d in range(2, 7)}
 
 
+def test_map_of_all_positions(spark, tmp_path):
+    lines = [f"line {i} of a text that both of the copies hold" for i in range(12)]
+    texts = ["\n".join(lines), "\n".join(x.replace("line 5 of", "line 5 more of") for x in lines)]
+    got = registry.QUERIES["position_map"](spark, written(spark, tmp_path, texts)).collect()
+    n = sum(len(x.split()) for x in lines)
+    assert sorted((r.a, r.b, r.p) for r in got) == [(0, 1, p) for p in range(n)]
+    assert all(texts[0].split()[r.p] == texts[1].split()[r.q] for r in got)
+
+
 def test_entry(spark):
     sys.path.insert(0, ROOT)
     import __spark_entry__ as e

@@ -111,11 +111,8 @@ def block_pairs(spark, sf_dir):
 
 @query()
 def position_map(spark, sf_dir):
-    """Where every hundredth word of a document stands in its nearest later copy."""
-    pairs = V.nearest_pairs(_docs(spark, sf_dir))
-    found = G.settled(A.ops(pairs))
-    size = found.groupBy("a", "b").agg(F.max("i2").alias("n")).filter("n > 0")
-    return A.position_map(found, size.select("a", "b", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(100))).alias("p")))
+    """Where every word of a document stands in its nearest later copy."""
+    return A.whole_map(A.ops(V.nearest_pairs(_docs(spark, sf_dir))))
 
 
 @query()
