@@ -2,22 +2,25 @@
 
 ``build_index`` turns documents into index segments, one row for a run of documents, like
 the segments of a search engine: the segment's documents, its terms and, for each term, the
-ascending positions of its postings.  Positions count the words of the whole segment and leave
-a gap between documents, so that no phrase can cross one.  A segment holds about a million
+ascending positions of its postings; all terms have theirs, whatever is looked up. Positions count the words of the whole segment and leave
+a gap between documents, so that no phrase can cross one. A segment holds about a million
 words whatever the corpus holds; nothing is shuffled, a hot source or term is spread over all
 segments, and a lost executor costs its own segments only.
 
-A phrase is found by intersecting offset-adjusted posting lists from its rarest term (by the
-frequency in the whole corpus) to its commonest.  ``phrases`` returns exact matches,
-``proximity`` the places where all terms of a phrase stand within ``slop`` more words than it has.
+A phrase is found by intersecting offset-adjusted posting lists, from its rarest term (by the
+frequency in the whole corpus) to its commonest: the places of the rarest, less its offset, are the first candidates, and of each further
+term those stay whose place, plus the offset, is in its list. ``exact`` returns the matches; ``near`` the least spans of a document that hold
+all words of a phrase, repeated ones as often, in any order, within ``slop`` more words than it has.
+``contamination`` looks windows of benchmark items up, ``matches`` returns phrases and near spans with their places.
 
-The test items are a stated query set.  They are sent to all executors in blocks of at most
-``block_words`` words; more items make more blocks, not a larger one.
+The items, and the phrases, are a stated query set. They are sent to all executors in blocks of at most about
+``block_bytes`` of terms; more of them make more blocks, not a larger one, and a huge item is windows of several blocks. A block
+returns rows only for documents that it hits.
 
 Defined results: a null or empty text has no words, is not contaminated, and stays as a row;
 items without words have no windows; repeated rows give repeated rows; rows with a null doc_id
-are kept; rows with a null item_id are left out; empty tables give empty results; extra columns
-are not read.
+are kept; the windows of an item with a null item_id count as hits, but it isn't listed among the items; empty tables give empty results; extra columns
+are not read by the search and kept by ``cleaned``, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,47 +47,22 @@ def tokens(text: str | None) -> list[int]:
     return words.word_hashes(pa.array([text or ""]), words.ALNUM)[0].view(np.int64).tolist()
 
 
-def _known(terms: np.ndarray, vocabulary: np.ndarray, sieve: np.ndarray) -> np.ndarray:
-    """Which of the terms are in the sorted vocabulary; the sieve rules most others out."""
-    out = sieve[terms & 0xFFFFF]
-    maybe = np.flatnonzero(out)
-    at = np.searchsorted(vocabulary, terms[maybe])
-    out[maybe] = vocabulary[np.minimum(at, len(vocabulary) - 1)] == terms[maybe]
-    return out
-
-
-def build_index(documents: DataFrame, vocabulary: list[int] | None = None, segment_bytes: int = 8 << 20) -> DataFrame:
-    """Index segments of documents(doc_id, text).
-
-    vocabulary: keep the postings of these terms only; they are all that a known set of phrases
-    can look up. None keeps all postings.
-    """
-    spark = documents.sparkSession
-    known = None
-    if vocabulary is not None:
-        known = spark.sparkContext.broadcast(np.unique(np.array(vocabulary, np.int64)))
+def build_index(documents: DataFrame, segment_bytes: int = 8 << 20) -> DataFrame:
+    """Index segments of documents(doc_id, text), with the postings of all terms."""
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sieve = None
         for batch in words.pieces(batches, "text", segment_bytes):
-            found, docs, lengths, base, told = [], [], [], 0, 0
+            found, docs, lengths, base = [], [], [], 0
             for part in words.pieces([batch], "text"):
                 terms, first = words.word_hashes(part.column("text"), words.ALNUM)
                 n = np.diff(first)
                 at = np.arange(len(terms)) + np.repeat(np.arange(len(n)), n) + base
                 base += len(terms) + len(n)
-                terms = terms.view(np.int64)
-                if known is not None and len(terms):
-                    if sieve is None:
-                        sieve = np.zeros(1 << 20, bool)
-                        sieve[known.value & 0xFFFFF] = True
-                    keep = _known(terms, known.value, sieve) if len(known.value) else np.zeros(len(terms), bool)
-                    terms, at = terms[keep], at[keep]
-                found.append((terms, at.astype(np.int32)))
+                found.append((terms.view(np.int64), at.astype(np.int32)))
                 docs.append(part.column("doc_id"))
                 lengths.append(n)
-                told += len(n)
             terms, at = (np.concatenate(x) for x in zip(*found, strict=True))
+            found.clear()
             order = np.argsort(terms, kind="stable")
             terms, at = terms[order], at[order]
             new = np.flatnonzero(np.concatenate((np.ones(min(1, len(terms)), bool), terms[1:] != terms[:-1])))
@@ -95,18 +73,43 @@ def build_index(documents: DataFrame, vocabulary: list[int] | None = None, segme
     return documents.select("doc_id", "text").mapInArrow(segments, SEGMENT)
 
 
+class Segment:
+    """A segment's postings for lookup: one ascending array of (term, position), terms by their place in a vocabulary."""
+
+    def __init__(self, row: dict, vocabulary: np.ndarray):
+        self.n_words = row["n_words"].astype(np.int64)
+        self.base = np.concatenate(([0], np.cumsum(self.n_words + 1)))  # where documents begin
+        terms, counts = row["terms"], row["counts"].astype(np.int64)
+        known = np.flatnonzero(np.isin(terms, vocabulary)) if len(terms) else np.zeros(0, np.int64)
+        starts = np.cumsum(counts) - counts
+        each = counts[known]
+        inner = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        number = np.searchsorted(vocabulary, terms[known])
+        self.places = row["positions"][np.repeat(starts[known], each) + inner].astype(np.int64)
+        self.keys = np.repeat(number, each) << 32 | self.places
+        self.first = np.searchsorted(self.keys, np.arange(len(vocabulary) + 1) << 32)  # of each term's list
+
+    def holds(self, term: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Whether each place is in the term's list."""
+        key = term << 32 | place
+        at = np.searchsorted(self.keys, key)
+        return (self.keys[np.minimum(at, len(self.keys) - 1)] == key) if len(self.keys) else np.zeros(len(key), bool)
+
+    def document(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.base, place, "right") - 1
+
+
 class Phrases:
     """A block of phrases, each a list of term ids, laid out for lookup in segments."""
 
     def __init__(self, phrases: dict[tuple[int, ...], list[int]], frequency: dict[int, int]):
-        """phrases: for each phrase the item numbers that hold it."""
+        """phrases: for each phrase the numbers of the items that hold it."""
         self.vocabulary = np.array(sorted({t for p in phrases for t in p}), np.int64)
         number = {t: i for i, t in enumerate(self.vocabulary.tolist())}
-        width = max(map(len, phrases), default=1)
         keys = list(phrases)
-        self.length = np.array([len(p) for p in keys], np.int32)
-        self.term = np.full((len(keys), width), -1, np.int32)  # from the rarest to the commonest
-        self.shift = np.zeros((len(keys), width), np.int32)
+        self.length = np.array([len(p) for p in keys], np.int64)
+        self.term = np.full((len(keys), max(map(len, phrases), default=1)), -1, np.int64)  # from the rarest to the commonest
+        self.shift = np.zeros(self.term.shape, np.int64)
         for i, p in enumerate(keys):
             order = sorted(range(len(p)), key=lambda j: (frequency.get(p[j], 0), j))
             self.term[i, : len(p)] = [number[p[j]] for j in order]
@@ -114,66 +117,67 @@ class Phrases:
         self.item_start = np.cumsum([0, *(len(phrases[p]) for p in keys)])
         self.item = np.array([x for p in keys for x in phrases[p]], np.int64)
 
-    def layout(self, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of each vocabulary term the slice of its postings, and the term at each position."""
-        starts = np.zeros(len(terms) + 1, np.int64)
-        np.cumsum(counts, out=starts[1:])
-        at = np.minimum(np.searchsorted(terms, self.vocabulary), max(len(terms) - 1, 0))
-        has = terms[at] == self.vocabulary if len(terms) else np.zeros(len(self.vocabulary), bool)
-        begin, end = (np.where(has, starts[at + x] if len(terms) else 0, 0) for x in (0, 1))
-        where = np.full(size + 1, -1, np.int32)
-        number = np.full(len(terms), -1, np.int32)
-        number[at[has]] = np.flatnonzero(has)
-        where[positions] = np.repeat(number, counts)
-        return begin, end, where
-
-    def candidates(self, begin: np.ndarray, end: np.ndarray, positions: np.ndarray, block: int = 1 << 21) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(phrase, position of its rarest term), in blocks."""
-        n = (end - begin)[self.term[:, 0]]
+    def items(self, phrase: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each phrase its items: (row of phrase, item)."""
+        n = self.item_start[phrase + 1] - self.item_start[phrase]
+        return np.repeat(np.arange(len(phrase)), n), self.item[np.repeat(self.item_start[phrase], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+
+    def rarest(self, segment: Segment, block: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(phrase, place of its rarest term), about so many at a time."""
+        n = np.diff(segment.first)[self.term[:, 0]] if len(self.length) else self.length
         live = np.flatnonzero(n)
-        cut = 0
-        sums = np.cumsum(n[live])
+        sums, cut = np.cumsum(n[live]), 0
         while cut < len(live):
-            before = sums[cut - 1] if cut else 0
-            stop = max(cut + 1, int(np.searchsorted(sums, before + block, "right")))
+            stop = max(cut + 1, int(np.searchsorted(sums, (sums[cut - 1] if cut else 0) + block, "right")))
             own = live[cut:stop]
             phrase = np.repeat(own, n[own])
             inner = np.arange(len(phrase)) - np.repeat(np.cumsum(n[own]) - n[own], n[own])
-            yield phrase, positions[begin[self.term[phrase, 0]] + inner]
+            for a in range(0, len(phrase), block):  # a term of more places than that comes in several
+                yield phrase[a : a + block], segment.places[segment.first[self.term[phrase[a : a + block], 0]] + inner[a : a + block]]
             cut = stop
 
-    def exact(self, begin: np.ndarray, end: np.ndarray, where: np.ndarray, positions: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(phrase, position of its first word) of all exact matches."""
-        for phrase, at in self.candidates(begin, end, positions):
-            start = at - self.shift[phrase, 0]
-            ok = (start >= 0) & (start + self.length[phrase] < len(where))
+    def exact(self, segment: Segment) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(phrase, place of its first word) of all matches."""
+        for phrase, place in self.rarest(segment):
+            start = place - self.shift[phrase, 0]
+            ok = start >= 0
             phrase, start = phrase[ok], start[ok]
             for j in range(1, self.term.shape[1]):
                 if not len(phrase):
                     break
-                ok = (j >= self.length[phrase]) | (where[np.minimum(start + self.shift[phrase, j], len(where) - 1)] == self.term[phrase, j])
+                ok = j >= self.length[phrase]
+                more = np.flatnonzero(~ok)
+                ok[more] = segment.holds(self.term[phrase[more], j], start[more] + self.shift[phrase[more], j])
                 phrase, start = phrase[ok], start[ok]
             yield phrase, start
 
-    def near(self, begin: np.ndarray, end: np.ndarray, where: np.ndarray, positions: np.ndarray, base: np.ndarray, slop: int) -> Iterator[tuple[int, int]]:
-        """(phrase, position of its rarest term) where every term stands within length + slop words of the rarest one."""
-        for phrase, at in self.candidates(begin, end, positions):
-            doc = np.searchsorted(base, at, "right") - 1
-            low = np.maximum(at - self.length[phrase] - slop, base[doc])
-            high = np.minimum(at + self.length[phrase] + slop, base[doc + 1] - 1)
-            ok = np.ones(len(phrase), bool)
-            for j in range(1, self.term.shape[1]):
-                for i in np.flatnonzero(ok & (j < self.length[phrase])):
-                    own = positions[begin[self.term[phrase[i], j]] : end[self.term[phrase[i], j]]]
-                    k = np.searchsorted(own, low[i])
-                    ok[i] = k < len(own) and own[k] < high[i]
-            yield from zip(phrase[ok].tolist(), at[ok].tolist(), strict=True)
-
-
-def _arrays(row: dict) -> tuple:
-    n = np.asarray(row["n_words"], np.int64)
-    base = np.concatenate(([0], np.cumsum(n + 1)))
-    return n, base, np.asarray(row["terms"], np.int64), np.asarray(row["counts"], np.int64), np.asarray(row["positions"], np.int64)
+    def near(self, segment: Segment, slop: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(phrase, first and last place of each least span that holds all its words within its length and slop words)."""
+        for i in range(len(self.length)):
+            n = int(self.length[i])
+            terms, times = np.unique(self.term[i, :n], return_counts=True)
+            lists = [segment.places[segment.first[t] : segment.first[t + 1]] for t in terms]
+            if any(len(x) < k for x, k in zip(lists, times.tolist(), strict=True)):
+                continue
+            reach = n + slop - 1
+            middle = lists[int(np.flatnonzero(terms == self.term[i, 0])[0])]  # the rarest term's places with all others around
+            for x in lists:
+                at = np.searchsorted(x, middle - reach)
+                middle = middle[(at < len(x)) & (x[np.minimum(at, len(x) - 1)] <= middle + reach)]
+            if not len(middle):
+                continue
+            begins = [x[(at := np.searchsorted(middle, x)) < len(middle)] for x in lists]
+            begins = [x[middle[np.searchsorted(middle, x)] <= x + reach] for x in begins]
+            a = np.unique(np.concatenate(begins))
+            b = a.copy()
+            for x, k in zip(lists, times.tolist(), strict=True):
+                at = np.searchsorted(x, a) + k - 1
+                b = np.maximum(b, np.where(at < len(x), x[np.minimum(at, len(x) - 1)], np.iinfo(np.int64).max))
+            ok = b - a <= reach
+            ok[ok] = segment.document(a[ok]) == segment.document(b[ok])
+            ok &= np.append(b[1:] != b[:-1], True)  # none within it
+            if ok.any():
+                yield i, a[ok], b[ok]
 
 
 def _segment_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
@@ -183,70 +187,86 @@ def _segment_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[dict]:
             yield {"doc_ids": row["doc_ids"].values, "segment": row["segment"].as_py()} | {k: row[k].values.to_numpy(zero_copy_only=False) for k in SEGMENT.names[1:]}
 
 
-def windows(texts: Iterable[tuple[object, str]], size: int) -> tuple[dict[tuple[int, ...], list[int]], list]:
-    """All runs of size words of the items; an item of fewer words, but not none, is one. Values: numbers of items."""
+def windows(texts: Iterable[tuple[object, str]], size: int, block_bytes: int) -> Iterator[tuple[dict[tuple[int, ...], list[int]], list]]:
+    """Blocks of all runs of size words of the items; an item of fewer words, but not none, is one. Values: numbers of items in the block's list of ids."""
     out: dict[tuple[int, ...], list[int]] = {}
     ids: list = []
+    held = 0
     for item, text in texts:
         terms = tokens(text)
-        if terms:
-            for i in range(max(1, len(terms) - size + 1)):
-                held = out.setdefault(tuple(terms[i : i + size]), [])
-                if not held or held[-1] != len(ids):
-                    held.append(len(ids))
-            ids.append(item)
-    return out, ids
+        if not terms:
+            continue
+        ids.append(item)
+        for i in range(max(1, len(terms) - size + 1)):
+            own = out.setdefault(tuple(terms[i : i + size]), [])
+            if not own or own[-1] != len(ids) - 1:
+                own.append(len(ids) - 1)
+            held += 40 * size + 120  # a window in Python, about
+            if held >= block_bytes:
+                yield out, ids
+                out, ids, held = {}, [item], 0
+    if out:
+        yield out, ids
+
+
+def indexed(documents: DataFrame) -> DataFrame:
+    """The index as a table in the shared folder, segments numbered."""
+    return shared.written(build_index(documents).withColumn("segment", F.monotonically_increasing_id()), "postings")
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, size: int = 10, block_words: int = 2_000_000) -> DataFrame:
-    """A row for each document: doc_id, n_words, n_hit (words inside matched windows of size words), items (ids of matched items, as sorted strings)."""
+def frequencies(index: DataFrame, vocabulary: list[int]) -> dict[int, int]:
+    """Postings in the whole corpus of each term of the vocabulary that has any."""
+    wanted = index.sparkSession.sparkContext.broadcast(np.array(sorted(vocabulary), np.int64))
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                terms, counts = (batch.column(c)[i].values.to_numpy(zero_copy_only=False) for c in ("terms", "counts"))
+                known = np.isin(terms, wanted.value)
+                yield pa.RecordBatch.from_arrays([pa.array(terms[known]), pa.array(counts[known].astype(np.int64))], names=["term", "n"])
+
+    counted = index.select("terms", "counts").mapInArrow(count, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
+    return dict(counted.collect())  # at most a row for each term of the block
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, size: int = 10, block_bytes: int = 64 << 20) -> DataFrame:
+    """A row for each document: doc_id, n_words, n_hit (words inside matched windows of size words), hits (their runs), items (ids of matched items, as sorted strings)."""
     spark = documents.sparkSession
-    items = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
-    chars = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).head()[0]
-    blocks = max(1, -(-chars // (2 * block_words)))  # a word has one character at least, and one follows it
-    index, parts = None, []
-    for b in range(blocks):
-        mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        held, ids = windows(((r[0], r[1]) for r in mine.toLocalIterator()), size)
-        vocabulary = sorted({t for p in held for t in p})
-        if index is None:  # several blocks share an index of all postings
-            index = shared.written(build_index(documents, vocabulary if blocks == 1 else None).withColumn("segment", F.monotonically_increasing_id()), "postings")
-        sent = spark.sparkContext.broadcast((Phrases(held, frequencies(index, vocabulary)), ids))
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    index, found = None, None
+    for held, ids in windows(((r[0], r[1]) for r in items.toLocalIterator()), size, block_bytes):
+        index = index or indexed(documents)
+        sent = spark.sparkContext.broadcast((Phrases(held, frequencies(index, sorted({t for p in held for t in p}))), ids))
 
         def look(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             phrases, names = sent.value
             for row in _segment_rows(batches):
-                n, base, terms, counts, positions = _arrays(row)
-                hits, held_items = _matches(phrases, names, base, terms, counts, positions)
-                size = len(n)
-                yield pa.RecordBatch.from_arrays([pa.array([row["segment"]] * size, pa.int64()), pa.array(range(size), pa.int32()), row["doc_ids"], pa.array(n, pa.int64()), pa.array([sum(x[1::2]) - sum(x[::2]) for x in hits], pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(held_items, pa.list_(pa.string()))], names=["segment", "at", "doc_id", "n_words", "n_hit", "hits", "items"])
-
-        parts.append(index.mapInArrow(look, "segment bigint, at int, doc_id bigint, n_words bigint, n_hit bigint, hits array<int>, items array<string>"))
-    if blocks == 1:
-        return parts[0].drop("segment", "at")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
-    found = found.groupBy("segment", "at").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"), F.collect_list("hits").alias("runs"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-
-    def merged(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                yield _matches(phrases, names, Segment(row, phrases.vocabulary), row["segment"])
+
+        part = index.mapInArrow(look, "segment bigint, at int, hits array<int>, items array<string>")
+        found = part if found is None else found.unionByName(part)
+    index = index or indexed(documents)
+    whole = index.select("segment", F.posexplode(F.arrays_zip("doc_ids", "n_words")).alias("at", "x")).select("segment", "at", F.col("x.doc_ids").alias("doc_id"), F.col("x.n_words").cast("long").alias("n_words"))
+    none = (F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<int>").alias("hits"), F.array().cast("array<string>").alias("items"))
+    if found is None:
+        return whole.select("doc_id", "n_words", *none)
+    found = found.groupBy("segment", "at").agg(F.flatten(F.collect_list("hits")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+
+    def united(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits = [_union(x) for x in batch.column("runs").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_words"), pa.array([sum(x[1::2]) - sum(x[::2]) for x in hits], pa.int64()), pa.array(hits, pa.list_(pa.int32())), batch.column("items")], names=["doc_id", "n_words", "n_hit", "hits", "items"])
+            hits = [_union(x) for x in batch.column("hits").to_pylist()]
+            columns = [batch.column("segment"), batch.column("at"), pa.array([sum(x[1::2]) - sum(x[::2]) for x in hits], pa.int64()), pa.array(hits, pa.list_(pa.int32())), batch.column("items")]
+            yield pa.RecordBatch.from_arrays(columns, names=["segment", "at", "n_hit", "hits", "items"])
 
-    return found.select("doc_id", "n_words", "runs", "items").mapInArrow(merged, "doc_id bigint, n_words bigint, n_hit bigint, hits array<int>, items array<string>")
+    hit = found.mapInArrow(united, "segment bigint, at int, n_hit bigint, hits array<int>, items array<string>")
+    filled = [F.coalesce(c, empty).alias(c) for c, empty in zip(("n_hit", "hits", "items"), none, strict=True)]
+    return whole.join(hit.hint("merge"), ["segment", "at"], "left").select("doc_id", "n_words", *filled)
 
 
-def frequencies(index: DataFrame, vocabulary: list[int]) -> dict[int, int]:
-    """Postings in the whole corpus of each term of the vocabulary that has any."""
-    counted = index.select(F.explode(F.arrays_zip("terms", "counts")).alias("x")).groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.counts").alias("n"))
-    wanted = index.sparkSession.createDataFrame([(t,) for t in vocabulary], "term bigint")
-    return {r[0]: r[1] for r in counted.join(wanted, "term", "left_semi").collect()}  # at most a row for each term of the block
-
-
-def _union(lists: list[list[int]]) -> list[int]:
+def _union(flat: list[int]) -> list[int]:
+    """Runs (begin, end, begin, end, ...) in any order, as runs that don't meet."""
     out: list[int] = []
-    for a, b in sorted((x[i], x[i + 1]) for x in lists for i in range(0, len(x), 2)):
+    for a, b in sorted(zip(flat[::2], flat[1::2], strict=True)):
         if out and a <= out[-1]:
             out[-1] = max(out[-1], b)
         else:
@@ -254,84 +274,125 @@ def _union(lists: list[list[int]]) -> list[int]:
     return out
 
 
-def _matches(phrases: Phrases, names: list, base: np.ndarray, terms: np.ndarray, counts: np.ndarray, positions: np.ndarray) -> tuple[list, list]:
-    """For each document of the segment the runs of hit words (begin, end, begin, end, ...) and the ids of matched items, sorted."""
-    hits: list = [[] for _ in base[1:]]
-    items: list = [[] for _ in base[1:]]
-    if not len(terms) or not len(phrases.length):
-        return hits, items
-    begin, end, where = phrases.layout(terms, counts, positions, int(base[-1]))
-    found = list(phrases.exact(begin, end, where, positions))
-    phrase, start = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, int), np.zeros(0, int))
-    if not len(phrase):
-        return hits, items
-    change = np.zeros(int(base[-1]) + 1, np.int64)
-    np.add.at(change, start, 1)
-    np.add.at(change, start + phrases.length[phrase], -1)
-    covered = np.concatenate(([0], (np.cumsum(change) > 0).astype(np.int8), [0]))
-    runs = np.flatnonzero(np.diff(covered)).reshape(-1, 2)
-    for d, (a, b) in zip((np.searchsorted(base, runs[:, 0], "right") - 1).tolist(), runs.tolist(), strict=True):
-        hits[d] += [a - int(base[d]), b - int(base[d])]
-    doc = np.searchsorted(base, start, "right") - 1
-    n = phrases.item_start[phrase + 1] - phrases.item_start[phrase]
-    item = phrases.item[np.repeat(phrases.item_start[phrase], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
-    for d, i in np.unique(np.stack((np.repeat(doc, n), item)), axis=1).T.tolist():
-        items[d].append(names[i])
-    return hits, [sorted(set(x)) if x else x for x in items]
-
-
-def proximity(documents: DataFrame, phrases: list[str], slop: int = 5) -> DataFrame:
-    """Documents with places where all words of a phrase stand near its rarest word: doc_id, phrase, position."""
+def _matches(phrases: Phrases, names: list, segment: Segment, number: int) -> pa.RecordBatch:
+    """Of each document with a match: the runs of hit words and the ids of matched items."""
+    hits: dict[int, list[int]] = {}
+    items: dict[int, set[str]] = {}
+    found = list(phrases.exact(segment))
+    phrase, start = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 2
+    if len(phrase):
+        change = np.zeros(int(segment.base[-1]) + 1, np.int64)
+        np.add.at(change, start, 1)
+        np.add.at(change, start + phrases.length[phrase], -1)
+        runs = np.flatnonzero(np.diff(np.concatenate(([0], (np.cumsum(change) > 0).astype(np.int8), [0])))).reshape(-1, 2)
+        for d, (a, b) in zip(segment.document(runs[:, 0]).tolist(), runs.tolist(), strict=True):
+            hits.setdefault(d, []).extend((a - int(segment.base[d]), b - int(segment.base[d])))
+        row, item = phrases.items(phrase)
+        for d, i in np.unique(np.stack((segment.document(start)[row], item)), axis=1).T.tolist():
+            if names[i] is not None:
+                items.setdefault(d, set()).add(names[i])
+    docs = sorted(hits)
+    columns = [pa.array([number] * len(docs), pa.int64()), pa.array(docs, pa.int32()), pa.array([hits[d] for d in docs], pa.list_(pa.int32())), pa.array([sorted(items.get(d, ())) for d in docs], pa.list_(pa.string()))]
+    return pa.RecordBatch.from_arrays(columns, names=["segment", "at", "hits", "items"])
+
+
+def matches(documents: DataFrame, phrases: list[str], slop: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """doc_id, phrase, start, end (words, end exclusive): exact matches; with slop, the least spans that hold all words of the phrase within so many more words than it has.
+
+    The phrases are one block; each is looked up by its words, and equal ones are listed by each of their texts.
+    """
     spark = documents.sparkSession
+    texts = sorted(set(phrases))
     held: dict[tuple[int, ...], list[int]] = {}
-    for i, text in enumerate(phrases):
+    for i, text in enumerate(texts):
         if terms := tokens(text):
             held.setdefault(tuple(terms), []).append(i)
-    vocabulary = sorted({t for p in held for t in p})
-    index = shared.written(build_index(documents, vocabulary).withColumn("segment", F.monotonically_increasing_id()), "postings")
-    sent = spark.sparkContext.broadcast(Phrases(held, frequencies(index, vocabulary)))
+    index = index or indexed(documents)
+    sent = spark.sparkContext.broadcast(Phrases(held, frequencies(index, sorted({t for p in held for t in p}))))
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for row in _segment_rows(batches):
-            _, base, terms, counts, positions = _arrays(row)
-            rows = []
-            if len(terms) and len(own.length):
-                begin, end, where = own.layout(terms, counts, positions, int(base[-1]))
-                for p, at in own.near(begin, end, where, positions, base, slop):
-                    d = int(np.searchsorted(base, at, "right")) - 1
-                    rows += [(row["doc_ids"][d].as_py(), phrases[i], at - int(base[d])) for i in own.item[own.item_start[p] : own.item_start[p + 1]].tolist()]
-            yield pa.RecordBatch.from_pylist([dict(zip(("doc_id", "phrase", "position"), r, strict=True)) for r in rows], pa.schema([("doc_id", pa.int64()), ("phrase", pa.string()), ("position", pa.int64())]))
+            segment = Segment(row, own.vocabulary)
+            if slop is None:
+                rows = [(p, a, a + own.length[p] - 1) for p, a in own.exact(segment)]
+            else:
+                rows = [(np.full(len(a), i), a, b) for i, a, b in own.near(segment, slop)]
+            for p, a, b in rows:
+                d, (each, text) = segment.document(a), own.items(p)
+                begin = (a - segment.base[d])[each]
+                columns = [row["doc_ids"].take(pa.array(d[each])), pa.array(texts, pa.string()).take(pa.array(text)), pa.array(begin), pa.array(begin + (b - a)[each] + 1)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "phrase", "start", "end"])
 
-    return index.mapInArrow(look, "doc_id bigint, phrase string, position bigint").distinct()
+    return index.mapInArrow(look, "doc_id bigint, phrase string, start bigint, end bigint")
 
 
 def cleaned(documents: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The rows, with all their columns, that hold no window of the items. Rows are known by a hash of doc_id and text."""
+    name = shared.unused("key", documents)
     key = F.xxhash64("doc_id", "text")
-    hit = contamination(documents.select(key.alias("doc_id"), "text"), benchmark, size).filter("n_hit > 0").select(F.col("doc_id").alias("__key")).distinct()
-    return documents.withColumn("__key", key).join(hit.hint("merge"), "__key", "left_anti").select(*documents.columns)
+    hit = contamination(documents.select(key.alias("doc_id"), "text"), benchmark, size).filter("n_hit > 0").select(F.col("doc_id").alias(name)).distinct()
+    return documents.withColumn(name, key).join(hit.hint("merge"), name, "left_anti").select(*documents.columns)
 
 
 def op5_decontamination(spark, sf_dir: str) -> DataFrame:
-    """Words of documents inside windows of 10 benchmark words."""
+    """Words of whole documents inside windows of 10 benchmark words. Odd rows as in the module's text."""
     found = contamination(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+#: The first words of each benchmark item are its phrase.
+PHRASE_WORDS, SLOP = 4, 3
+
+
+def index_matches(spark, sf_dir: str) -> DataFrame:
+    """Places in documents of the first four words of each benchmark item: the phrase itself (exact), and its words in any order within seven words (near)."""
+    documents, benchmark = (shared.table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    first = F.array_join(F.slice(F.regexp_extract_all(lower, F.lit(r"([^\x00-\x2F\x3A-\x60\x7B-\x7F]+)"), F.lit(1)), 1, PHRASE_WORDS), " ")
+    phrases = [r[0] for r in benchmark.select(first.alias("p")).filter("p <> ''").distinct().collect()]  # the stated query set
+    index = indexed(documents)
+    exact = matches(documents, phrases, None, index).withColumn("kind", F.lit("exact"))
+    return exact.unionByName(matches(documents, phrases, SLOP, index).withColumn("kind", F.lit("near")))
+
+
+MATCHES_SQL = """
+WITH words AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+phrases AS (
+  SELECT DISTINCT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')[1:4] AS p FROM benchmark),
+asked AS (SELECT array_to_string(p, ' ') AS phrase, p, len(p) AS n FROM phrases WHERE len(p) > 0),
+terms AS (SELECT phrase, n, t, count(*) AS k FROM (SELECT phrase, n, unnest(p) AS t FROM asked) GROUP BY ALL),
+places AS (SELECT r, doc_id, unnest(w) AS t, generate_subscripts(w, 1) - 1 AS pos FROM words),
+wanted AS (SELECT * FROM places WHERE t IN (SELECT t FROM terms)),
+lists AS (SELECT r, any_value(doc_id) AS doc_id, t, list(pos ORDER BY pos) AS ats FROM wanted GROUP BY r, t),
+holding AS (SELECT r, phrase FROM lists JOIN terms USING (t) WHERE len(ats) >= k GROUP BY r, phrase HAVING count(*) = (SELECT count(*) FROM terms x WHERE x.phrase = terms.phrase)),
+begins AS (SELECT DISTINCT h.r, h.phrase, unnest(l.ats) AS a FROM holding h JOIN terms USING (phrase) JOIN lists l ON l.r = h.r AND l.t = terms.t),
+ends AS (
+  SELECT b.r, b.phrase, b.a, any_value(l.doc_id) AS doc_id, any_value(terms.n) AS n, max(list_filter(l.ats, lambda x: x >= b.a)[terms.k]) AS e, count(list_filter(l.ats, lambda x: x >= b.a)[terms.k]) AS n_some, count(*) AS n_every
+  FROM begins b JOIN terms USING (phrase) JOIN lists l ON l.r = b.r AND l.t = terms.t GROUP BY ALL),
+near AS (SELECT r, doc_id, phrase, max(a) AS a, e FROM ends WHERE n_some = n_every AND e - a + 1 <= n + 3 GROUP BY r, doc_id, phrase, e),
+exact AS (
+  SELECT words.r, words.doc_id, b.phrase, b.a, b.a + asked.n - 1 AS e FROM begins b JOIN asked USING (phrase) JOIN words ON words.r = b.r
+  WHERE words.w[b.a + 1:b.a + asked.n] = asked.p)
+SELECT doc_id, phrase, a AS start, e + 1 AS "end", 'near' AS kind FROM near
+UNION ALL SELECT doc_id, phrase, a, e + 1, 'exact' FROM exact
+"""
+
+
 ORACLE_SQL = """
 WITH lowered AS (
   SELECT row_number() OVER () AS r, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
 docs AS (SELECT r, doc_id, regexp_extract_all(t, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM lowered),
 items AS (
   SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
-  FROM benchmark WHERE item_id IS NOT NULL),
-grams AS (SELECT DISTINCT item, w[i:i + least(10, len(w)) - 1] AS g FROM items, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS u(i) WHERE len(w) > 0),
+  , row_number() OVER () AS k FROM benchmark),
+grams AS (SELECT DISTINCT item, k, w[i:i + least(10, len(w)) - 1] AS g FROM items, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS u(i) WHERE len(w) > 0),
 sizes AS (SELECT DISTINCT len(g) AS n FROM grams),
 places AS (SELECT r, i, n, w[i:i + n - 1] AS g FROM docs, sizes, unnest(range(1, len(w) - n + 2)) AS u(i) WHERE len(w) >= n),
 found AS (SELECT p.r, p.i, p.n, g.item FROM places p JOIN grams g ON p.g = g.g),
 hit AS (SELECT r, count(DISTINCT j) AS n_hit FROM found, unnest(range(i, i + n)) AS u(j) GROUP BY r),
-held AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+held AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found WHERE item IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (r) LEFT JOIN held USING (r)
 """

@@ -10,6 +10,7 @@ QUERIES = {
     "op3_repeated_passages": repeats.op3_repeated_passages,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_decontamination": decontaminate.op5_decontamination,
+    "index_matches": decontaminate.index_matches,
     "op6_secret_scan": secrets.op6_secret_scan,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
@@ -20,6 +21,7 @@ QUERIES = {
 ORACLES = {
     "op3_repeated_passages": repeats.ORACLE_SQL,
     "op5_decontamination": decontaminate.ORACLE_SQL,
+    "index_matches": decontaminate.MATCHES_SQL,
     "op6_secret_scan": secrets.ORACLE_SQL,
     "op7_chat_formatting": chat.ORACLE_SQL,
     "op8_ngram_jaccard_join": jaccard.ORACLE_SQL,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 
@@ -13,10 +14,12 @@ _own: dict[str, str] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster names in spark.checkpoint.dir; where that is unset (tests on one machine) a folder of our own."""
+    """The folder that the cluster names in spark.checkpoint.dir; where that is unset, on one machine only, as in tests, a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.match(r"local(\[[^\]]*\])?$", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     if "dir" not in _own:
         _own["dir"] = tempfile.mkdtemp(prefix="vellumq-")
     return _own["dir"]
@@ -46,6 +49,14 @@ def _remove(spark: SparkSession, path: str) -> None:
         pass
 
 
+def unused(name: str, *tables: DataFrame) -> str:
+    """A column name like this that none of the tables has, however letters are cased."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fold(key: Column, modulus: int) -> Column:
     """crc32 of the key as text, modulo: the folds of the labelled rows."""
     return F.pmod(F.crc32(F.encode(key.cast("string"), "UTF-8")), F.lit(modulus))
