@@ -1,9 +1,12 @@
 """Operators over documents against brute force, and the defined results for odd rows."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -95,8 +98,8 @@ def test_both_tokenizers_split_alike():
 
 def base_spans(text):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
-    out += [(m.start(), 1, m.end()) for m in private.IP.finditer(text) if all(int(x) <= 255 for x in m.group().split("."))]
-    for m in private.CARD.finditer(text):
+    out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(x) <= 255 for x in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
         d = re.sub("[^0-9]", "", m.group())
         if 14 <= len(d) <= 19 and private.luhn(d):
             out.append((m.start(), 2, m.end()))
@@ -114,56 +117,145 @@ def test_base_spans_by_brute_force():
         assert private.base(t) == base_spans(t), t
 
 
-def test_added_spans_and_redaction():
-    model = private.model()
-    text = "call (415) 555-0134 now, bob [at] corp [dot] com; License, Version 2.0 of 2004-01-12, page 120 and 3.14159"
-    added = model.added(text, private.base(text))
-    assert [text[s:e] for s, _, e, _ in sorted(added)] == ["(415) 555-0134", "bob [at] corp [dot] com"]
+def test_parts_of_many_zeros():
+    for n in (1, 300, 399, 401, 3000):
+        t = "0" * n + ".1.1.1 and " + "0" * n + "256.1.1.1"
+        assert [x for x in private.base(t) if x[1] == 1] == [(0, 1, n + 6)] == [x for x in base_spans(t) if x[1] == 1]
+
+
+@pytest.fixture(scope="module")
+def boosted():
+    return private.Model([])
+
+
+def brute_candidates(text):
+    """Every span from digit to digit, from group border to group border, and every address, one by one."""
+    out = set()
+    for s in range(len(text)):
+        if not text[s].isascii() or not text[s].isdigit() or s and text[s - 1] in "0123456789":
+            continue
+        for e in range(s + 1, len(text) + 1):
+            span = text[s:e]
+            if not re.fullmatch(r"[0-9]+([ ().\-/\[\]]{1,3}[0-9]+)*", span):
+                continue
+            if e < len(text) and text[e] in "0123456789":
+                continue
+            n, groups = len(re.sub("[^0-9]", "", span)), len(re.findall("[0-9]+", span))
+            begin = s - (text[s - 1 : s] == "(")
+            begin -= text[begin - 1 : begin] == "+" if begin else 0
+            out |= {(begin, k, e) for k, ok in ((1, groups == 4 and n <= 19), (2, 12 <= n <= 19), (3, 7 <= n <= 15)) if ok}
+    return out
+
+
+def brute_score(boosted, values):
+    """The trees walked one by one, in plain Python."""
+    row = [sum(v > c for c in cuts) for v, cuts in zip(values.tolist(), boosted.trees.cuts, strict=True)]
+    margin = boosted.trees.first
+    for column, cut, below, above, value in boosted.trees.trees:
+        node = 0
+        while below[node] != node:
+            node = int(below[node] if row[column[node]] <= cut[node] else above[node])
+        margin += boosted.trees.rate * value[node]
+    return 1 / (1 + math.exp(-(boosted.slope * margin + boosted.constant)))
+
+
+def brute_spans(boosted, text):
+    kept, own = base_spans(text), private.proposals(text)
+    scores = {(int(s), int(k), int(e)): brute_score(boosted, v) for s, k, e, v in zip(own.start, own.kind, own.end, own.values, strict=True)}
+    out = [(*x, True) for x in kept]
+    for s, k, e in sorted(scores, key=lambda x: (-scores[x], x)):
+        if scores[s, k, e] >= boosted.threshold[k] and not any(s < f and b < e for b, _, f, _ in out):
+            out.append((s, k, e, False))
+    return sorted(out), scores
+
+
+PARTS = ["4111 1111 1111 1111", "12/26", "123", "(415) 555-0134", "555-123-4567", "call ", "visa ", "+1 415 555 0134", "10.0.0[.]1", "bob [at] corp [dot] com", "a.b@c.de", "2004-01-12", "version ", "é", "1.2.3.4", "ip ", "x @ y.org", "\n", ", "]
+
+
+def test_candidates_and_added_spans_by_brute_force(boosted):
+    r = random.Random(8)
+    for _ in range(60):
+        t = " ".join(r.choice(PARTS) for _ in range(r.randint(1, 7)))
+        own = private.proposals(t)
+        assert {(s, k, e) for s, k, e in zip(own.start.tolist(), own.kind.tolist(), own.end.tolist(), strict=True) if k} == brute_candidates(t), t
+        want, scores = brute_spans(boosted, t)
+        got = boosted.spans(t)
+        assert [(s, k, e, b) for s, k, e, _, b, _ in got] == want, t
+        assert all(abs(p - scores.get((s, k, e), 0)) < 1e-9 and a == (p >= boosted.threshold[k]) for s, k, e, p, _, a in got)
+
+
+def test_texts_are_scanned_apart(boosted):
+    r = random.Random(5)
+    texts = ["".join(r.choice(PARTS) for _ in range(r.randint(0, 4))) for _ in range(80)] + [None, ""]
+    assert list(private.spans_of(texts, boosted)) == [boosted.spans(t or "") for t in texts]
+
+
+@pytest.mark.parametrize(("text", "found"), [
+    ("call (415) 555-0134 now, bob [at] corp [dot] com; License, Version 2.0 of 2004-01-12, page 120 and 3.14159", ["(415) 555-0134", "bob [at] corp [dot] com"]),
+    ("Visa 4111 1111 1111 1111 12/26", ["4111 1111 1111 1111"]), ("card 4111111111111111 123", ["4111111111111111"]), ("phone 555-123-4567 555-987-6543", ["555-123-4567", "555-987-6543"]),
+    ("from 2004-01-12 to 2005, 1234567 of them, isbn 978-1-2345-6789-0", []),
+])
+def test_added_spans(boosted, text, found):
+    assert [text[s:e] for s, _, e, *_ in boosted.spans(text)] == found
+
+
+def test_redaction():
     assert private.redacted("a x@y.zz b", [(2, 0, 8)]) == "a [EMAIL] b"
     assert private.redacted("abcdef", [(1, 3, 4), (2, 2, 5)]) == "a[PHONE]f"
 
 
-def test_personal_data_of_odd_rows(spark):
-    got = {(r.doc_id): r for r in private.digests(private.find(odd(spark))).collect()}
-    assert len(got) == 8 and all(r.n_email == r.n_card == 0 and r.spans == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got.values())
-    kept = private.redact(rows(spark, [None, "mail a@b.cc 1"])).orderBy("doc_id").collect()
+def test_digits_alone_take_linear_time(boosted):
+    for text in ("7" * 2_000_000, "1 2 3 4 " * 20_000, "1.2.3.4." * 20_000, "a@" * 200_000, "+1" * 200_000, "a@b.c" * 50_000):
+        began = time.perf_counter()
+        boosted.spans(text)
+        assert time.perf_counter() - began < 30
+
+
+def test_personal_data_of_odd_rows(spark, boosted):
+    got = {(r.doc_id): r for r in private.digests(private.find(odd(spark), boosted)).collect()}
+    assert len(got) == 8 and all(r.n_email == r.n_card == 0 and r.spans == r.scores == r.accepted == "" and r.base_sha256 == hashlib.sha256(b"").hexdigest() for r in got.values())
+    kept = private.redact(rows(spark, [None, "mail a@b.cc 1"]), boosted).orderBy("doc_id").collect()
     assert [r.text for r in kept] == [None, "mail [EMAIL] 1"] and kept[0].asDict().keys() == odd(spark).first().asDict().keys()
     assert private.find(odd(spark).limit(0)).count() == 0
 
 
+def test_contexts_of_the_documents(spark):
+    texts = [f"some words before card {'4111 1111 1111 1111' if i % 2 else '2004-01-12 of 1234567'} and after" for i in range(40)]
+    held = private.contexts(rows(spark, texts), fit_spans=10)
+    assert [k for _, _, k, _ in held] == [2] * 10 + [-1] * 10
+    assert {t[s:e] for t, s, k, e in held if k == 2} == {"4111 1111 1111 1111"} and all(t in texts or any(t in x for x in texts) for t, *_ in held)
+    assert held == private.contexts(rows(spark, texts), fit_spans=10)
+
+
 # -- repeated passages
 
 
 def brute_passages(texts, size):
-    docs = {}
-    for i, t in texts:
-        docs.setdefault(i, []).append(SPACE.findall(lowered(t)))
-    held = {}
-    for i, parts in docs.items():
-        for w in parts:
-            for p in range(len(w) - size + 1):
-                held.setdefault(tuple(w[p : p + size]), set()).add(i)
-    out = set()
-    for i, parts in docs.items():
-        at = {}
-        for w in parts:
-            for p in range(len(w) - size + 1):
-                others = held[tuple(w[p : p + size])] - {i}
-                if others:
-                    at[p] = min(at.get(p, 1 << 60), min(others))
+    held, out = {}, set()
+    texts = [(i, SPACE.findall(lowered(t))) for i, t in texts]
+    for i, w in texts:
+        for p in range(len(w) - size + 1):
+            held.setdefault(tuple(w[p : p + size]), set()).add(i)
+    for i, w in texts:
         run = None
-        for p in sorted(at):
-            if run and p <= run[1]:
-                run = (run[0], p + size, min(run[2], at[p]))
-            else:
-                if run:
-                    out.add((i, *run))
-                run = (p, p + size, at[p])
-        if run:
-            out.add((i, *run))
+        for p in range(len(w) - size + 2):
+            others = held[tuple(w[p : p + size])] - {i} if p <= len(w) - size else set()
+            if run and others and min(others) == run[1]:
+                continue
+            if run:
+                out.add((i, run[0], p - 1 + size, run[1]))
+            run = (p, min(others)) if others else None
     return out
 
 
+def test_passages_link_all_holders(spark):
+    """Passages that stand side by side, each shared with another document."""
+    one, two, three = (" ".join(f"{c}{i}" for i in range(60)) for c in "xyz")
+    texts = [three, one, f"{one} {two}", f"{two} {three}"]
+    got = {(x.doc_id, x.start, x.end, x.other_id) for x in repeats.passages(rows(spark, texts, [0, 1, 2, 9])).collect()}
+    assert got == {(0, 0, 60, 9), (1, 0, 60, 2), (2, 0, 60, 1), (2, 60, 120, 9), (9, 0, 60, 2), (9, 60, 120, 0)}
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_passages_by_brute_force(spark, seed):
     r = random.Random(seed)
@@ -173,8 +265,8 @@ def test_passages_by_brute_force(spark, seed):
     for _ in range(60):
         parts = [r.choice(shared) if r.random() < 0.4 else " ".join(word() for _ in range(r.randint(1, 12))) for _ in range(r.randint(1, 6))]
         texts.append(" ".join([*parts, "zz " * r.choice([0, 0, 30])]))
-    for size, anchor in ((8, 3), (12, 12), (6, 1)):
-        got = {(x.doc_id, x.start, x.end, x.other_id) for x in repeats.passages(rows(spark, texts), size, anchor).collect()}
+    for size, anchor, crowd in ((8, 3, 4096), (8, 3, 4), (12, 12, 4096), (6, 1, 4096), (6, 1, 1)):  # the last ones: all anchors are crowds'
+        got = {(x.doc_id, x.start, x.end, x.other_id) for x in repeats.passages(rows(spark, texts), size, anchor, crowd).collect()}
         assert got == brute_passages(list(enumerate(texts)), size)
 
 
@@ -199,19 +291,19 @@ def brute_contamination(text, items, size=10):
             for p in range(len(w) - len(g) + 1):
                 if w[p : p + len(g)] == g:
                     hit |= set(range(p, p + len(g)))
-                    ids.add(str(item))
+                    ids |= {str(item)} if item is not None else set()
     return len(w), len(hit), sorted(ids)
 
 
-@pytest.mark.parametrize("block_words", [2_000_000, 40])
-def test_contamination_by_brute_force(spark, block_words):
+@pytest.mark.parametrize("block_bytes", [64 << 20, 20_000])
+def test_contamination_by_brute_force(spark, block_bytes):
     r = random.Random(5)
     word = lambda: r.choice(["a", "b", "the", "Ä", "x1", "C"])
-    items = [(i, " ".join(word() for _ in range(r.randint(0, 18)))) for i in range(25)] + [(7, "a b"), (None, "a"), (30, None)]
+    items = [(i, " ".join(word() for _ in range(r.randint(0, 18)))) for i in range(25)] + [(7, "a b"), (None, "a the"), (30, None)]
     texts = [" ".join([*(word() for _ in range(r.randint(0, 30))), r.choice(items)[1] or "", *(word() for _ in range(9))]) for _ in range(40)] + ODD
     bench = spark.createDataFrame([(i, t, "x") for i, t in items], "item_id long, text string, doc_id string")
-    got = {x.doc_id: (x.n_words, x.n_hit, list(x["items"])) for x in decontaminate.contamination(rows(spark, texts), bench, 10, block_words).collect()}
-    assert got == {i: brute_contamination(t, [x for x in items if x[0] is not None]) for i, t in enumerate(texts)}
+    got = {x.doc_id: (x.n_words, x.n_hit, list(x["items"])) for x in decontaminate.contamination(rows(spark, texts), bench, 10, block_bytes).collect()}
+    assert got == {i: brute_contamination(t, items) for i, t in enumerate(texts)}
 
 
 def test_contamination_of_odd_tables(spark):
@@ -223,10 +315,35 @@ def test_contamination_of_odd_tables(spark):
     assert decontaminate.cleaned(odd(spark), bench).count() == len(ODD) - 2
 
 
-def test_proximity(spark):
-    texts = ["red one blue two green", "red blue green", "red " + "x " * 30 + "blue green", "blue red"]
-    got = decontaminate.proximity(rows(spark, texts), ["red blue green"], 2).collect()
-    assert {r.doc_id for r in got} == {0, 1}
+def brute_near(text, phrase, slop):
+    w, p = ALNUM.findall(lowered(text)), ALNUM.findall(lowered(phrase))
+    spans = {(a, b) for a in range(len(w)) for b in range(a, min(len(w), a + len(p) + slop)) if not Counter(p) - Counter(w[a : b + 1])} if p else set()
+    return {(a, b + 1) for a, b in spans if not any((c, d) != (a, b) and a <= c and d <= b for c, d in spans)}
+
+
+def brute_exact(text, phrase):
+    w, p = ALNUM.findall(lowered(text)), ALNUM.findall(lowered(phrase))
+    return {(a, a + len(p)) for a in range(len(w) - len(p) + 1) if w[a : a + len(p)] == p} if p else set()
+
+
+def test_matches_by_brute_force(spark):
+    r = random.Random(9)
+    texts = [" ".join(r.choice(["a", "b", "c", "d", "E", "é"]) for _ in range(r.randint(0, 40))) for _ in range(60)] + ODD
+    phrases = ["a b c", "A B C", "a a", "d é e", "c", "q a", "", "b a b a", "same text of", "words same"]
+    docs = rows(spark, texts)
+    for slop in (None, 0, 2, 5):
+        got = {}
+        for x in decontaminate.matches(docs, phrases, slop).collect():
+            assert (x.start, x.end) not in got.setdefault((x.doc_id, x.phrase), set())
+            got[x.doc_id, x.phrase].add((x.start, x.end))
+        want = {(i, p): found for i, t in enumerate(texts) for p in phrases if (found := brute_exact(t, p) if slop is None else brute_near(t, p, slop))}
+        assert got == want
+    assert decontaminate.matches(docs, [], 2).count() == 0 and decontaminate.matches(docs.limit(0), phrases).count() == 0
+
+
+def test_near_on_either_side(spark):
+    texts = ["x x x x x red x green blue", "green x red x x x x x blue", "green x x x x red x x x blue"]
+    assert {(x.doc_id, x.start, x.end) for x in decontaminate.matches(rows(spark, texts), ["red green blue"], 2).collect()} == {(0, 5, 9)}
 
 
 # -- secrets

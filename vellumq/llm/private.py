@@ -1,16 +1,24 @@
 """Personal data by candidate gradient boosting.
 
-High-recall generators propose overlapping spans: everything that looks like an address with a host, however the signs
-are written, and every run of digits with the separators people use. Boosted trees score each candidate from its format (digits,
-separators, checksums, group sizes) and its context (cue words, neighbouring characters). A logistic curve over held-out
-margins calibrates the scores, and each kind has a threshold that keeps its precision there. Spans of the four base patterns are always kept;
-accepted candidates that touch none of them are added, the likeliest first.
-
-The trees are trained on seeded examples, drawn from the formats in ``example``: there are no labelled spans in the corpus. The model
-is a few kilobytes and doesn't depend on the corpus. Whole texts are scanned where they are; nothing is shuffled.
+High-recall generators propose overlapping spans (``Proposals``): around every at-sign, however it is written, the address as far as it goes; and of every
+run of digit groups with the separators people use, all sub-runs that begin and end at group borders and have as many digits as a kind can have (a
+card 12 to 19, a phone number 7 to 15, an address of the network four groups). Boosted trees score each candidate from its format (digits, separators,
+checksums, group sizes, the neighbours in its run) and its context (cue words, neighbouring characters). A logistic curve over held-out margins calibrates the
+scores, and each kind has the least threshold that keeps its precision there. Every candidate is scored, those of the base patterns too, and the
+scores choose between overlapping ones: the likeliest first, none touching another. Spans of the four base patterns always stay, with their score
+and the model's verdict beside them; other accepted spans are added where they touch no base span.
+
+The trees learn from contexts of the documents themselves (``contexts``): at most ``fit_spans`` places of base spans and as many of other digit runs, drawn by a
+hash from at most about ``fit_docs`` documents; this sample is the only bound. True spans are the base ones, also rewritten in other formats of their kind at the same
+places, and a few seeded contexts, so that every kind has some where the documents have none. False ones are all other candidates that overlap a
+true one (sub-runs, runs with a neighbour, other kinds), runs of digits without a cue, and dates, versions, numbers and amounts at such places.
+
+Texts are scanned where they are, joined in pieces of a batch, by arrays and by patterns that don't go back: time follows the length, also
+of a text of digits alone. Nothing is shuffled.
 
 Defined results: null and empty texts have no spans; a null doc_id stays null; repeated rows are scanned each for itself; positions are code
-points; empty tables give no rows; extra columns are not read by ``find`` and kept by ``redact``.
+points; of equally likely candidates the first, then the kind as listed, then the shorter wins; empty tables give no rows; without documents the trees
+learn from the seeded contexts; extra columns are not read by ``find`` and kept by ``redact``.
 """
 
 from __future__ import annotations
@@ -18,35 +26,41 @@ from __future__ import annotations
 import hashlib
 import random
 import re
-from collections.abc import Callable, Iterable, Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from vellumq.llm import shared, words
+from vellumq.llm.toxicity import calibration
 
 KINDS = ("email", "ip", "card", "phone")
-#: The base patterns.
-HOST = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+EMAIL, IP_, CARD_, PHONE_ = range(4)
+#: The base patterns. Possessive repeats give the same matches as plain ones here, without going back.
+HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-SIGNS = re.compile(r"[0-9@]|[(\[] ?at ?[)\]]", re.I)
-AT = re.compile(r"@|[(\[] ?at ?[)\]]", re.I)
-#: The generators.
-ADDRESS = re.compile(r"[A-Za-z0-9._%+-]{1,64}(?:[ ]?@[ ]?|[ ]?[(\[][ ]?at[ ]?[)\]][ ]?)[A-Za-z0-9-]{1,63}(?:(?:\.|[ ]?[(\[][ ]?dot[ ]?[)\]][ ]?)[A-Za-z0-9-]{1,63}){1,8}", re.I)
-DIGITS = re.compile(r"\+?\(?[0-9](?:[ ().\-/]{0,2}[0-9]){5,24}")
-#: Cue words of either language, before a span, by kind.
+#: The generators: at-signs, hosts after them, what may stand between the groups of a number (one or two characters).
+AT = re.compile(r" ?@ ?| ?[(\[] ?at ?[)\]] ?", re.I)
+ANY_HOST = re.compile(r"[A-Za-z0-9-]++(?:(?:\.| ?[(\[] ?dot ?[)\]] ?)[A-Za-z0-9-]++)++", re.I)
+GAPS = " ().-/[]"
+MOST_DIGITS, GROUPS = 19, 19
+#: Cue words of several languages before a span, by kind, and words that speak against one.
 CUES = {
     "email": re.compile(r"(?:e-?mail|contact|courriel|correo|write|reply)\W{0,3}(?:\w+\W{1,2})?$", re.I),
     "ip": re.compile(r"(?:\bip|address|host|server|adresse|from)\W{0,3}(?:\w+\W{1,2})?$", re.I),
     "card": re.compile(r"(?:card|visa|mastercard|amex|carte|tarjeta|karte)\W{0,3}(?:\w+\W{1,2})?$", re.I),
     "phone": re.compile(r"(?:phone|tel|t[ée]l[ée]phone|call|fax|mobile|cell|telefon|tel[ée]fono|ring)\W{0,3}(?:\w+\W{1,2})?$", re.I),
 }
-NOT = re.compile(r"(?:version|v|license|licence|section|chapter|page|isbn|issn|no|nr|id|order|ticket|invoice|\$|€|£)\W{0,3}$", re.I)
+NOT = re.compile(r"(?:version|\bv|license|licence|section|chapter|page|isbn|issn|no|nr|id|order|ticket|invoice|\$|€|£)\W{0,3}$", re.I)
+BEFORE, AFTER = 24, 8
+#: Between the texts of a piece: no pattern takes it.
+BREAK = "\x00"
 
 
 def luhn(digits: str) -> bool:
@@ -57,6 +71,11 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _octet(part: str) -> bool:
+    part = part.lstrip("0")
+    return len(part) < 4 and int(part or "0") <= 255
+
+
 def base(text: str) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the base patterns' spans, leftmost and not overlapping within a kind."""
     found: list[tuple[int, int, int]] = []
@@ -66,228 +85,475 @@ def base(text: str) -> list[tuple[int, int, int]]:
         while start > done and text[start - 1] in LOCAL:
             start -= 1
         if start < at and (host := HOST.match(text, at + 1)):
-            found.append((start, 0, host.end()))
+            found.append((start, EMAIL, host.end()))
             done = host.end()
         at = text.find("@", max(at + 1, done))
     for m in IP.finditer(text):
-        if all(len(p) <= 400 and int(p) <= 255 for p in m.group().split(".")):
-            found.append((m.start(), 1, m.end()))
+        if all(map(_octet, m.group().split("."))):
+            found.append((m.start(), IP_, m.end()))
     for m in CARD.finditer(text):
-        digits = m.group().replace(" ", "").replace("-", "")
-        if 14 <= len(digits) <= 19 and luhn(digits):
-            found.append((m.start(), 2, m.end()))
+        if m.end() - m.start() <= 2 * MOST_DIGITS:
+            digits = m.group().replace(" ", "").replace("-", "")
+            if 14 <= len(digits) <= 19 and luhn(digits):
+                found.append((m.start(), CARD_, m.end()))
     for m in PHONE.finditer(text):
-        if 10 <= sum(c.isdigit() and c.isascii() for c in m.group()) <= 15:
-            found.append((m.start(), 3, m.end()))
+        if 10 <= sum("0" <= c <= "9" for c in m.group()) <= 15:
+            found.append((m.start(), PHONE_, m.end()))
     return sorted(found)
 
 
-def candidates(text: str) -> list[tuple[int, int, int]]:
-    """(start, kind, end) that the generators propose; spans of several kinds overlap."""
-    out = [(m.start(), 0, m.end()) for m in ADDRESS.finditer(text)] if AT.search(text) else []
-    for m in DIGITS.finditer(text):
-        out += [(m.start(), kind, m.end()) for kind in (1, 2, 3)]
-    return out
+#: Names of the columns of ``Proposals.values``.
+NAMES = (
+    "kind", "chars", "digits", "groups", "longest", "shortest", "first", "last", "luhn", "octets", "dots", "dashes", "spaces", "slashes", "brackets", "plus",
+    "cue", "other_cue", "against", "letter_before", "letter_after", "sign_after", "run_before", "run_after", "year_first", "year_last", "at_form", "labels", "last_label", "local",
+)
 
 
-def features(text: str, start: int, kind: int, end: int) -> list[float]:
-    span = text[start:end]
-    digits = "".join(c for c in span if "0" <= c <= "9")
-    groups = [len(g) for g in re.split(r"[^0-9]+", span) if g]
-    before, after = text[max(0, start - 24) : start], text[end : end + 8]
-    octets = span.split(".")
-    return [
-        kind, len(span), len(digits), len(groups), max(groups, default=0), min(groups, default=0), groups[-1] if groups else 0, groups[0] if groups else 0,
-        float(13 <= len(digits) <= 19 and luhn(digits)),
-        float(len(octets) == 4 and all(o.isascii() and o.isdigit() and len(o) <= 3 and int(o) <= 255 for o in octets)),
-        span.count("."), span.count("-"), span.count(" "), float("(" in span and ")" in span), float(span[:1] == "+"), float("@" in span),
-        float(bool(re.search(r"[(\[ ]at[)\] ]", span, re.I))), float(len(re.split(r"\W+", span)[-1]) in (2, 3, 4) and span[-1:].isalpha()),
-        float(bool(CUES[KINDS[kind]].search(before))), float(bool(NOT.search(before))),
-        float(before[-1:].isalnum()), float(after[:1].isalnum()), float(after[:1] in "%/"), sum(c.isdigit() for c in before + after),
-        float("/" in span), float(bool(re.match(r"(?:19|20)[0-9]{2}", digits)) and len(digits) in (8, 12, 14)),
-    ]
-
-
-def example(r: random.Random) -> tuple[str, int, int, int, int]:
-    """A text with a span: text, start, kind, end, label."""
+@dataclass
+class Proposals:
+    """Candidates of a text, or of texts joined by BREAK: where they begin and end, their kind, and a row of values for each."""
 
-    def d(n: int) -> str:
-        return "".join(r.choice("0123456789") for _ in range(n))
+    start: np.ndarray
+    kind: np.ndarray
+    end: np.ndarray
+    values: np.ndarray
 
-    def card(n: int, ok: bool) -> str:
-        while True:
-            x = r.choice("3456") + d(n - 1)
-            if luhn(x) == ok:
-                return x
+    def __len__(self) -> int:
+        return len(self.start)
 
-    def word() -> str:
-        return "".join(r.choice("abdeghilnorstuéü") for _ in range(r.randint(2, 8)))
 
-    sep = r.choice(" -.")
-    name, host = word().strip("éü") or "ab", r.choice(["mail", "example", "corp-x", "uni"])
-    good: dict[int, list[Callable[[], str]]] = {
-        0: [lambda: f"{name}.{d(2)}@{host}.com", lambda: f"{name} [at] {host} [dot] org", lambda: f"{name}(at){host}.net", lambda: f"{name} @ {host}.de", lambda: f"{name}[at]{host}.fr"],
-        1: [lambda: ".".join(str(r.randint(1, 255)) for _ in range(4))],
-        2: [lambda: card(16, True), lambda: sep.join(re.findall("....", card(16, True))), lambda: card(15, True), lambda: "-".join(re.findall("....", card(16, True)))],
-        3: [lambda: f"({r.randint(2, 9)}{d(2)}) {d(3)}-{d(4)}", lambda: f"{r.randint(2, 9)}{d(2)}{sep}{d(3)}{sep}{d(4)}", lambda: f"+{r.randint(1, 99)} {d(3)} {d(3)} {d(4)}", lambda: f"0{d(1)} {d(2)} {d(2)} {d(2)} {d(2)}"],
-    }
-    bad: list[Callable[[], str]] = [
-        lambda: f"{r.randint(1, 30)}.{r.randint(1, 12)}.{r.randint(1900, 2030)}", lambda: f"{r.randint(1900, 2030)}-{r.randint(10, 12)}-{r.randint(10, 28)}", lambda: f"{d(3)}{d(3)}{d(3)}", lambda: card(16, False), lambda: d(r.randint(6, 24)),
-        lambda: f"{r.randint(256, 999)}.{d(3)}.{d(3)}.{d(3)}", lambda: ".".join(d(1) for _ in range(6)), lambda: f"{d(3)}.{d(3)}.{d(3)},{d(2)}", lambda: " ".join(d(r.randint(1, 3)) for _ in range(5)), lambda: f"{r.randint(1900, 2030)} {r.randint(1900, 2030)}", lambda: f"97{r.choice('89')}-{d(1)}-{d(4)}-{d(4)}-{d(1)}", lambda: f"{d(4)}/{d(4)}", lambda: "-".join(d(5) for _ in range(3)),
-    ]
-    cues = {0: ["email", "contact", "mail:"], 1: ["ip", "host", "server"], 2: ["card", "visa", "card no."], 3: ["phone", "tel.", "call", "fax:"]}
-    kind, label = r.randrange(4), int(r.random() < 0.45)
-    span = r.choice(good[kind])() if label else r.choice(bad)() if kind else r.choice([lambda: f"{name}@{host}.{d(1)}", lambda: f"{d(2)} @ {d(2)}.{d(2)}", lambda: f"x@{d(1)}.{d(1)}"])()
-    if not label and kind and r.random() < 0.35:  # a real span of another kind
-        kind2 = r.choice([k for k in (1, 2, 3) if k != kind])
-        span = r.choice(good[kind2])()
-    cue = r.choice(cues[kind]) + " " if r.random() < (0.5 if label else 0.1) else r.choice(["version ", "no. ", "id ", "section ", "$", "order "]) if not label and r.random() < 0.5 else ""
-    before = " ".join(word() for _ in range(3)) + " " + cue
-    glue = "" if label or r.random() < 0.8 else r.choice("abx7")
-    text = before + glue + span + glue + r.choice([" ", ". ", ", ", "\n"]) + word()
-    start = len(before) + len(glue)
-    return text, start, kind, start + len(span), label
+def _cues(text: str, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """For each place: the cues of the four kinds and the words against, in the characters before it."""
+    out = np.zeros((len(starts), 5))
+    telling = np.concatenate(([0], np.cumsum((codes >= 0x41) | (codes == 0x24))))  # letters and signs of money
+    for i in np.flatnonzero(telling[starts] > telling[np.maximum(starts - BEFORE, 0)]).tolist():
+        s = int(starts[i])
+        window = text[max(0, s - BEFORE) : s]
+        window = window[window.rfind(BREAK) + 1 :]
+        out[i] = [bool(CUES[k].search(window)) for k in KINDS] + [bool(NOT.search(window))]
+    return out
+
+
+def _addresses(text: str) -> list[tuple[int, int, int, int, int, int]]:
+    """(start, end, form of the at-sign, labels of the host, length of its last label or 0 if not of letters, length of the local part)."""
+    out = []
+    for m in AT.finditer(text):
+        start = m.start()
+        while start and text[start - 1] in LOCAL:
+            start -= 1
+        host = ANY_HOST.match(text, m.end())
+        if start < m.start() and host:
+            labels = re.split(r"\.| ?[(\[] ?dot ?[)\]] ?", host.group(), flags=re.I)
+            form = 2 if "@" not in m.group() else int(len(m.group()) > 1)
+            out.append((start, host.end(), form, len(labels), len(labels[-1]) if labels[-1].isalpha() else 0, m.start() - start))
+    return out
+
+
+class _Groups:
+    """The digit groups of a text, and sums over them; ``rows`` makes the candidates that begin at some of them."""
+
+    def __init__(self, text: str, codes: np.ndarray):
+        self.text, self.codes = text, codes
+        digit = (codes >= 0x30) & (codes <= 0x39)
+        edge = np.diff(np.concatenate(([False], digit, [False])).astype(np.int8))
+        self.begin, self.end = begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.length = length = end - begin
+        outside = np.concatenate(([0], np.cumsum(~np.isin(codes, [ord(c) for c in GAPS]))))
+        self.linked = np.zeros(len(begin) + 1, bool)  # to the group before
+        self.linked[1:-1] = (begin[1:] - end[:-1] <= 3) & (outside[begin[1:]] == outside[end[:-1]])
+        self.sums = np.concatenate(([0], np.cumsum(length)))
+        # Luhn sums of any stretch of all digits: the digit before the last is the first that is doubled
+        value = (codes[digit] - 0x30).astype(np.int64)
+        doubled = np.where(value > 4, 2 * value - 9, 2 * value)
+        even = np.arange(len(value)) % 2 == 0
+        self.checks = [np.concatenate(([0], np.cumsum(np.where(even == (p == 0), doubled, value)))) for p in (0, 1)]  # doubled at even places, at odd ones
+        power = 10.0 ** np.minimum(np.repeat(self.sums[1:], length) - 1 - np.arange(len(value)), 30)
+        weight = np.bincount(np.repeat(np.arange(len(begin)), length), value * power, len(begin))
+        self.small = np.concatenate(([0], np.cumsum(weight <= 255)))
+        self.year = (length == 4) & (weight >= 1900) & (weight < 2100)
+        signs = {"dots": ".", "dashes": "-", "spaces": " ", "slashes": "/", "brackets": "()[]"}
+        self.signs = {k: np.concatenate(([0], np.cumsum(np.isin(codes, [ord(c) for c in v]), dtype=np.int32))) for k, v in signs.items()}
+
+    def runs(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """First and last group of all sub-runs with 7 to 19 digits, or of four groups, that begin at groups low to high."""
+        n = len(self.begin)
+        first = np.arange(low, high)
+        firsts, lasts, last = [], [], first
+        for k in range(GROUPS):
+            digits = self.sums[last + 1] - self.sums[first]
+            fit = digits <= MOST_DIGITS
+            first, last, digits = first[fit], last[fit], digits[fit]
+            ok = (digits >= 7) | (k == 3)
+            firsts.append(first[ok])
+            lasts.append(last[ok])
+            on = self.linked[np.minimum(last + 1, n)]
+            first, last = first[on], last[on] + 1
+            if not len(first):
+                break
+        return np.concatenate(firsts), np.concatenate(lasts)
+
+    def rows(self, low: int, high: int) -> Proposals:
+        first, last = self.runs(low, high)
+        codes, length, sums = self.codes, self.length, self.sums
+        start, stop = self.begin[first], self.end[last]
+        padded = np.concatenate(([0, 0], codes))
+        one, two = padded[start + 1], padded[start]  # one and two characters before
+        opened = one == 0x28
+        plus = (one == 0x2B) | opened & (two == 0x2B)
+        start = start - opened - plus
+        digits, groups = sums[last + 1] - sums[first], last - first + 1
+        longest, shortest = length[first].copy(), length[first].copy()
+        for k in range(1, int(groups.max(initial=0))):
+            inner = length[np.minimum(first + k, last)]
+            longest, shortest = np.maximum(longest, inner), np.minimum(shortest, inner)
+        a, b = sums[first], sums[last + 1]
+        valid = np.where(b % 2 == 0, self.checks[0][b] - self.checks[0][a], self.checks[1][b] - self.checks[1][a]) % 10 == 0
+        counts = {k: v[stop] - v[start] for k, v in self.signs.items()}
+        octets = (groups == 4) & (self.small[last + 1] - self.small[first] == 4) & (counts["dots"] == 3) & (counts["dashes"] + counts["slashes"] == 0)
+        where, inverse = np.unique(start, return_inverse=True)
+        cues = _cues(self.text, codes, where)[inverse]
+        parts = []
+        for kind, own in ((IP_, groups == 4), (CARD_, (digits >= 12) & (digits <= 19)), (PHONE_, (digits >= 7) & (digits <= 15))):
+            i = np.flatnonzero(own)
+            values = np.zeros((len(i), len(NAMES)), np.float32)
+            others = [k for k in range(4) if k != kind]
+            _fill(
+                values, kind=kind, chars=(stop - start)[i], digits=digits[i], groups=groups[i], longest=longest[i], shortest=shortest[i], first=length[first[i]], last=length[last[i]],
+                luhn=valid[i] & (digits[i] >= 13), octets=octets[i], plus=plus[i], cue=cues[i, kind], other_cue=cues[i][:, others].max(1, initial=0), against=cues[i, 4],
+                run_before=self.linked[first[i]], run_after=self.linked[last[i] + 1], year_first=self.year[first[i]], year_last=self.year[last[i]], **{k: v[i] for k, v in counts.items()},
+            )
+            _around(values, codes, start[i], stop[i])
+            parts.append(Proposals(start[i], np.full(len(i), kind), stop[i], values))
+        return _together(parts)
+
+
+def _together(parts: list[Proposals]) -> Proposals:
+    return Proposals(*(np.concatenate([getattr(p, k) for p in parts]) for k in ("start", "kind", "end", "values")))
+
+
+def proposed(text: str, groups: int = 4096) -> Iterator[Proposals]:
+    """All candidates, in parts that begin at so many digit groups; spans overlap, and one span may be proposed as several kinds."""
+    codes = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    numbers = _Groups(text, codes)
+    for low in range(0, len(numbers.begin), groups):
+        yield numbers.rows(low, min(low + groups, len(numbers.begin)))
+    addresses = _addresses(text) if AT.search(text) else []
+    if addresses:
+        start, stop, form, labels, tail, local = (np.array(x) for x in zip(*addresses, strict=True))
+        values = np.zeros((len(start), len(NAMES)), np.float32)
+        cues = _cues(text, codes, start)
+        _fill(values, kind=EMAIL, chars=stop - start, cue=cues[:, 0], other_cue=cues[:, 1:4].max(1), against=cues[:, 4], at_form=form, labels=labels, last_label=tail, local=local)
+        _around(values, codes, start, stop)
+        yield Proposals(start, np.full(len(start), EMAIL), stop, values)
+
+
+def proposals(text: str) -> Proposals:
+    """All candidates of a text."""
+    none = np.zeros(0, np.int64)
+    return _together([Proposals(none, none, none, np.zeros((0, len(NAMES)), np.float32)), *proposed(text)])
+
+
+def _fill(values: np.ndarray, **columns) -> None:
+    for k, v in columns.items():
+        values[:, NAMES.index(k)] = v
+
+
+def _around(values: np.ndarray, codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+    padded = np.concatenate(([0], codes, [0]))
+    before, after = padded[start], padded[end + 1]
+
+    def letter(c: np.ndarray) -> np.ndarray:
+        return (c >= 0x30) & (c <= 0x39) | (c >= 0x41) & (c <= 0x5A) | (c >= 0x61) & (c <= 0x7A) | (c >= 0xC0)
+
+    _fill(values, letter_before=letter(before), letter_after=letter(after), sign_after=np.isin(after, [0x25, 0x2F, 0xB0]))
 
 
 class Trees:
     """Gradient boosting of shallow regression trees for logistic loss, over quantile bins."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, rounds: int = 80, depth: int = 4, rate: float = 0.2, bins: int = 24, ridge: float = 1.0):
-        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins)[1:-1])) for j in range(x.shape[1])]
-        binned = self._binned(x)
+    def __init__(self, x: np.ndarray, y: np.ndarray, rounds: int = 60, depth: int = 4, rate: float = 0.25, bins: int = 24, ridge: float = 1.0):
+        self.cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins)[:-1])) for j in range(x.shape[1])]
+        self.rate, self.depth, self.bins, self.ridge = rate, depth, bins, ridge
+        binned = self.binned(x)
         self.first = float(np.log(y.mean() / (1 - y.mean())))
-        self.rate, self.trees = rate, []
+        self.trees: list[tuple[np.ndarray, ...]] = []
         margin = np.full(len(y), self.first)
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-margin))
-            g, h = p - y, p * (1 - p)
             tree: list[list[float]] = []
-            self._grow(tree, binned, g, h, np.arange(len(y)), depth, ridge)
-            self.trees.append(np.array(tree))
+            self._grow(tree, binned, p - y, p * (1 - p), np.arange(len(y)), depth)
+            rows = np.array(tree)
+            self.trees.append((*rows[:, :4].astype(np.int64).T, rows[:, 4]))
             margin += rate * self._one(self.trees[-1], binned)
 
-    def _binned(self, x: np.ndarray) -> np.ndarray:
-        return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], axis=1)
+    def binned(self, x: np.ndarray) -> np.ndarray:
+        return np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(self.cuts)], axis=1).astype(np.uint8)
 
-    def _grow(self, tree: list, x: np.ndarray, g: np.ndarray, h: np.ndarray, own: np.ndarray, depth: int, ridge: float) -> int:
-        me = len(tree)
+    def _grow(self, tree: list, x: np.ndarray, g: np.ndarray, h: np.ndarray, own: np.ndarray, depth: int) -> int:
+        """Adds a node (column, cut, where to go below it and above it, value) and all under it. A leaf goes to itself."""
+        me, (n, width) = len(tree), x.shape
         total, weight = g[own].sum(), h[own].sum()
-        tree.append([-1, 0, -1, -1, -total / (weight + ridge)])
-        best = (1e-3, -1, 0)
-        for j in range(x.shape[1]) if depth else ():
-            n = len(self.cuts[j]) + 1
-            left, under = (np.cumsum(np.bincount(x[own, j], v[own], n))[:-1] for v in (g, h))
-            gain = left**2 / (under + ridge) + (total - left) ** 2 / (weight - under + ridge) - total**2 / (weight + ridge)
-            gain[(under < 1) | (weight - under < 1)] = 0
-            if len(gain) and gain.max() > best[0]:
-                best = (float(gain.max()), j, int(gain.argmax()))
-        if best[1] >= 0:
-            low = x[own, best[1]] <= best[2]
-            tree[me][:2] = best[1:]
-            tree[me][2] = self._grow(tree, x, g, h, own[low], depth - 1, ridge)
-            tree[me][3] = self._grow(tree, x, g, h, own[~low], depth - 1, ridge)
+        tree.append([0, 255, me, me, -total / (weight + self.ridge)])
+        if not depth:
+            return me
+        cells = (x[own] + np.arange(width) * self.bins).ravel()
+        left, under = (np.cumsum(np.bincount(cells, np.repeat(v[own], width), width * self.bins).reshape(width, self.bins), axis=1)[:, :-1] for v in (g, h))
+        gain = left**2 / (under + self.ridge) + (total - left) ** 2 / (weight - under + self.ridge) - total**2 / (weight + self.ridge)
+        gain[(under < 1) | (weight - under < 1)] = 0
+        best = int(gain.argmax())
+        if gain.flat[best] > 1e-3:
+            column, cut = divmod(best, self.bins - 1)
+            low = x[own, column] <= cut
+            tree[me][:2] = column, cut
+            tree[me][2] = self._grow(tree, x, g, h, own[low], depth - 1)
+            tree[me][3] = self._grow(tree, x, g, h, own[~low], depth - 1)
         return me
 
-    @staticmethod
-    def _one(tree: np.ndarray, x: np.ndarray) -> np.ndarray:
-        at = np.zeros(len(x), np.int64)
-        while (inner := tree[at, 0] >= 0).any():
-            own = np.flatnonzero(inner)
-            t = tree[at[own]]
-            at[own] = np.where(x[own, t[:, 0].astype(int)] <= t[:, 1], t[:, 2], t[:, 3]).astype(int)
-        return tree[at, 4]
+    def _one(self, tree: tuple[np.ndarray, ...], x: np.ndarray) -> np.ndarray:
+        column, cut, below, above, value = tree
+        at, rows = np.zeros(len(x), np.int64), np.arange(len(x))
+        for _ in range(self.depth):
+            at = np.where(x[rows, column[at]] <= cut[at], below[at], above[at])
+        return value[at]
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        binned = self._binned(x)
-        return self.first + self.rate * sum(self._one(t, binned) for t in self.trees)
+        """Sums of all trees; equal rows are summed once."""
+        binned = np.ascontiguousarray(self.binned(x))
+        _, first, inverse = np.unique(binned.view(f"V{binned.shape[1]}").ravel(), return_index=True, return_inverse=True)
+        kinds = binned[first]
+        return (self.first + self.rate * sum(self._one(t, kinds) for t in self.trees))[inverse]
 
 
-class Model:
-    """Trees, the curve that calibrates them, and a threshold for each kind."""
+# -- what the trees learn from
 
-    def __init__(self, examples: int = 6000, precision: float = 0.995, seed: int = 20):
-        r = random.Random(seed)
-        rows = [example(r) for _ in range(examples)]
-        x = np.array([features(t, s, k, e) for t, s, k, e, _ in rows], float)
-        y = np.array([row[4] for row in rows], float)
-        half = examples // 2
-        self.trees = Trees(x[:half], y[:half])
-        margin = self.trees.margin(x[half:])
-        self.slope, self.constant = 1.0, 0.0
-        for _ in range(30):  # Newton steps
-            p = 1 / (1 + np.exp(-(self.slope * margin + self.constant)))
-            m = np.stack((margin, np.ones(half)))
-            step = np.linalg.solve((m * (p * (1 - p))) @ m.T + 1e-3 * np.eye(2), m @ (p - y[half:]))
-            self.slope, self.constant = self.slope - step[0], self.constant - step[1]
-        p, kinds = self.score(x[half:]), x[half:, 0]
-        self.threshold = []
-        for k in range(len(KINDS)):
-            own, label = p[kinds == k], y[half:][kinds == k]
-            order = np.argsort(-own)
-            good = np.cumsum(label[order]) / np.arange(1, len(own) + 1)
-            ok = np.flatnonzero(good >= precision)
-            self.threshold.append(max(0.9, float(own[order][ok[-1]])) if len(ok) else 1.1)
 
-    def score(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-(self.slope * self.trees.margin(x) + self.constant)))
+def contexts(documents: DataFrame, fit_docs: int = 20_000, fit_spans: int = 2_000) -> list[tuple[str, int, int, int]]:
+    """(text, start, kind, end) of at most fit_spans base spans, and as many other digit runs (kind -1), each with the characters around it."""
+    total = documents.count()
+    share = int(min(1.0, fit_docs / max(1, total)) * (1 << 20))
+    key = F.xxhash64("doc_id", "text", F.lit(13))
+    picked = documents.select(key.alias("order"), "text").filter((F.pmod(key, F.lit(1 << 20)) < share) & F.col("text").rlike("[0-9@]"))
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in words.pieces(batches, "text"):
+            rows: tuple[list, ...] = ([], [], [], [], [])
+            texts = part.column("text").to_pylist()
+            joined = BREAK.join(texts)
+            begins = np.cumsum([0, *(len(t) + 1 for t in texts)])
+            kept, own = base(joined), proposals(joined)
+            taken = bytearray(len(joined))
+            for s, _, e in kept:
+                taken[s:e] = b"\1" * (e - s)
+            lone = {s: e for s, e in sorted(zip(own.start.tolist(), own.end.tolist(), strict=True)) if taken.find(1, s, e) < 0}  # of each place the longest
+            spans = [*kept, *((s, -1, e) for s, e in lone.items())]
+            of = np.searchsorted(begins, [s for s, _, _ in spans], "right") - 1
+            at = np.array([s for s, _, _ in spans], np.int64) - begins[of]
+            order = words.mix(part.column("order").to_numpy().view(np.uint64)[of] ^ words.mix(at.astype(np.uint64))) >> np.uint64(1)
+            for (s, k, e), i, mixed in zip(spans, of.tolist(), order.tolist(), strict=True):
+                low, high = max(int(begins[i]), s - 2 * BEFORE), min(int(begins[i + 1]) - 1, e + 2 * BEFORE)
+                for x, v in zip(rows, (mixed, joined[low:high], s - low, k, e - low), strict=True):
+                    x.append(v)
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["order", "text", "start", "kind", "end"])
+
+    rows = shared.written(picked.mapInArrow(cut, "order bigint, text string, start bigint, kind int, end bigint").filter(F.length("text") <= 1000), "contexts")
+    out = [tuple(r) for side in ("kind >= 0", "kind < 0") for r in rows.filter(side).orderBy("order", "text", "start", "kind").limit(fit_spans).select("text", "start", "kind", "end").collect()]
+    shared.remove(rows)
+    return out
 
-    def added(self, text: str, kept: list[tuple[int, int, int]]) -> list[tuple[int, int, int, float]]:
-        """(start, kind, end, score) of accepted candidates that touch no kept span, likeliest first, none touching another."""
-        proposed = [c for c in candidates(text) if not any(c[0] < e and s < c[2] for s, _, e in kept)] if len(kept) < 50 else self._apart(candidates(text), kept)
-        if not proposed:
-            return []
-        p = self.score(np.array([features(text, *c) for c in proposed], float))
-        out: list[tuple[int, int, int, float]] = []
-        taken: list[tuple[int, int]] = []
-        for i in sorted(np.flatnonzero(p >= np.array(self.threshold)[[c[1] for c in proposed]]).tolist(), key=lambda i: (-p[i], proposed[i])):
-            s, k, e = proposed[i]
-            at = _place(taken, s)
-            if (at == 0 or taken[at - 1][1] <= s) and (at == len(taken) or taken[at][0] >= e):
-                taken.insert(at, (s, e))
-                out.append((s, k, e, float(p[i])))
-        return out
 
-    @staticmethod
-    def _apart(proposed: list[tuple[int, int, int]], kept: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-        starts = np.array([s for s, _, _ in kept])
-        reach = np.maximum.accumulate(np.array([e for _, _, e in kept]))
-        return [c for c in proposed if not (n := int(np.searchsorted(starts, c[2], "left"))) or reach[n - 1] <= c[0]]
+def rewritten(r: random.Random, kind: int, span: str) -> str:
+    """The span in another format of its kind."""
+    digits = "".join(c for c in span if "0" <= c <= "9")
+    if kind == EMAIL:
+        name, _, host = span.partition("@")
+        dots = r.choice([" [dot] ", "(dot)", ".", "[dot]"])
+        return name + r.choice([" [at] ", "(at)", " @ ", "[at]", " (at) "]) + host.replace(".", dots)
+    if kind == IP_:
+        return r.choice(["[.]", " . ", "(.)"]).join(re.findall("[0-9]+", span))
+    if kind == CARD_:
+        return r.choice([".", " - ", "  "]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    d = digits[-10:]
+    return r.choice([f"({d[:3]}) {d[3:6]}-{d[6:]}", f"{d[:3]}-{d[3:6]}-{d[6:]}", f"{d[:3]}.{d[3:6]}.{d[6:]}", f"{d[:3]} {d[3:6]} {d[6:]}", f"0{d[1]} {d[2:4]} {d[4:6]} {d[6:8]} {d[8:]}", f"({d[:3]}) {d[3:6]} {d[6:]}"])
 
 
-def _place(taken: list[tuple[int, int]], start: int) -> int:
-    from bisect import bisect_left
+def invented(r: random.Random, kind: int) -> str:
+    """A true span of a kind in a base format."""
 
-    return bisect_left(taken, (start, start))
+    def d(n: int) -> str:
+        return "".join(r.choice("0123456789") for _ in range(n))
 
+    if kind == EMAIL:
+        return f"{r.choice(['ana', 'b.lee', 'info', 'j_doe', 'max.m'])}{r.choice(['', d(2)])}@{r.choice(['mail', 'example', 'corp-x', 'uni'])}.{r.choice(['com', 'org', 'de', 'co.uk'])}"
+    if kind == IP_:
+        return ".".join(str(r.randint(1, 255)) for _ in range(4))
+    if kind == CARD_:
+        while True:
+            x = r.choice("3456") + d(15)
+            if luhn(x):
+                return r.choice(["", " ", "-"]).join(x[i : i + 4] for i in range(0, 16, 4))
+    return f"+{r.randint(1, 99)} {r.randint(2, 9)}{d(2)} {d(3)} {d(4)}"
 
-@cache
-def model() -> Model:
-    return Model()
 
+def wrong(r: random.Random) -> str:
+    """Digits that are no personal data."""
+
+    def d(n: int) -> str:
+        return "".join(r.choice("0123456789") for _ in range(n))
+
+    year = r.randint(1900, 2030)
+    return r.choice([
+        f"{r.randint(1, 30)}.{r.randint(1, 12)}.{year}", f"{year}-{r.randint(10, 12)}-{r.randint(10, 28)}", f"{year}/{r.randint(10, 12)}/{r.randint(10, 28)}", f"{r.randint(10, 28)}/{r.randint(10, 12)}/{year}", d(9), d(r.randint(6, 24)),
+        f"{r.randint(256, 999)}.{d(3)}.{d(3)}.{d(3)}", ".".join(d(1) for _ in range(6)), f"{d(3)}.{d(3)}.{d(3)},{d(2)}", " ".join(d(r.randint(1, 3)) for _ in range(5)), f"{year} {year + 1}", f"{year}-{year + 9}", f"97{r.choice('89')}-{d(1)}-{d(4)}-{d(4)}-{d(1)}", f"{d(4)}/{d(4)}", "-".join(d(5) for _ in range(3)), f"{d(2)}.{d(6)}", f"{d(1)}.{d(2)}.{d(4)}-{d(3)}",
+    ])
 
-def spans_of(text: str, boosted: Model) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float]]]:
-    if not SIGNS.search(text):
-        return [], []
-    kept = base(text)
-    return kept, boosted.added(text, kept)
 
+def examples(held: list[tuple[str, int, int, int]], seeded: int = 1200, seed: int = 20) -> tuple[np.ndarray, np.ndarray]:
+    """Values and labels of the candidates in the contexts, as found and rewritten, and in seeded ones."""
+    r = random.Random(seed)
+    cues = {EMAIL: ["email", "contact", "mail:"], IP_: ["ip", "host", "server"], CARD_: ["card", "visa", "card no."], PHONE_: ["phone", "tel.", "call", "fax:"]}
+
+    def word() -> str:
+        return "".join(r.choice("abdeghilnorstuéü") for _ in range(r.randint(2, 8)))
 
-def find(documents: DataFrame) -> DataFrame:
-    """doc_id, spans (kind, start, end, score, base) of every document."""
-    sent = documents.sparkSession.sparkContext.broadcast(model())
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("base", pa.bool_())]))
+    texts: list[tuple[str, list[tuple[int, int, int]]]] = []
+
+    def put(before: str, spans: list[tuple[int, str]], after: str, between: str = " ") -> None:
+        at, text, true = len(before), before, []
+        for i, (kind, span) in enumerate(spans):
+            text += (between if i else "") + span
+            if kind >= 0:
+                true.append((len(text) - len(span), kind, len(text)))
+        assert at <= len(text)
+        texts.append((text + after, true))
+
+    for text, s, k, e in held:
+        before, span, after = text[:s], text[s:e], text[e:]
+        if k >= 0:
+            put(before, [(k, span)], after)
+            # another format only where its kind is named, as digits alone tell little
+            told = before if CUES[KINDS[k]].search(before[-BEFORE:]) else before + r.choice(cues[k]) + " "
+            put(told, [(k, rewritten(r, k, span))], after)
+            if k in (CARD_, PHONE_):
+                put(told, [(k, span), (-1, r.choice([f"{r.randint(1, 12):02}/{r.randint(20, 40)}", f"{r.randint(100, 999)}"]))], after)
+                put(told, [(k, rewritten(r, k, span)), (k, rewritten(r, k, invented(r, k)))], after)
+        else:
+            texts.append((text, []))
+            put(before, [(-1, wrong(r))], after)
+    for _ in range(seeded):
+        kind = r.randrange(4)
+        span = invented(r, kind)
+        cue = r.choice(cues[kind]) + " " if r.random() < 0.6 else ""
+        before, after = " ".join(word() for _ in range(3)) + " ", r.choice([" ", ". ", ", ", "\n"]) + word()
+        put(before + cue, [(kind, span)], after)
+        told = before + r.choice(cues[kind]) + " "
+        put(told, [(kind, rewritten(r, kind, span))], after)
+        if kind in (CARD_, PHONE_):
+            put(told, [(kind, span), (-1, f"{r.randint(1, 12):02}/{r.randint(20, 40)}")], after)
+            put(told, [(kind, rewritten(r, kind, span)), (kind, rewritten(r, kind, invented(r, kind)))], after)
+        put(before + r.choice(["", "", "version ", "no. ", "id ", "section ", "$", "order "]), [(-1, wrong(r))], after)
+    joined = BREAK.join(text for text, _ in texts)
+    begins = np.cumsum([0, *(len(text) + 1 for text, _ in texts)]).tolist()
+    told = {(s + at, k, e + at) for at, (_, true) in zip(begins, texts, strict=False) for s, k, e in true} | set(base(joined))
+    taken = bytearray(len(joined))
+    for s, _, e in told:
+        taken[s:e] = b"\1" * (e - s)
+    own = proposals(joined)
+    spans = list(zip(own.start.tolist(), own.kind.tolist(), own.end.tolist(), strict=True))
+    true = np.array([x in told for x in spans])
+    touches = np.array([taken.find(1, s, e) >= 0 for s, _, e in spans])
+    known = touches | (own.values[:, NAMES.index("cue")] == 0)  # a cue, and no base span: not known
+    return own.values[known], true[known].astype(float)
+
+
+class Model:
+    """Trees, the curve that calibrates them, and a threshold for each kind."""
+
+    def __init__(self, held: list[tuple[str, int, int, int]], precision: float = 0.995, seed: int = 20):
+        x, y = examples(held, seed=seed)
+        order = np.random.default_rng(seed).permutation(len(y))
+        x, y = x[order], y[order]
+        half = len(y) // 2
+        self.trees = Trees(x[:half], y[:half])
+        margin, label = self.trees.margin(x[half:]), y[half:]
+        # Platt's targets, a little inside 0 and 1, keep the curve finite where the halves agree wholly
+        self.slope, self.constant = calibration(margin, np.where(label > 0, (label.sum() + 1) / (label.sum() + 2), 1 / (len(label) - label.sum() + 2)))
+        p, kinds = self.score(x[half:]), x[half:, 0]
+        self.threshold = []
+        for k in range(len(KINDS)):
+            own, true = p[kinds == k], label[kinds == k]
+            order = np.argsort(-own, kind="stable")
+            good = np.cumsum(true[order]) / np.arange(1, len(own) + 1)
+            ok = np.flatnonzero((good >= precision) & (own[order] >= 0.5))
+            self.threshold.append(float(own[order][ok[-1]]) if len(ok) else 1.1)
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.slope * self.trees.margin(x) + self.constant, -500, 500)))
+
+    def spans(self, text: str) -> list[tuple[int, int, int, float, bool, bool]]:
+        """(start, kind, end, score, base, accepted) of all base spans and of the accepted candidates that touch none, nor each other; in order.
+
+        A base span that no generator proposes, as one with hundreds of zeros, has score 0.
+        """
+        kept = base(text)
+        given = {(s, k, e): 0.0 for s, k, e in kept}
+        starts = np.array(sorted({s for s, _, _ in kept}), np.int64)
+        likely: list[tuple[float, int, int, int]] = []
+        for own in proposed(text):
+            if not len(own):
+                continue
+            p = self.score(own.values)
+            telling = np.flatnonzero((p >= np.array(self.threshold)[own.kind]) | np.isin(own.start, starts))
+            for s, k, e, x in zip(*(c[telling].tolist() for c in (own.start, own.kind, own.end, p)), strict=True):
+                if (s, k, e) in given:
+                    given[s, k, e] = x
+                elif x >= self.threshold[k]:
+                    likely.append((-x, s, k, e))
+        taken = bytearray(len(text)) if likely else b""
+        if likely:
+            for s, _, e in kept:
+                taken[s:e] = b"\1" * (e - s)
+        out = [(s, k, e, x, True, x >= self.threshold[k]) for (s, k, e), x in given.items()]
+        for x, s, k, e in sorted(likely):
+            if taken.find(1, s, e) < 0:
+                taken[s:e] = b"\1" * (e - s)
+                out.append((s, k, e, -x, False, True))
+        return sorted(out)
+
+
+def model(documents: DataFrame, fit_docs: int = 20_000, fit_spans: int = 2_000) -> Model:
+    """The model learnt from contexts of the documents."""
+    return Model(contexts(documents, fit_docs, fit_spans))
+
+
+def spans_of(texts: list[str | None], boosted: Model) -> Iterator[list[tuple[int, int, int, float, bool, bool]]]:
+    """The spans of each text; texts are scanned together, a break between them."""
+    joined = BREAK.join(t or "" for t in texts)
+    found = boosted.spans(joined)
+    at = i = 0
+    for t in texts:
+        end, own = at + len(t or ""), []
+        while i < len(found) and found[i][0] < end:
+            s, k, e, *rest = found[i]
+            own.append((s - at, k, e - at, *rest))
+            i += 1
+        yield own
+        at = end + 1
+
+
+SPANS = "array<struct<kind:string,start:bigint,end:bigint,score:double,base:boolean,accepted:boolean>>"
+
+
+def find(documents: DataFrame, boosted: Model | None = None) -> DataFrame:
+    """doc_id, spans (kind, start, end, score, base, accepted) of every document."""
+    sent = documents.sparkSession.sparkContext.broadcast(boosted or model(documents))
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64()), ("base", pa.bool_()), ("accepted", pa.bool_())]))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        boosted = sent.value
         for part in words.pieces(batches, "text"):
-            out = []
-            for text in part.column("text").to_pylist():
-                kept, more = spans_of(text or "", boosted)
-                rows = sorted([(s, k, e, 1.0, True) for s, k, e in kept] + [(s, k, e, p, False) for s, k, e, p in more])
-                out.append([{"kind": KINDS[k], "start": s, "end": e, "score": p, "base": b} for s, k, e, p, b in rows])
+            out = [[{"kind": KINDS[k], "start": s, "end": e, "score": p, "base": b, "accepted": a} for s, k, e, p, b, a in rows] for rows in spans_of(part.column("text").to_pylist(), sent.value)]
             yield pa.RecordBatch.from_arrays([part.column("doc_id").cast(pa.int64()), pa.array(out, kind)], names=["doc_id", "spans"])
 
-    return documents.select("doc_id", "text").mapInArrow(scan, "doc_id bigint, spans array<struct<kind:string,start:bigint,end:bigint,score:double,base:boolean>>")
+    return documents.select("doc_id", "text").mapInArrow(scan, f"doc_id bigint, spans {SPANS}")
 
 
 def redacted(text: str, found: list[tuple[int, int, int]]) -> str:
@@ -300,17 +566,14 @@ def redacted(text: str, found: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[done:]
 
 
-def redact(documents: DataFrame) -> DataFrame:
+def redact(documents: DataFrame, boosted: Model | None = None) -> DataFrame:
     """The same rows and columns; the texts without personal data. Null texts stay null."""
-    sent = documents.sparkSession.sparkContext.broadcast(model())
+    sent = documents.sparkSession.sparkContext.broadcast(boosted or model(documents))
 
     def clean(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        boosted = sent.value
         for part in words.pieces(batches, "text"):
-            out = []
-            for text in part.column("text").to_pylist():
-                kept, more = spans_of(text or "", boosted)
-                out.append(redacted(text, kept + [x[:3] for x in more]) if kept or more else text)
+            texts = part.column("text").to_pylist()
+            out = [redacted(t, [x[:3] for x in rows]) if rows else t for t, rows in zip(texts, spans_of(texts, sent.value), strict=True)]
             at = part.schema.get_field_index("text")
             yield part.set_column(at, part.schema.field(at), pa.array(out, part.schema.field(at).type))
 
@@ -318,9 +581,11 @@ def redact(documents: DataFrame) -> DataFrame:
 
 
 def digests(found: DataFrame) -> DataFrame:
+    """doc_id, counts and digest of the base spans, all spans; then how many were added, and each span's score and whether the model accepts it, in the order of spans."""
+
     def tell(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: tuple[list, ...] = tuple([] for _ in range(7))
+            rows: tuple[list, ...] = tuple([] for _ in range(9))
             for spans in batch.column("spans").to_pylist():
                 own = [x for x in spans if x["base"]]
                 for x, k in zip(rows, KINDS, strict=False):
@@ -328,12 +593,14 @@ def digests(found: DataFrame) -> DataFrame:
                 rows[4].append(hashlib.sha256(",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in own).encode()).hexdigest())
                 rows[5].append(",".join(f"{s['kind']}:{s['start']}:{s['end']}" for s in spans))
                 rows[6].append(len(spans) - len(own))
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, rows, kinds)], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
+                rows[7].append(",".join(f"{s['score']:.4f}" for s in spans))
+                rows[8].append(",".join("01"[s["accepted"]] for s in spans))
+            kinds = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.int64()] + [pa.string()] * 2
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *map(pa.array, rows, kinds)], names=["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added", "scores", "accepted"])
 
-    return found.mapInArrow(tell, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint")
+    return found.mapInArrow(tell, "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_added bigint, scores string, accepted string")
 
 
 def op2_personal_data(spark, sf_dir: str) -> DataFrame:
-    """Personal data in every whole text: counts and digest of base spans, and all spans."""
+    """Personal data in every whole text of documents: counts and digest of base spans, all spans, the model's scores and verdicts. Odd rows as in the module's text."""
     return digests(find(shared.table(spark, sf_dir, "documents")))
