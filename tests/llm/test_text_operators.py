@@ -401,10 +401,11 @@ def test_chat_round_trip(spark):
 
 
 def test_chat_machine(spark):
-    good, bad = [["user", "assistant"], ["system", "user", "assistant", "user", "assistant"], ["user", "assistant"] * 100], [["assistant"], ["user"], ["user", "user", "assistant"], ["user", None], ["user", "assistant", "system"]]
-    data = [(c, i, role, None) for c, roles in enumerate(good + bad) for i, role in enumerate(roles)]
-    got = {r.conv_id: r.valid for r in chat.conversations_digest(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()}
-    assert [got[c] for c in range(8)] == [True] * 3 + [False] * 5
+    good = [["user", "assistant"], ["system", "user", "assistant", "user", "assistant"], ["user", "assistant"] * 100]
+    bad = [(["assistant"], 0), (["user"], None), (["user", "user", "assistant"], 1), (["user", None], 1), (["user", "assistant", "system"], 2), (["user", "assistant"] * 40 + ["tool", "user"], 80), (["system", "assistant"] + ["user", "assistant"] * 70, 1), (["user", "assistant"] * 64 + ["assistant"], 128)]
+    data = [(c, i, role, None) for c, roles in enumerate(good + [r for r, _ in bad]) for i, role in enumerate(roles)]
+    got = {r.conv_id: (r.valid, r.first_bad) for r in chat.conversations_digest(spark.createDataFrame(data, "conv_id long, turn long, role string, text string")).collect()}
+    assert [got[c] for c in range(len(got))] == [(True, None)] * 3 + [(False, at) for _, at in bad]
     assert chat.conversations_digest(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
 
