@@ -7,12 +7,13 @@ The result is each document's class: the component of the links, named by its le
    from here on, however many copies there are.
 2. A set that links has at most n - percent/100 * n shingles that no other set has (``spare``). ``thinned`` gives the
    shingles with the least hashes, twice as many as may be alone; a set of which fewer than ``met`` are among those of other sets goes.
-   This is exact, and few sets are left.
+   This loses no link, and few sets are left. Shingles are compared within each task first, so that one of a third of all documents is a row a task.
 3. ``common`` gives of the sets that are left all shingles that several hold, with the number of holders: the global
-   order is from the rarest to the commonest, then by hash. ``ordered`` puts each set in that order; sets with too many lone shingles go.
+   order, in which sets are stored and filtered, is from the rarest to the commonest, then by hash. ``ordered`` puts each set in that order; sets with too many lone shingles go.
 4. Two sets that link share one of their first spare + 1 shingles in that order. Sets under one such shingle are
    chained in the order of their sizes, not paired (``chained``); components of these chains hold all links.
-5. ``Tree`` stores the globally ordered sets of a component in a prefix tree with compressed paths. A set traverses it once: nodes share the
+5. ``Tree`` stores the sets of a component in a prefix tree with compressed paths, in one order for the whole group: within it from the commonest
+   shingle to the rarest, so that near copies share long paths. A set traverses it once: nodes share the
    partial overlap, a subtree goes when the overlap so far plus what can remain on either side is too little, and when all below
    is already in the set's class. Only spanning links leave the task.
 6. A component of more than ``block`` shingles is split into blocks by digest; ``tied`` of its members stand in all of them, so that
@@ -107,9 +108,81 @@ def _emitted(texts: Iterable[pa.RecordBatch], k: int, take, wanted: str | None =
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(np.repeat(np.array(of, np.int64), each)), pa.array(np.repeat(np.array(size, np.int32), each))], names=["shingle", "digest", "n"])
 
 
-def thinned(documents: DataFrame, k: int, percent: int) -> DataFrame:
-    """shingle, digest, n: of each set the shingles with the least hashes."""
-    return documents.select("text").mapInArrow(lambda batches: _emitted(batches, k, lambda n: drawn(n, percent)), ROWS)
+SIEVED = "shingle bigint, digest bigint, n int, several int"
+
+
+def thinned(documents: DataFrame, k: int, percent: int, together: int = 1 << 20) -> DataFrame:
+    """Of each set the shingles with the least hashes, compared within the task first, about ``together`` rows at once.
+
+    A shingle that one set of these holds is a row (shingle, digest, n, 0). One that several hold is known to be shared: it is one row, with several -1, however many
+    hold it, and each of these sets has a row with the number of its shingles so known, under a shingle of its own.
+    """
+
+    def thin(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+
+        def out() -> pa.RecordBatch:
+            shingle, digest, n = (np.concatenate([b.column(c).to_numpy() for b in held]) for c in range(3))
+            order = np.lexsort((digest, shingle))
+            shingle, digest, n = shingle[order], digest[order], n[order]
+            fresh = np.concatenate(([True], (shingle[1:] != shingle[:-1]) | (digest[1:] != digest[:-1])))  # copies count once
+            shingle, digest, n = shingle[fresh], digest[fresh], n[fresh]
+            first = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+            each = np.diff(np.append(first, len(shingle)))
+            many = np.repeat(each > 1, each)
+            known, at, times = np.unique(digest[many], return_index=True, return_counts=True)
+            shared_once = shingle[first[each > 1]]
+            columns = (
+                np.concatenate((shingle[~many], shared_once, words.mix(known.view(np.uint64)).view(np.int64))),
+                np.concatenate((digest[~many], np.zeros(len(shared_once), np.int64), known)),
+                np.concatenate((n[~many], np.zeros(len(shared_once), np.int32), n[many][at])),
+                np.concatenate((np.zeros(int((~many).sum()), np.int32), np.full(len(shared_once), -1, np.int32), times.astype(np.int32))),
+            )
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["shingle", "digest", "n", "several"])
+
+        for batch in _emitted(batches, k, lambda n: drawn(n, percent)):
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= together:
+                yield out()
+        if held:
+            yield out()
+
+    return documents.select("text").mapInArrow(thin, SIEVED)
+
+
+def counted(rows: DataFrame) -> DataFrame:
+    """digest, n, several: of each set how many of its drawn shingles other sets hold, or more where copies of it were counted in several tasks; rows: those of thinned()."""
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+
+        def out(columns: list[np.ndarray]) -> pa.RecordBatch:
+            shingle, digest, n, several = columns
+            told = several > 0
+            rest = np.flatnonzero(~told)
+            shingle, own, flag = shingle[rest], digest[rest], several[rest]
+            fresh = np.concatenate((np.ones(min(1, len(rest)), bool), (shingle[1:] != shingle[:-1]) | (own[1:] != own[:-1]) | (flag[1:] != flag[:-1])))
+            rest, shingle, flag = rest[fresh], shingle[fresh], flag[fresh]
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(rest)), bool), shingle[1:] != shingle[:-1])))
+            each = np.diff(np.append(first, len(rest)))
+            common = (each > 1) | (np.minimum.reduceat(flag, first) < 0 if len(first) else each > 1)
+            met_now = rest[np.repeat(common, each) & (flag == 0)]
+            keep = np.concatenate((np.flatnonzero(told), met_now))
+            return pa.RecordBatch.from_arrays([pa.array(digest[keep]), pa.array(n[keep]), pa.array(np.maximum(several[keep], 1))], names=["digest", "n", "several"])
+
+        for batch in batches:
+            rows = [np.concatenate((h, c.to_numpy())) for h, c in zip(held, batch.columns, strict=True)]
+            if not len(rows[0]):
+                continue
+            last = int(np.searchsorted(rows[0], rows[0][-1]))  # the last shingle may go on: at most a few rows of each task that sent any
+            yield out([x[:last] for x in rows])
+            held = [x[last:] for x in rows]
+        if len(held[0]):
+            yield out(held)
+
+    met_rows = rows.repartition("shingle").sortWithinPartitions("shingle", "digest", "several").mapInArrow(compare, "digest bigint, n int, several int")
+    return met_rows.groupBy("digest", "n").agg(F.sum("several").alias("several"))
 
 
 def whole(texts: DataFrame, k: int) -> DataFrame:
@@ -151,11 +224,6 @@ def common(rows: DataFrame, most: int = 1024) -> DataFrame:
     return rows.repartition("shingle").sortWithinPartitions("shingle", "digest").mapInArrow(keep, ROWS + ", holders int")
 
 
-def counted(rows: DataFrame) -> DataFrame:
-    """digest, n, several: how many of a set's rows other sets hold too. Summed within each task before the shuffle."""
-    return rows.groupBy("digest", "n").agg(F.count("*").alias("several"))
-
-
 def ordered(rows: DataFrame, percent: int) -> DataFrame:
     """digest, n, shingles: each set's shared shingles in the global order, sets with too many lone ones left out."""
 
@@ -344,7 +412,7 @@ def classes(documents: DataFrame, k: int = 5, percent: int = 80, block: int = 1
     key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("key")
     rows = shared.written(described(documents, k), "sets")
     nodes = rows.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    left = counted(common(thinned(documents, k, percent), 2)).filter(F.col("several") >= _met_column(percent)).select("digest")
+    left = counted(thinned(documents, k, percent)).filter(F.col("several") >= _met_column(percent)).select("digest")
     left = shared.written(nodes.join(left, "digest").select(key, "digest"), "left")
     # the same join at every size: a broadcast of what is left would have no bound
     texts = documents.select(key, "text").join(left.hint("merge"), "key")
@@ -388,19 +456,20 @@ def deduplicated(documents: DataFrame, k: int = 5, percent: int = 80) -> DataFra
 
     Texts without shingles are linked with nothing and stay.
     """
-    key = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias("__key")
-    each = classes(documents, k, percent).filter("class is not null").groupBy("class", key, F.col("hash").alias("__hash")).agg(F.count("*").alias("n"))
-    order = F.struct("__key", "__hash")
+    k_, h_, m_ = (shared.unused(x, documents) for x in ("key", "hash", "mark"))
+    key = F.coalesce(F.col("doc_id"), F.lit((1 << 63) - 1)).alias(k_)
+    each = classes(documents, k, percent).filter("class is not null").groupBy("class", key, F.col("hash").alias(h_)).agg(F.count("*").alias("n"))
+    order = F.struct(k_, h_)
     first = each.groupBy("class").agg(F.min(order).alias("first"))
     mark = F.when(F.col("first") != order, "drop").when(F.col("n") > 1, "once")
-    marks = shared.written(each.join(first, "class").select("__key", "__hash", mark.alias("__mark")).filter("__mark is not null"), "marks")
-    rows = documents.select("*", key, F.xxhash64("text").alias("__hash")).join(marks.hint("merge"), ["__key", "__hash"], "left")
-    once = rows.filter("__mark = 'once'").dropDuplicates(["__key", "__hash"])
-    return rows.filter("__mark is null").unionByName(once).select(*documents.columns)
+    marks = shared.written(each.join(first, "class").select(k_, h_, mark.alias(m_)).filter(F.col(m_).isNotNull()), "marks")
+    rows = documents.select("*", key, F.xxhash64("text").alias(h_)).join(marks.hint("merge"), [k_, h_], "left")
+    once = rows.filter(F.col(m_) == "once").dropDuplicates([k_, h_])
+    return rows.filter(F.col(m_).isNull()).unionByName(once).select(*documents.columns)
 
 
 def op8_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    """Classes of documents whose 3-word shingles agree by 90 % or more."""
+    """Classes of whole documents whose 3-word shingles agree by 90 % or more. Odd rows as in the module's text."""
     return classes(shared.table(spark, sf_dir, "documents"), 3, 90).select("doc_id", "n_shingles", "component_id")
 
 
