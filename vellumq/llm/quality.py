@@ -2,15 +2,17 @@
 
 Two dictionaries hold text of the training rows with label 1 and with label 0. A text is compressed with either, and without one;
 the differences of the compressed sizes, over the text's size, say which kind of text it repeats. A logistic curve, fitted on training
-rows whose text is not in the dictionaries, makes them a probability.
+rows whose text is not in the dictionaries, makes them a probability. It also has the size without a dictionary, as the difference means less for a text
+that compresses well by itself.
 
 The dictionaries come from a sample of at most about ``fit_rows`` rows and ``fit_chars`` characters, chosen by a hash of the doc_id. Whole texts of the
 sample are cut into pieces of ``piece`` bytes, and all pieces go into training. Each half of the rows gives a pair of dictionaries, the curve is fitted on
-the other half, and a text's values are the means over both pairs, so all rows of the sample count. A dictionary is ``dictionary_bytes`` long at most:
-what is sent to the executors has that bound. Every row is scored over its whole text.
+the other half, and a text's values are the means over both pairs, so all rows of the sample count. A dictionary is trained in one way at every size: it is an eighth of
+its text long, ``dictionary_bytes`` at most, which bounds what is sent to the executors. Every row is scored over its whole text.
 
 Defined results: null and empty texts get the training rows' share of label 1 (0.5 without any); a null doc_id is scored and isn't held out; labels that are
-null or contradict each other are no training rows; repeated rows are scored each for itself; with one label only, or none, every score is that share;
+null or contradict each other are no training rows; a label whose text has nothing to choose from, as one repeated word or a few characters, has no dictionary, and
+the size without one stands for it; repeated rows are scored each for itself; with one label only, or none, every score is that share;
 extra columns aren't read.
 """
 
@@ -37,7 +39,7 @@ class Sizes:
         plain = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
         self.tools = []
         for held in (good, bad):
-            data = zstandard.ZstdCompressionDict(held, dict_type=zstandard.DICT_TYPE_RAWCONTENT if held[:4] != b"\x37\xa4\x30\xec" else zstandard.DICT_TYPE_FULLDICT) if held else None
+            data = zstandard.ZstdCompressionDict(held, dict_type=zstandard.DICT_TYPE_FULLDICT) if held else None
             if data is not None:
                 data.precompute_compress(level=LEVEL)
             self.tools.append(zstandard.ZstdCompressor(level=LEVEL, dict_data=data, **plain) if data is not None else None)
@@ -52,19 +54,12 @@ class Sizes:
 
 
 def dictionary(texts: list[bytes], size: int, piece: int = 4096) -> bytes:
-    """A dictionary trained on all pieces of the texts, or the texts themselves where they are no longer.
-
-    If training finds nothing to choose from, as in texts of one repeated word, pieces are made smaller; then the newest bytes are taken.
-    """
-    whole = b"\n".join(texts)
-    if len(whole) <= size:
-        return whole
-    while piece >= 64:
-        try:
-            return zstandard.train_dictionary(size, [t[i : i + piece] for t in texts for i in range(0, len(t), piece)]).as_bytes()
-        except zstandard.ZstdError:
-            piece //= 8
-    return whole[-size:]
+    """A dictionary of an eighth of the texts' length, 256 bytes at least and size at most, trained on all their pieces; empty where training finds nothing to choose from."""
+    parts = [t[i : i + piece] for t in texts for i in range(0, len(t), piece)]
+    try:
+        return zstandard.train_dictionary(min(size, max(256, sum(map(len, parts)) // 8)), parts).as_bytes()
+    except zstandard.ZstdError:
+        return b""
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> np.ndarray:
@@ -136,6 +131,7 @@ def quality(documents: DataFrame, labels: DataFrame, training: Column, fit_rows:
 
 
 def op10_quality(spark, sf_dir: str) -> DataFrame:
+    """Quality of every whole text, learnt from the labelled rows that aren't held out. Odd rows as in the module's text."""
     held = F.coalesce(shared.fold(F.col("doc_id"), 4) == 2, F.lit(False))
     out = quality(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels"), ~held)
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
