@@ -2,8 +2,8 @@
 
 Features of a text, each present or not: its words, the words' beginnings (four, five and six bytes), neighbouring
 pairs, and pairs around one word (skip-grams). Each kind is hashed into 2^bits places. FTRL-proximal keeps a learning rate
-for each coordinate; its L1 term leaves few weights, which are sent to the executors as a list of at most
-``max_weights`` (place, weight) pairs, whatever the corpus holds.
+for each coordinate; its L1 term leaves few weights, which are sent to the executors as a list of (place, weight) pairs: at most one for each
+feature of two rows of the sample, whatever the corpus holds, and nothing else cuts them.
 
 The model is fitted in one task on a sample of at most about ``fit_rows`` labelled rows and ``fit_chars``
 characters, chosen by a hash of the doc_id; this bound is the only one. Every row is scored over its whole text.
@@ -106,7 +106,7 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, training: Colu
     return rows.filter(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20))).select("text", "label", order.alias("order"))
 
 
-def train(sample: DataFrame, bits: int = 20, epochs: int = 8, least: int = 2, max_weights: int = 200_000) -> tuple[np.ndarray, np.ndarray, float]:
+def train(sample: DataFrame, bits: int = 20, epochs: int = 8, least: int = 2) -> tuple[np.ndarray, np.ndarray, float]:
     """Places, weights and constant of a model fitted in one task. Features of fewer than least rows get no weight.
 
     The sample's halves are scored by a model of the other half each; a logistic curve over those scores calibrates the model of all.
@@ -139,8 +139,6 @@ def train(sample: DataFrame, bits: int = 20, epochs: int = 8, least: int = 2, ma
             share = y.mean() if len(y) else 0.5
             bias, w = float(np.clip(np.log((share + 1e-9) / (1 - share + 1e-9)), -35, 35)), np.zeros(size)
         kept = np.flatnonzero(w)
-        if len(kept) > max_weights:
-            kept = np.sort(kept[np.argsort(-np.abs(w[kept]), kind="stable")[:max_weights]])
         yield pa.RecordBatch.from_arrays([pa.array([kept.tolist()], pa.list_(pa.int64())), pa.array([w[kept].tolist()], pa.list_(pa.float64())), pa.array([bias], pa.float64())], names=["places", "weights", "bias"])
 
     row = sample.repartition(1).sortWithinPartitions("order", "label").select("text", "label").mapInArrow(fit, "places array<bigint>, weights array<double>, bias double").head()
@@ -198,6 +196,7 @@ def toxicity(documents: DataFrame, labels: DataFrame, training: Column, fit_rows
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
+    """Toxicity of every whole text, learnt from the labelled rows that aren't held out. Odd rows as in the module's text."""
     held = F.coalesce(shared.fold(F.col("doc_id"), 3) == 1, F.lit(False))
     out = toxicity(shared.table(spark, sf_dir, "documents"), shared.table(spark, sf_dir, "labels"), ~held)
     return out.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
