@@ -97,7 +97,18 @@ def pack(documents: DataFrame, vocabulary: str, ranks: str | None = None, full:
 
 
 def digests(pieces: DataFrame) -> DataFrame:
-    return pieces.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"))
+    """The pieces with a checksum for their ids, and their bucket."""
+    return pieces.select("doc_id", "start", F.col("length").cast("long").alias("length"), F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", F.lit(0).cast("long").alias("offset"), F.col("bucket").cast("long").alias("bucket"))
+
+
+def bucketed(pieces: DataFrame, path: str) -> None:
+    """Writes the pieces so that equal lengths lie together: a folder for each bucket."""
+    pieces.write.partitionBy("bucket").mode("overwrite").parquet(path)
+
+
+def buckets(pieces: DataFrame) -> DataFrame:
+    """bucket, sequences, tokens of each length: partial counts, at most a row for each power of two."""
+    return pieces.groupBy("bucket").agg(F.count("*").alias("sequences"), F.sum("length").alias("tokens"))
 
 
 def pack_documents(documents: DataFrame) -> DataFrame:
@@ -105,5 +116,5 @@ def pack_documents(documents: DataFrame) -> DataFrame:
 
 
 def op1_packing(spark, sf_dir: str) -> DataFrame:
-    """All documents in sequences of 1024 byte-level BPE tokens or a lesser power of two."""
+    """All whole documents in sequences of 1024 byte-level BPE tokens or a lesser power of two. Odd rows as in the module's text."""
     return digests(pack_documents(shared.table(spark, sf_dir, "documents")))
