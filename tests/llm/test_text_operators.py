@@ -80,7 +80,28 @@ def test_packing_round_trip(spark):
         assert all(r.doc_tokens == len(ids) and r.length in (1 << b for b in range(11)) for r in own)
     assert packing.pack_documents(rows(spark, texts).limit(0)).count() == 0
     digest = {(r.doc_id, r.start): r for r in packing.digests(packing.pack_documents(rows(spark, texts))).collect()}
-    assert all(digest[r.doc_id, r.start].ids_crc32 == zlib.crc32(r.ids) for r in got)
+    assert all(digest[r.doc_id, r.start].ids_crc32 == zlib.crc32(r.ids) and digest[r.doc_id, r.start].bucket == r.length for r in got)
+    sizes = Counter(r.length for r in got)
+    assert {r.bucket: (r.sequences, r.tokens) for r in packing.buckets(packing.pack_documents(rows(spark, texts))).collect()} == {b: (n, b * n) for b, n in sizes.items()}
+
+
+def test_pieces_of_equal_length_lie_together(spark, tmp_path):
+    packing.bucketed(packing.pack_documents(rows(spark, ["word " * n for n in range(1, 9)])), str(tmp_path / "pieces"))
+    read = spark.read.parquet(str(tmp_path / "pieces"))
+    assert {r.bucket for r in read.collect()} == {1, 2, 4, 8} and read.filter("bucket <> length").isEmpty()
+    assert {p.name for p in (tmp_path / "pieces").iterdir() if p.is_dir()} == {f"bucket={1 << b}" for b in range(4)}
+
+
+def test_both_tokenizers_give_one_result_for_random_texts():
+    import public_tokenizers
+
+    names = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    slow, fast = packing.encoder(names[0], None), packing.encoder(*names)
+    r = random.Random(11)
+    signs = [*map(chr, range(0x250)), *"日本語😀и\u2028\u200d", "'s", "'LL", "  ", "\r\n", "<|endoftext|>", "the ", "123"]
+    for _ in range(20_000):
+        t = "".join(r.choice(signs if r.random() < 0.5 else "ab 1.'\n") for _ in range(r.randint(1, 25)))
+        assert slow(t).tolist() == fast(t).tolist(), repr(t)
 
 
 def test_both_tokenizers_split_alike():
@@ -473,6 +494,20 @@ def test_least_met_of_all_sizes(percent):
                 assert 1 <= jaccard.met(n, percent) <= min(jaccard.drawn(n, percent) - n + i, jaccard.drawn(m, percent) - m + i)
 
 
+@pytest.mark.parametrize("together", [1, 40, 1 << 20])
+def test_sieve_counts_no_less(spark, together):
+    """Of each set at least as many drawn shingles as other sets draw too; exactly so many where a set is seen once."""
+    r = random.Random(together)
+    texts = [" ".join(r.choice("abcdefgh") for _ in range(r.randint(3, 30))) for _ in range(80)] + ["a b c d e f g h a b"] * 20
+    got = {(x.digest, x.n): x.several for x in jaccard.counted(jaccard.thinned(rows(spark, texts), 3, 70, together)).collect()}
+    sets = {}
+    for own in words.shingle_sets(pa.array(texts), 3):
+        sets[jaccard._digest(own)] = (len(own), frozenset(own[: jaccard.drawn(len(own), 70)].tolist()))
+    held = Counter(x for _, own in sets.values() for x in own)
+    want = {(d, n): sum(held[x] > 1 for x in own) for d, (n, own) in sets.items()}
+    assert {k for k, v in want.items() if v} == set(got) and all(got[k] >= want[k] for k in got)
+
+
 def test_classes_of_odd_rows(spark):
     got = jaccard.classes(odd(spark), 3, 90).collect()
     assert len(got) == len(ODD)
@@ -516,3 +551,44 @@ def test_components(spark):
         top[max(a, b)] = min(a, b)
     assert got == {x: find(x) for e in edges for x in e}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# -- very long texts
+
+
+LONG = 5_000_000
+
+
+def test_very_long_texts(spark, boosted):
+    """Texts of 5 MB, alike but for a word, and one of digits."""
+    base = " ".join(f"w{i}" for i in range(640_000))[:LONG]
+    texts = [base, base.replace(" w77 ", " other "), "1" * LONG, "tail"]
+    docs = rows(spark, texts).repartition(2)
+    assert {(x.doc_id, x.start, x.end) for x in repeats.passages(docs).collect()} == {(0, 0, 77), (1, 0, 77), (0, 78, len(base.split())), (1, 78, len(base.split()))}
+    bench = spark.createDataFrame([(1, " ".join(base.split()[-30:]))], "item_id long, text string")
+    assert {(x.doc_id, x.n_hit) for x in decontaminate.contamination(docs, bench).collect()} == {(0, 30), (1, 30), (2, 0), (3, 0)}
+    assert {x.doc_id: x.component_id for x in jaccard.classes(docs, 5, 80).collect()} == {0: 0, 1: 0, 2: 2, 3: 3}
+    assert all(len(x.spans) == 0 for x in private.find(docs, boosted).collect())
+    found, spans = secrets.spans(docs)
+    assert {(x.kind, x.end) for x in spans.filter("kind < 3").collect()} == {(2, LONG)} and found.count() == 4
+    conv = spark.createDataFrame([(1, 0, "user", base), (1, 1, "assistant", texts[2])], "conv_id long, turn long, role string, text string")
+    assert [(x.loss_chars, x.valid) for x in chat.conversations_digest(conv).collect()] == [(LONG, True)]
+
+
+def test_very_long_texts_are_packed(spark):
+    text = "some plain words of a long text, " * (LONG // 33)
+    got = packing.pack_documents(rows(spark, [text])).collect()
+    assert sum(x.length for x in got) == got[0].doc_tokens and [x.length for x in sorted(got, key=lambda x: x.start)] == packing.cuts(got[0].doc_tokens, 1024)
+
+
+def test_names_that_clash(spark):
+    texts = ["some text that two of them have in full here"] * 2 + ["lead some text that two", None]
+    extra = [F.lit(1).alias(n) for n in ("class", "digest", "mark", "KEY_", "hash_", "row", "doc", "segment", "at", "n", "items", "order", "owner", "other")]
+    docs = rows(spark, texts).select("*", *extra)
+    bench = spark.createDataFrame([(1, "lead some text", 5)], "item_id long, text string, key int")
+    clean = decontaminate.cleaned(docs, bench)
+    assert clean.columns == docs.columns and sorted(x.doc_id for x in clean.collect()) == [0, 1, 3]
+    kept = jaccard.deduplicated(docs, 3, 90)
+    assert kept.columns == docs.columns and sorted(x.doc_id for x in kept.collect()) == [0, 2, 3]
+    assert repeats.passages(docs, 4, 2).count() > 0 and packing.pack_documents(docs).count() > 3 and private.redact(docs, private.Model([])).columns == docs.columns
+    assert secrets.spans(docs.withColumn("end", F.lit(1)))[0].count() == 4

@@ -66,6 +66,7 @@ def _told(column: str, keep=None) -> Column:
 
 
 def op6_secret_scan(spark, sf_dir: str) -> DataFrame:
+    """Secrets in every whole text: base spans, and general keys that few owners have. Odd rows as in the module's text."""
     rows, found = spans(shared.table(spark, sf_dir, "documents"))
     each = found.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live"))).alias("s"))
     out = rows.join(each, "row", "left").withColumn("s", F.coalesce("s", F.array().cast("array<struct<start:bigint,kind:int,end:bigint,live:boolean>>")))
