@@ -5,30 +5,59 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vellumq.functions import text as T
 from vellumq.operators.align import opcodes, over_pairs, ratio
+from vellumq.operators.graph import settled
 
 
-def line_keys(documents: DataFrame, least: int = 20, most_docs: int = 50) -> DataFrame:
-    """doc_id, key, n of lines long enough to tell texts apart and in few enough documents to be evidence. How many documents hold a line is counted before any join, partially in each task."""
+def line_keys(documents: DataFrame, least: int = 20) -> DataFrame:
+    """doc_id, key (a hash), n of lines long enough to tell texts apart."""
     key = F.lower(F.trim(T.collapsed(F.col("s"))))
     rows = documents.filter("text is not null").select("doc_id", F.explode(T.lines(F.col("text"))).alias("s")).select("doc_id", key.alias("key")).filter(F.length("key") >= least)
-    each = rows.groupBy("doc_id", "key").agg(F.count("*").alias("n"))
-    few = each.groupBy("key").agg(F.count("*").alias("docs")).filter((F.col("docs") >= 2) & (F.col("docs") <= most_docs)).select("key")
-    return each.join(few, "key")
+    return rows.groupBy("doc_id", F.xxhash64("key").alias("key")).agg(F.count("*").alias("n"))
 
 
-def line_pairs(documents: DataFrame, share: float = 0.3, enough: int = 12) -> DataFrame:
-    """a, b, shared: documents that share enough lines: a share of the shorter's, or ``enough``."""
-    keys = line_keys(documents)
+def line_classes(documents: DataFrame, keys: DataFrame) -> DataFrame:
+    """doc_id, first (the least document with the same lines), size (all its lines), long (its long ones)."""
+    marks = [F.bit_xor(F.xxhash64("key", "n", F.lit(seed))).alias(f"mark{seed}") for seed in (1, 2)]
+    whole = keys.groupBy("doc_id").agg(F.sum("n").alias("long"), *marks)
     size = documents.filter("text is not null").select("doc_id", F.size(T.lines(F.col("text"))).alias("size"))
-    both = keys.select(F.col("doc_id").alias("a"), "key", F.col("n").alias("na")).join(keys.select(F.col("doc_id").alias("b"), "key", F.col("n").alias("nb")), "key").filter("a < b")
-    shared = both.groupBy("a", "b").agg(F.sum(F.least("na", "nb")).alias("shared"))
-    rows = shared.join(size.select(F.col("doc_id").alias("a"), F.col("size").alias("sa")), "a").join(size.select(F.col("doc_id").alias("b"), F.col("size").alias("sb")), "b")
-    return rows.filter((F.col("shared") >= F.greatest(F.lit(1.0), share * F.least("sa", "sb"))) | (F.col("shared") >= enough)).select("a", "b", "shared")
+    of = ["size", "long", "mark1", "mark2"]
+    rows = whole.join(size, "doc_id")
+    first = rows.groupBy(*of).agg(F.min("doc_id").alias("first"))
+    return rows.join(first, of).select("doc_id", "first", "size", "long")
+
+
+def line_pairs(documents: DataFrame, share: float = 0.3, enough: int = 12) -> DataFrame:
+    """a, b, shared: texts that share enough lines: a share of the shorter's, or ``enough``. A text that several documents have is its least one; each of the others is paired with that one only.
+
+    Every line counts, however many documents hold it. The lines of the shorter text, from the rarest on, as many as it may have beyond those it shares, hold one
+    that is in the longer text: pairs are looked for by these, and then counted in full. A common line finds pairs only in texts that have little else.
+    """
+    keys = settled(line_keys(documents))
+    classes = settled(line_classes(documents, keys))
+
+    def need(size: Column) -> Column:
+        return F.least(F.lit(enough), F.greatest(F.lit(1), F.ceil(share * size))).cast("long")
+
+    copies = classes.filter((F.col("doc_id") != F.col("first")) & (F.col("long") >= need(F.col("size")))).select(F.col("first").alias("a"), F.col("doc_id").alias("b"), F.col("long").alias("shared"))
+    texts = classes.filter("doc_id = first").select("doc_id", "size", "long")
+    own = keys.join(texts, "doc_id")
+    several = own.groupBy("key").agg(F.count("*").alias("docs")).filter("docs > 1")
+    own = settled(own.join(several.hint("merge"), "key"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("doc_id").orderBy("docs", "key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # lines of one text alone come first in the order
+    lone = F.col("long") - F.sum("n").over(Window.partitionBy("doc_id"))
+    first = own.withColumn("before", before + lone).filter(F.col("before") < F.col("long") - need(F.col("size")) + 1)
+    shorter = first.select("key", F.col("doc_id").alias("x"), F.col("size").alias("sx"))
+    longer = own.select("key", F.col("doc_id").alias("y"), F.col("size").alias("sy"))
+    met = shorter.join(longer, "key").filter("sx < sy or sx = sy and x < y").select("x", "y", "sx").distinct()
+    counted = met.join(own.select(F.col("doc_id").alias("x"), "key", F.col("n").alias("nx")), "x").join(own.select(F.col("doc_id").alias("y"), "key", F.col("n").alias("ny")), ["y", "key"])
+    shared = counted.groupBy("x", "y", "sx").agg(F.sum(F.least("nx", "ny")).alias("shared")).filter(F.col("shared") >= need(F.col("sx")))
+    return shared.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), "shared").unionByName(copies)
 
 
 def nearest_pairs(documents: DataFrame) -> DataFrame:

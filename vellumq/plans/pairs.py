@@ -27,16 +27,18 @@ def query(oracle: str | None = None):
 
 
 _PAIRS = f"""{S.LINE}, k AS (SELECT doc_id, lower(trim(regexp_replace(s, '\\s+', ' ', 'g'))) AS key, count(*) AS n FROM line GROUP BY ALL HAVING length(lower(trim(regexp_replace(s, '\\s+', ' ', 'g')))) >= 20),
-few AS (SELECT key FROM k GROUP BY 1 HAVING count(*) BETWEEN 2 AND 50), kk AS (SELECT k.* FROM k SEMI JOIN few USING (key)),
-sh AS (SELECT x.doc_id AS a, y.doc_id AS b, CAST(sum(least(x.n, y.n)) AS BIGINT) AS shared FROM kk x JOIN kk y ON x.key = y.key AND x.doc_id < y.doc_id GROUP BY ALL),
 sz AS (SELECT doc_id, count(*) AS size FROM line GROUP BY 1),
-lp AS (SELECT a, b, shared FROM sh JOIN sz za ON za.doc_id = a JOIN sz zb ON zb.doc_id = b WHERE shared >= greatest(1, 0.3 * least(za.size, zb.size)) OR shared >= 12),
+held AS (SELECT doc_id, any_value(size) AS size, sum(n) AS long, string_agg(key || chr(1) || n, chr(2) ORDER BY key) AS whole FROM k JOIN sz USING (doc_id) GROUP BY doc_id),
+cl AS (SELECT doc_id, size, long, min(doc_id) OVER (PARTITION BY size, whole) AS first FROM held),
+kk AS (SELECT k.*, size FROM k JOIN cl USING (doc_id) WHERE doc_id = first),
+sh AS (SELECT x.doc_id AS a, y.doc_id AS b, least(any_value(x.size), any_value(y.size)) AS size, CAST(sum(least(x.n, y.n)) AS BIGINT) AS shared FROM kk x JOIN kk y ON x.key = y.key AND x.doc_id < y.doc_id GROUP BY ALL),
+lp AS (SELECT a, b, shared FROM sh WHERE shared >= greatest(1, 0.3 * size) OR shared >= 12 UNION ALL SELECT first, doc_id, CAST(long AS BIGINT) FROM cl WHERE doc_id <> first AND (long >= greatest(1, 0.3 * size) OR long >= 12)),
 near AS (SELECT b, arg_max(a, (shared, -a)) AS a FROM lp GROUP BY b)"""
 
 
 @query(f"WITH {_PAIRS} SELECT * FROM lp")
 def line_pairs(spark, sf_dir):
-    """Documents that share lines: 30 % of the shorter's, or twelve."""
+    """Texts that share lines: 30 % of the shorter's, or twelve; and each copy of a text with its first."""
     return V.line_pairs(_docs(spark, sf_dir))
 
 
