@@ -83,6 +83,10 @@ def test_folds(spark):
     assert [r.number for r in O.level_counters(points).orderBy("pos").collect()] == [1, 1, 2, 1, 2, 1]
     items = spark.createDataFrame([(1, 0, 0), (1, 1, 1), (1, 2, 1), (1, 3, 2), (1, 4, 0)], "doc_id long, pos int, depth int")
     assert [r.parent for r in O.nested_items(items).orderBy("pos").collect()] == [None, 0, 0, 2, None]
+    deep = spark.createDataFrame([(1, i, i) for i in range(30)] + [(1, 30, 12)], "doc_id long, pos int, level int")
+    assert [r.parent for r in O.level_counters(deep).orderBy("pos").collect()] == [*range(-1, 29), 11]
+    assert [r.number for r in O.level_counters(deep).orderBy("pos").collect()] == [1] * 30 + [2]
+    assert [r.parent for r in O.nested_items(deep.withColumnRenamed("level", "depth")).orderBy("pos").collect()] == [None, *range(29), 11]
     heads = H.nested(spark.createDataFrame([(1, 0, 1), (1, 1, 2), (1, 2, 3), (1, 3, 2), (1, 4, 1)], "page_id long, block int, level int"), "page_id")
     assert [r.parent for r in heads.orderBy("block").collect()] == [None, 0, 1, 0, None]
     split = O.split_blocks(spark.createDataFrame([(1, 0, False), (1, 1, True), (1, 2, False)], "doc_id long, pos int, split boolean")).orderBy("pos").collect()

@@ -52,11 +52,15 @@ def italic_runs(tokens: DataFrame) -> DataFrame:
 
 
 def level_counters(points: DataFrame) -> DataFrame:
-    """Points (doc_id, pos, level) with number: a count at each level that starts again under each new point above."""
-    w = order("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.coalesce(F.max(F.when(F.col("level") == n, F.col("pos"))).over(w), F.lit(-1)) for n in range(8)]
-    parent = F.array_max(F.concat(F.array(F.lit(-1)), F.array(*[F.when(F.col("level") > n, x).otherwise(F.lit(-1)) for n, x in enumerate(last)])))
-    rows = points.withColumn("parent", parent)
+    """Points (doc_id, pos, level) with parent, the last point above before it (-1: none), and number: a count at each level that starts again under each new point above.
+
+    A point stands once for each of its text's levels from its own down: as itself, and as one that begins a new count there. Levels are as many as the text has.
+    """
+    levels = points.groupBy("doc_id").agg(F.collect_set("level").alias("levels"))
+    each = points.join(levels, "doc_id").withColumn("under", F.explode(F.filter("levels", lambda x: x >= F.col("level")))).drop("levels")
+    before = Window.partitionBy("doc_id", "under").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    parent = F.coalesce(F.max(F.when(F.col("level") < F.col("under"), F.col("pos"))).over(before), F.lit(-1))
+    rows = each.withColumn("parent", parent).filter("level = under").drop("under")
     return rows.withColumn("number", F.row_number().over(Window.partitionBy("doc_id", "level", "parent").orderBy("pos")))
 
 
@@ -94,10 +98,10 @@ def split_blocks(blocks: DataFrame) -> DataFrame:
 
 
 def nested_items(items: DataFrame) -> DataFrame:
-    """List items (doc_id, pos, depth) with parent: the last earlier item one depth less."""
-    w = order("doc_id").rowsBetween(Window.unboundedPreceding, -1)
-    last = [F.max(F.when(F.col("depth") == n, F.col("pos"))).over(w) for n in range(8)]
-    return items.withColumn("parent", F.coalesce(*[F.when(F.col("depth") == n + 1, x) for n, x in enumerate(last)]))
+    """List items (doc_id, pos, depth) with parent: the last earlier item one depth less. An item stands at its own depth, and as a parent at the next."""
+    each = items.withColumn("x", F.explode(F.array(F.struct(F.col("depth").cast("long").alias("at"), F.lit(None).cast("long").alias("held")), F.struct((F.col("depth") + 1).cast("long").alias("at"), F.col("pos").cast("long").alias("held")))))
+    before = Window.partitionBy("doc_id", "x.at").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    return each.withColumn("parent", F.max("x.held").over(before)).filter("x.held is null").drop("x")
 
 
 def gap_fill(orig: Column, new: Column) -> Column:

@@ -57,9 +57,15 @@ def margins(edges: DataFrame) -> DataFrame:
     return edges.groupBy("book").agg(F.median("inner").alias("median_inner"), F.median("outer").alias("median_outer"), F.min("inner").alias("least_inner"), F.min("outer").alias("least_outer"), F.min_by("page", F.struct("inner", "page")).alias("narrowest"))
 
 
+MOST_STEPS = 10_000
+
+
 def inside_margin(books: DataFrame, steps: DataFrame) -> DataFrame:
-    """The margin that a printer asks for by number of pages; steps: least pages, margin."""
-    return books.join(F.broadcast(steps.limit(100)), F.col("pages") >= F.col("least")).groupBy("book", "pages").agg(F.max_by("margin", "least").alias("margin"))
+    """The margin that a printer asks for by number of pages; steps: least pages, margin, a table of MOST_STEPS rows at most (more are an error)."""
+    n = steps.limit(MOST_STEPS + 1).count()
+    if n > MOST_STEPS:
+        raise ValueError(f"{MOST_STEPS} steps at most")
+    return books.join(F.broadcast(steps), F.col("pages") >= F.col("least")).groupBy("book", "pages").agg(F.max_by("margin", "least").alias("margin"))
 
 
 def body_size(runs: DataFrame) -> DataFrame:

@@ -34,38 +34,87 @@ def sentence_scores(scores: DataFrame) -> DataFrame:
     return rows.select("doc_id", "sent_no", "words", "score", F.when(F.col("score") > 0, F.col("at")).alias("strongest"), "strength")
 
 
-def taken(rows: DataFrame, order: list[Column], weight: str, budget: Column) -> DataFrame:
-    """Rows in order while the weight of those before is under the budget; the last may overshoot.
+def scored_sentences(documents: DataFrame, floor: float = -15.0) -> DataFrame:
+    """doc_id, sent_no, words, score, strongest, strength: as sentence_scores of bigram_scores, but strength has scores above 0 only.
+
+    Only small words can score, so only they are exploded and joined with the scores of their pairs; a sentence's other words are its number of words.
+    """
+    w = F.transform(T.spaced_words(F.col("s")), F.lower)
+    small = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("at"), F.get(F.col("w"), i - 1).alias("before"), x.alias("word"))), lambda x: (x["at"] > 0) & F.regexp_replace(x["word"], "[^a-z]", "").isin(*T.SMALL))
+    split = sentences(documents).select("doc_id", "sent_no", w.alias("w"))
+    rows = settled(split.select("doc_id", "sent_no", F.size("w").cast("long").alias("words"), small.alias("small"), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))).alias("first")))
+    found = rows.select("doc_id", "sent_no", F.explode("small").alias("x")).select("doc_id", "sent_no", "x.at", "x.before", "x.word")
+    both = found.groupBy("before", "word").agg(F.count("*").alias("n"))
+    total = rows.select(F.explode("first").alias("before")).groupBy("before").agg(F.count("*").alias("total"))
+    lp = F.greatest(F.lit(floor), F.log(F.col("n") / F.col("total")))
+    scores = both.join(total, "before").select("before", "word", F.round(T.word_score(F.col("word"), lp, F.lit(None).cast("string"), F.lit(floor)), 6).alias("score"))
+    told = found.join(scores, ["before", "word"]).select("doc_id", "sent_no", F.lit(None).cast("long").alias("words"), "at", "score")
+    bare = rows.select("doc_id", "sent_no", "words", F.lit(None).cast("int").alias("at"), F.lit(None).cast("double").alias("score"))
+    each = told.unionByName(bare).groupBy("doc_id", "sent_no").agg(F.max("words").alias("words"), F.coalesce(F.max("score"), F.lit(0.0)).alias("score"), F.max_by("at", F.when(F.col("score") > 0, F.struct("score", -F.col("at")))).alias("at"), F.sort_array(F.collect_list(F.when(F.col("score") > 0, F.col("score"))), asc=False).alias("strength"))
+    return each.select("doc_id", "sent_no", "words", (F.col("score") + 0.0).alias("score"), F.when(F.col("score") > 0, F.col("at")).alias("strongest"), "strength")
+
+
+def taken(rows: DataFrame, order: list[Column], weight: str, budget: Column | None = None, share: float | None = None) -> DataFrame:
+    """Rows in order while the weight of those before is under the budget, or under a share of all rows' weight; the last may overshoot.
 
     The running sum is made in two steps, so no task sees all rows: rows are ranged into partitions in order, each partition's
-    weight is summed, and the sums before a partition (one row each) are added to the running sum within it. The ranged rows are written, so
+    weight is summed, and the sums before a partition (one row each, as many as there are partitions) are added to the running sum within it. The ranged rows are written, so
     that both steps see one division of the rows.
     """
-    ranged = settled(rows.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
-    sums = ranged.groupBy("__part").agg(F.sum(weight).alias("__sum"))
-    before = sums.select("__part", F.coalesce(F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    inner = F.coalesce(F.sum(weight).over(Window.partitionBy("__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return ranged.withColumn("__inner", inner).join(F.broadcast(before), "__part").withColumn("__used", F.col("__inner") + F.col("__before")).filter(F.col("__used") < budget).drop("__part", "__inner", "__before", "__used")
+    part, inner, before, total = (unused(x, rows) for x in ("part", "inner", "before", "total"))
+    ranged = settled(rows.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    sums = ranged.groupBy(part).agg(F.sum(weight).alias(total))
+    upto = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(part, F.coalesce(F.sum(total).over(upto), F.lit(0)).alias(before), F.sum(total).over(Window.partitionBy()).alias(total))
+    limit = budget if share is None else share * F.col(total)
+    running = F.coalesce(F.sum(weight).over(Window.partitionBy(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return ranged.withColumn(inner, running).join(F.broadcast(sums), part).filter(F.col(inner) + F.col(before) < limit).drop(part, inner, before, total)
+
+
+def unused(name: str, rows: DataFrame) -> str:
+    """A column name like this that the rows don't have."""
+    while name.lower() in {c.lower() for c in rows.columns}:
+        name += "_"
+    return name
 
 
 def strength_order() -> list[Column]:
-    """Strongest first; of two vectors equal up to the shorter's end the shorter first; ties by reading order."""
-    return [F.transform("strength", lambda x: -x).asc(), F.col("doc_id").asc(), F.col("sent_no").asc()]
+    """Strongest first, by all words' scores; of two vectors equal up to the shorter's end the shorter first; ties by reading order.
+
+    Words that score 0 come last in a vector, so one of them, if there is any, and the number of words say all that they do.
+    """
+    some = F.filter("strength", lambda x: x > 0)
+    vector = F.concat(F.transform(some, lambda x: -x), F.when(F.col("words") > F.size(some), F.array(F.lit(0.0))).otherwise(F.array().cast("array<double>")))
+    return [vector.asc(), F.col("words").asc(), F.col("doc_id").asc(), F.col("sent_no").asc()]
 
 
 def budget_top(sentences: DataFrame, share: float = 0.15) -> DataFrame:
-    total = sentences.agg(F.sum("words")).head()[0] or 0
-    return taken(sentences, strength_order(), "words", F.lit(share * total))
+    return taken(sentences, strength_order(), "words", share=share)
 
 
-def hash_order(seed: int, *keys: str) -> list[Column]:
-    """A reproducible shuffle: by the digest of the seed and the row's key."""
-    return [F.sha2(F.concat_ws(":", F.lit(str(seed)), *keys), 256).asc(), *[F.col(k).asc() for k in keys]]
+BUCKETS = 1 << 16
 
 
 def hash_sample(rows: DataFrame, seed: int, share: float, weight: str, *keys: str) -> DataFrame:
-    total = rows.agg(F.sum(weight)).head()[0] or 0
-    return taken(rows, hash_order(seed, *keys), weight, F.lit(share * total))
+    """Rows in the order of a digest of the seed and their keys, a reproducible shuffle, up to a share of all weight; the last may overshoot.
+
+    Rows fall into buckets by their digest's beginning. The buckets' weights (a row each, BUCKETS at most) say in which the budget ends: those before are taken whole, and
+    that one alone is put in order.
+    """
+    digest, bucket, inner = (unused(x, rows) for x in ("digest", "bucket", "inner"))
+    rows = settled(rows)
+    marked = rows.withColumn(digest, F.sha2(F.concat_ws(":", F.lit(str(seed)), *keys), 256)).withColumn(bucket, F.conv(F.substring(digest, 1, 4), 16, 10).cast("int"))
+    sums = sorted((b, w or 0) for b, w in marked.groupBy(bucket).agg(F.sum(weight)).collect())
+    budget, before, last = share * sum(w for _, w in sums), 0, BUCKETS
+    for b, w in sums:
+        if before + w >= budget:
+            last = b
+            break
+        before += w
+    order = [F.col(digest).asc(), *[F.col(k).asc() for k in keys]]
+    within = F.coalesce(F.sum(weight).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    end = marked.filter(F.col(bucket) == last).withColumn(inner, within).filter(F.col(inner) + F.lit(before) < F.lit(budget))
+    return marked.filter(F.col(bucket) < last).select(*rows.columns).unionByName(end.select(*rows.columns))
 
 
 def marked_line(words: Column, mark: Column, score: Column, number: Column) -> Column:

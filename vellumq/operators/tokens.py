@@ -81,8 +81,20 @@ def modern_words(found: Column) -> Column:
 
 
 def looped(documents: DataFrame, n: int = 4, times: int = 8, least: int = 40) -> DataFrame:
-    """doc_id, most: texts of more than ``least`` words in which some run of n words stands ``times`` times or more."""
+    """doc_id, most: texts of more than ``least`` words in which some run of n words stands ``times`` times or more.
+
+    Whether a text has one is seen within its row: in its sorted runs one equals that ``times - 1`` places on. Only the texts found are counted exactly.
+    """
+    def once(value: Column) -> Column:
+        """The value as a generated column, so that no expression over it computes it again."""
+        return F.explode(F.array(value))
+
     w = F.transform(T.spaced_words(F.col("text")), F.lower)
-    grams = documents.select("doc_id", w.alias("w")).filter(F.size("w") > least)
-    grams = grams.select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).alias("g"))
+    long = documents.select("doc_id", once(w).alias("w")).filter(F.size("w") > least)
+    runs = F.col("h")
+    for k in range(2, n + 1):
+        runs = F.zip_with(runs, F.slice("h", k, F.size("h")), lambda a, b: F.xxhash64(a, b))
+    rows = long.select("*", once(F.transform("w", lambda x: F.xxhash64(x))).alias("h")).select("doc_id", "w", once(F.sort_array(F.slice(runs, 1, F.size("h") - n + 1))).alias("g"))
+    repeated = F.exists(F.zip_with("g", F.slice("g", times, F.size("g")), lambda a, b: F.coalesce(a == b, F.lit(False))), lambda x: x)
+    grams = rows.filter((F.size("g") >= times) & repeated).select("doc_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, n), " "))).alias("g"))
     return grams.groupBy("doc_id", "g").count().groupBy("doc_id").agg(F.max("count").alias("most")).filter(F.col("most") >= times)

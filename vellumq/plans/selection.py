@@ -33,7 +33,7 @@ ss AS (SELECT doc_id, sent_no, count(*) AS words, max(score) AS score, min(place
 
 
 def _scored(spark, sf_dir):
-    return C.sentence_scores(C.bigram_scores(_docs(spark, sf_dir)))
+    return C.scored_sentences(_docs(spark, sf_dir))
 
 
 @query(f"WITH {_SCORES} SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, words, score, CAST(CASE WHEN score > 0 THEN place ELSE -1 END AS INTEGER) AS strongest FROM ss")
@@ -46,9 +46,7 @@ def sentence_strongest(spark, sf_dir):
 SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, words FROM r WHERE coalesce(used, 0) < 0.15 * total""")
 def budget_top(spark, sf_dir):
     """The strongest sentences up to 15 % of all words."""
-    from vellumq.operators.graph import settled
-
-    return C.budget_top(settled(_scored(spark, sf_dir))).select("doc_id", "sent_no", "words")
+    return C.budget_top(_scored(spark, sf_dir)).select("doc_id", "sent_no", "words")
 
 
 @query(rf"""WITH {S.SENT}, n AS (SELECT doc_id, sent_no, CAST(len(regexp_extract_all(s, '\S+')) AS BIGINT) AS words FROM sent),
