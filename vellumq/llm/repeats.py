@@ -229,10 +229,49 @@ def lone(rows: DataFrame, size: int, anchor: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(whole), *(pa.array(np.full(len(place), part.column(c)[i].as_py(), np.int64)) for c in ("row", "doc")), pa.array(place.astype(np.int32))], names=["window", "row", "doc", "first"])
 
     found = shared.written(rows.mapInArrow(emit, "window bigint, row bigint, doc bigint, first int"), "windows")
-    least = found.groupBy("window").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least <> most").drop("most")
-    second = found.join(least.hint("merge"), "window").filter("doc <> least").groupBy("window").agg(F.first("least").alias("least"), F.min("doc").alias("second"))
+    # a table by itself, so that the join's skewed side is a shuffle that Spark can split
+    least = shared.written(two_least(found.select("window", "doc")), "least")
     other = F.when(F.col("doc") == F.col("least"), F.col("second")).otherwise(F.col("least"))
-    return found.join(second.hint("merge"), "window").select("row", "doc", "first", F.col("first").alias("last"), other.alias("other"))
+    return found.join(least.hint("merge"), "window").select("row", "doc", "first", F.col("first").alias("last"), other.alias("other"))
+
+
+def _two_least(window: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each window the rows of its two least documents, in order."""
+    order = np.lexsort((doc, window))
+    window, doc = window[order], doc[order]
+    fresh = np.concatenate((np.ones(min(1, len(window)), bool), (window[1:] != window[:-1]) | (doc[1:] != doc[:-1])))
+    window, doc = window[fresh], doc[fresh]
+    keep = np.ones(len(window), bool)
+    keep[2:] = window[2:] != window[:-2]
+    return window[keep], doc[keep]
+
+
+def two_least(rows: DataFrame) -> DataFrame:
+    """window, least, second: of windows of two documents or more the two least. A batch sends two rows of a window at most."""
+
+    def few(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _two_least(*(c.to_numpy() for c in batch.columns))], names=["window", "doc"])
+
+    def pick(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for batch in _and_end(batches):
+            window, doc = _two_least(*(np.concatenate((h, c)) for h, c in zip(held, batch, strict=True)))
+            end = len(window) if not len(batch[0]) else int(np.searchsorted(window, window[-1])) if len(window) else 0  # the last window may go on
+            pair = np.flatnonzero(window[1:end] == window[: max(0, end - 1)])
+            yield pa.RecordBatch.from_arrays([pa.array(window[pair]), pa.array(doc[pair]), pa.array(doc[pair + 1])], names=["window", "least", "second"])
+            held = (window[end:], doc[end:])
+
+    small = rows.mapInArrow(few, "window bigint, doc bigint")
+    return small.repartition("window").sortWithinPartitions("window", "doc").mapInArrow(pick, "window bigint, least bigint, second bigint")
+
+
+def _and_end(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """The columns of all batches that have rows, then empty ones."""
+    for batch in batches:
+        if batch.num_rows:
+            yield tuple(c.to_numpy() for c in batch.columns)
+    yield (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
 def merged(rows: DataFrame, size: int) -> DataFrame:
@@ -267,7 +306,8 @@ def passages(documents: DataFrame, size: int = 50, anchor: int = 24, crowd: int
         raise ValueError("an anchor has 1 to size words")
     texts = texts_of(documents)
     rows = shared.written(anchors(texts, size, anchor), "anchors")
-    kept = shared.written(rows.join(several(rows).hint("merge"), "key").select("key", "row", "docs"), "suffixes")
+    common = shared.written(several(rows), "several")
+    kept = shared.written(rows.join(common.hint("merge"), "key").select("key", "row", "docs"), "suffixes")
 
     def held(wanted: str) -> DataFrame:
         keys = kept.filter(wanted).groupBy("row").agg(F.collect_set("key").alias("keys"))  # of one text each
