@@ -61,6 +61,7 @@ def test_scans(spark):
     assert {(tuple(r.words), r.left, r.top, r.right, r.bottom) for r in lines.collect()} == {(("Of", "Temptation"), 10, 18, 29, 26), (("ſin",), 10, 30, 15, 36)}
     best = P.best_window(lines, ["temptation", "fin"], 2).first()
     assert (best.hits, best["at"], best.bottom) == (2, 1, 36)
+    assert P.best_window(lines, ["temptatjon", "x"], 1).first().hits == 1 and P.best_window(lines, ["sun"], 1).count() == 0
     assert [r.n for r in P.stray_numbers(spark.createDataFrame([(1, 0, 1), (1, 1, 2), (1, 2, 5)], "page int, at int, n int")).collect()] == [5]
     assert P.body_size(spark.createDataFrame([("b", 10, "aaa"), ("b", 12, "aa"), ("b", 12, "a")], "book string, size int, text string")).first()["size"] == 12
     assert P.margins(spark.createDataFrame([("b", 1, 5.0, 4.0), ("b", 2, 3.0, 4.0), ("b", 3, 9.0, 8.0)], "book string, page int, inner double, outer double")).first().narrowest == 2
@@ -119,6 +120,8 @@ def test_modern_spellings(spark):
     known = spark.createDataFrame([("justice", 9), ("look", 5), ("observe", 4), ("yeeld", 1), ("speak", 3)], "word string, freq long")
     got = {r.word: (r.modern, r.rule) for r in N.modernised(words, known, N.Tables(manual={"prou": "prov"})).collect()}
     assert got["iustice"] == ("justice", "rules") and got["hath"] == ("hath", "exception") and got["looke"] == ("look", "rules") and got["prou"] == ("prov", "manual") and got["zzz"] == ("zzz", "none")
+    chain = {r.word: (r.modern, r.rule) for r in N.spelling_chain(words.unionByName(spark.createDataFrame([("lookeeth",), ("jjvuv",)], "word string")), known.unionByName(spark.createDataFrame([("iivvu", 3)], "word string, freq long"))).collect()}
+    assert chain["iustice"] == ("justice", "rules") and chain["jjvuv"] == ("iivvu", "letterforms") and chain["lookeeth"] == ("looketh", "verb root") and chain["zzz"] == ("zzz", "none") and chain["hath"] == ("hath", "exception")
     assert {r.word: r.modern for r in N.letterform_search(words, known).collect()} == {"iustice": "justice", "obserue": "observe"}
     assert list(N.swapped("ui")) == [["vi", "uj"], ["vj"]] and list(N.swapped("u" * 8)) == []
     assert {r.word: r.modern for r in N.verb_roots(spark.createDataFrame([("lookeeth",), ("speaketh",)], "word string"), known).collect()} == {"lookeeth": "looketh"}

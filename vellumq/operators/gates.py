@@ -44,9 +44,15 @@ def fingerprints(rows: DataFrame, key: str, content: str, snapshot: str) -> Data
 
 
 def manifest(prints: DataFrame, group: str) -> DataFrame:
-    """group, n, sha256: one digest over the ordered digests of a group's files."""
-    rows = prints.groupBy(group).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("key", "sha256"))).alias("x"))
-    return rows.select(group, "n", F.sha2(F.array_join(F.transform("x", lambda r: F.concat(r["sha256"], F.lit("  "), r["key"])), "\n"), 256).alias("sha256"))
+    """group, n, sha256: a tree of digests. A group's files fall into 4,096 branches by the digest of their keys; a branch is the digest of its lines 'digest  key' in the order of keys, and the group that of its branches 'branch:digest' in order.
+
+    However many files a group has, no row holds more than a branch.
+    """
+    branch = F.substring(F.sha2(F.coalesce(F.col("key"), F.lit("")), 256), 1, 3)
+    rows = prints.groupBy(group, branch.alias("branch")).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("key", "sha256"))).alias("x"))
+    one = rows.select(group, "branch", "n", F.sha2(F.array_join(F.transform("x", lambda r: F.concat(r["sha256"], F.lit("  "), r["key"])), "\n"), 256).alias("sha256"))
+    whole = one.groupBy(group).agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("branch", "sha256"))).alias("x"))
+    return whole.select(group, "n", F.sha2(F.array_join(F.transform("x", lambda r: F.concat_ws(":", r["branch"], r["sha256"])), "\n"), 256).alias("sha256"))
 
 
 def compared(old: DataFrame, new: DataFrame) -> DataFrame:

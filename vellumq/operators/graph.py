@@ -32,10 +32,15 @@ def settled(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/settled-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    atexit.register(_delete, spark, path)
+    dropped_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped_at_exit(spark: SparkSession, path: str) -> None:
+    """The folder goes when the session's program ends."""
+    atexit.register(_delete, spark, path)
+
+
 def dropped(table: DataFrame) -> None:
     """Deletes the files of a table made by settled(), once nothing reads it any more."""
     for path in {f.rpartition("/")[0] for f in table.inputFiles()}:

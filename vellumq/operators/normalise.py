@@ -96,3 +96,14 @@ def verb_roots(words: DataFrame, known: DataFrame) -> DataFrame:
     plain = T.ij_rule(T.uv_rule(F.col("root")))
     roots = first_known(rows.select(F.col("root").alias("word"), plain.alias("plain")).distinct(), F.concat(F.array("plain"), T.silent_e_forms(F.col("plain"))), known).withColumnRenamed("word", "root")
     return rows.join(roots, "root").filter("form <> root").select("word", F.concat("form", "ending").alias("modern"))
+
+
+def spelling_chain(words: DataFrame, known: DataFrame, tables: Tables = Tables()) -> DataFrame:
+    """word, modern, rule: tables and rules, then, for what they don't bring to a known word, the search over letterforms, and then the roots of old verbs."""
+    first = modernised(words, known, tables)
+    settled = first.filter(~F.col("rule").isin("rules", "none")).select("word")
+    open_ = first.join(settled, "word", "left_anti").join(known.select(F.col("word").alias("modern")), "modern", "left_anti").select("word")
+    searched = letterform_search(open_, known).withColumn("found", F.lit("letterforms"))
+    roots = verb_roots(open_, known).withColumn("found", F.lit("verb root"))
+    later = searched.unionByName(roots.join(searched.select("word"), "word", "left_anti")).withColumnRenamed("modern", "other")
+    return first.join(later, "word", "left").select("word", F.coalesce("other", "modern").alias("modern"), F.coalesce("found", "rule").alias("rule"))

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T_
 
 from vellumq.functions import text as T
+from vellumq.operators.align import ratio
 
 #: Fixed value: the line before each page of an export.
 PAGE_MARK = r"(?m)^--- Source PDF page (\d+) \(OCR sequence \d+\) ---$"
@@ -37,14 +42,21 @@ def lines(boxes: DataFrame) -> DataFrame:
 
 
 def best_window(lines: DataFrame, wanted: list[str], n: int = 2) -> DataFrame:
-    """page, first, hits, box: of each page the n neighbouring lines that hold most of the wanted words, by their keys, the first of equals."""
-    keys = F.array(*[T.crop_key(F.lit(w)) for w in wanted])
+    """page, hits, at, box: of each page the n neighbouring lines that hold most of the wanted words, the first of equals. A word is held if the keys are equal or, beyond three letters, alike by 0.75."""
+    own = lines.select("*", F.transform("words", T.crop_key).alias("keys"))
+    keys = [r[0] for r in lines.sparkSession.createDataFrame([(w,) for w in wanted], "w string").select(T.crop_key(F.col("w"))).collect()]  # the words asked for
+    keys = [k for k in keys if len(k) > 1]
+
+    def hold(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held = [[i for i, k in enumerate(keys) if any(k == h or len(k) > 3 and ratio(k, h) >= 0.75 for h in row)] for row in batch.column("keys").to_pylist()]
+            yield batch.append_column("held", pa.array(held, pa.list_(pa.int32()))) if batch.num_rows else pa.RecordBatch.from_arrays([*batch.columns, pa.array([], pa.list_(pa.int32()))], names=[*batch.schema.names, "held"])
+
     order = Window.partitionBy("page").orderBy("block_num", "par_num", "line_num")
     span = order.rowsBetween(0, n - 1)
-    rows = lines.withColumn("keys", F.transform("words", T.crop_key)).withColumn("at", F.row_number().over(order))
-    rows = rows.withColumn("held", F.flatten(F.collect_list("keys").over(span)))
+    rows = own.mapInArrow(hold, T_.StructType([*own.schema.fields, T_.StructField("held", T_.ArrayType(T_.IntegerType()))])).withColumn("at", F.row_number().over(order))
     box = [F.min("left").over(span).alias("left"), F.min("top").over(span).alias("top"), F.max("right").over(span).alias("right"), F.max("bottom").over(span).alias("bottom")]
-    rows = rows.select("page", "at", F.size(F.array_intersect(keys, F.col("held"))).alias("hits"), *box)
+    rows = rows.select("page", "at", F.size(F.array_distinct(F.flatten(F.collect_list("held").over(span)))).alias("hits"), *box)
     return rows.filter("hits > 0").groupBy("page").agg(F.max_by(F.struct("at", "left", "top", "right", "bottom"), F.struct("hits", -F.col("at"))).alias("b"), F.max("hits").alias("hits")).select("page", "hits", "b.*")
 
 

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -128,23 +131,117 @@ def slips(trios: DataFrame) -> DataFrame:
     return trios.select("doc", "early", "witness", "text", "early_text", "witness_text").mapInArrow(run, "doc bigint, early bigint, witness bigint, at int, word string, was string")
 
 
+#: Words of running heads and signatures.
+HEADS = ("of", "chap", "chapter", "epistle", "dedicatorie", "signature")
+PAGE = re.compile(r"PAGE\d+$")
+
+
+def ocr_form(word: str) -> str:
+    """What two readings of one print share, as functions.text.ocr_key, but signs stay."""
+    w = word.lower().translate(str.maketrans({"ſ": "s", "f": "s", "v": "u", "j": "i", "y": "i", "w": "uu"}))
+    w = re.sub(r"(.)\1+", r"\1", w)
+    return w[:-1] if len(w) > 3 and w.endswith("e") else w
+
+
+@lru_cache(1 << 16)
+def _letters(form: str) -> Counter:
+    return Counter(form)
+
+
+@lru_cache(1 << 20)
+def _alike(a: str, b: str, least: float) -> bool:
+    """Lengths, and letters in common whatever their order, bound the likeness, so few are aligned."""
+    total = len(a) + len(b)
+    return 2 * min(len(a), len(b)) > least * total and 2 * (_letters(a) & _letters(b)).total() > least * total and ratio(a, b) > least
+
+
+def any_alike(forms: Iterable[str], others: set[str], least: float = 0.7) -> bool:
+    """Whether one of the forms is like one of the others."""
+    forms = set(forms)
+    return not others.isdisjoint(forms) or any(_alike(a, b, least) for a in forms for b in others)
+
+
+def departures(text: list[str], witness: list[str]) -> Iterator[tuple[int, int, list[str], str | None]]:
+    """(i1, i2, extra, swap): places of a text where a witness has other words: those that nothing there is like, and the word if one stands for one.
+
+    Left out: what only parts or joins the text's words, single letters, words of heads, and catchwords, which repeat the first word after a page mark.
+    """
+    heads = set(map(ocr_form, HEADS))
+    for op, i1, i2, j1, j2 in opcodes(list(map(ocr_form, text)), list(map(ocr_form, witness))):
+        if op == "equal":
+            continue
+        own, other = text[i1:i2], [w for w in witness[j1:j2] if not PAGE.match(w)]
+        near = range(max(0, j1 - 4), min(len(witness) - 1, j2 + 4))
+        left_out = heads | {ocr_form(witness[k + 1]) for k in near if PAGE.match(witness[k])}
+        whole = bool(own) and any_alike([ocr_form("".join(own))], {ocr_form("".join(other))}, 0.8)
+        forms = set(map(ocr_form, own))
+        known = {} if whole else {f: f in left_out or any_alike((f,), forms) for f in set(map(ocr_form, other))}
+        extra = [] if whole else [w for w in other if len(w) > 1 and not known[ocr_form(w)]]
+        swap = other[0] if op == "replace" and len(own) == len(other) == 1 else None
+        if extra or swap is not None:
+            yield i1, i2, extra, swap
+
+
+def witness_words(pairs: DataFrame) -> DataFrame:
+    """a, b, i1, i2, extra, swap: the departures of each witness b from the text a."""
+    words = re.compile(r"PAGE\d+|[A-Za-zſ]+")
+    schema = "i1 int, i2 int, extra array<string>, swap string"
+    kinds = [("i1", pa.int32()), ("i2", pa.int32()), ("extra", pa.list_(pa.string())), ("swap", pa.string())]
+    return over_pairs(pairs, lambda x, y: departures(words.findall(x), words.findall(y)), schema, kinds)
+
+
 def collate(found: DataFrame, need: int = 2) -> DataFrame:
-    """doc, i1, i2, witnesses: places where ``need`` witnesses or more differ from a text within a word of each other; found: a (the text), b (the witness), op, i1, i2. Places are spread over buckets of their position, so a long text is many groups."""
-    spots = found.filter("op <> 'equal'").select(F.col("a").alias("doc"), "b", "i1", F.greatest("i2", F.col("i1") + 1).alias("i2"))
+    """doc, i1, i2, words, witnesses: places where ``need`` witnesses or more have words that a text lacks, within a word of each other and alike; found: as of witness_words. Places are spread over buckets of their position, so a long text is many groups."""
+    spots = found.filter(F.size("extra") > 0).select(F.col("a").alias("doc"), "b", "i1", "i2", F.col("extra").alias("words"))
     near = spots.withColumn("bucket", F.explode(F.sequence(F.expr("(i1 - 1) div 64"), F.expr("(i2 + 1) div 64"))))
-    other = near.select("doc", "bucket", F.col("b").alias("b2"), F.col("i1").alias("k1"), F.col("i2").alias("k2"))
-    met = near.join(other, ["doc", "bucket"]).filter((F.col("k1") <= F.col("i2") + 1) & (F.col("i1") <= F.col("k2") + 1))
-    return met.groupBy("doc", "i1", "i2").agg(F.count_distinct("b2").alias("witnesses")).filter(F.col("witnesses") >= need)
+    other = near.select("doc", "bucket", F.col("b").alias("b2"), F.col("i1").alias("k1"), F.col("i2").alias("k2"), F.col("words").alias("others"))
+    met = near.join(other, ["doc", "bucket"]).filter((F.col("k1") <= F.col("i2") + 1) & (F.col("i1") <= F.col("k2") + 1)).drop("bucket").distinct()
+
+    def agree(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [any_alike(map(ocr_form, a), set(map(ocr_form, b))) for a, b in zip(batch.column("words").to_pylist(), batch.column("others").to_pylist(), strict=True)]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    met = met.mapInArrow(agree, met.schema)
+    return met.groupBy("doc", "b", "i1", "i2", "words").agg(F.count_distinct("b2").alias("witnesses")).filter(F.col("witnesses") >= need)
+
+
+def near_misses(found: DataFrame, need: int = 2) -> DataFrame:
+    """doc, at, word, witnesses: single words for which ``need`` witnesses or more have one and the same other."""
+    rows = found.filter("swap is not null").select(F.col("a").alias("doc"), F.col("i1").alias("at"), "b", "swap")
+    return rows.groupBy("doc", "at", T.ocr_key(F.col("swap")).alias("key")).agg(F.min("swap").alias("word"), F.count_distinct("b").alias("witnesses")).filter(F.col("witnesses") >= need).drop("key")
+
+
+def in_turn(keys: list[tuple[int, list[str]]], ahead: list[tuple[int, list[str]]], window: int, least: float, slope: float = 0.0005) -> Iterator[tuple[int, int, float]]:
+    """(n, k, likeness): each paragraph with the likeliest of those ahead of the last one matched; a little less the further ahead. The words in common, whatever their order, bound the likeness, so few are aligned."""
+    at = 0
+    bags = [Counter(words) for _, words in ahead]
+    for n, words in keys:
+        best, where, bag = 0.0, None, Counter(words)
+        for i in range(at, min(len(ahead), at + window)):
+            total, less = len(words) + len(ahead[i][1]), slope * (i - at)
+            if 2 * (bag & bags[i]).total() / max(1, total) - less > best and (now := ratio(words, ahead[i][1]) - less) > best:
+                best, where = now, i
+        if where is not None and best >= least:
+            yield n, ahead[where][0], best
+            at = where + 1
 
 
 def forward_match(paragraphs: DataFrame, witness: DataFrame, window: int = 400, least: float = 0.5) -> DataFrame:
-    """doc, n, k, likeness: for each paragraph (doc, n, key) the likeliest of the witness's paragraphs (doc, n, key) within the window ahead, the nearer of equals. Likeness: shared opening words."""
-    left = paragraphs.select("doc", F.col("n"), F.split("key", " ").alias("w")).withColumn("bucket", F.explode(F.array(F.expr(f"n div {window}"), F.expr(f"n div {window} + 1"))))
-    right = witness.select("doc", F.col("n").alias("k"), F.split("key", " ").alias("v")).withColumn("bucket", F.expr(f"k div {window}"))
-    met = left.join(right, ["doc", "bucket"]).filter((F.col("k") >= F.col("n")) & (F.col("k") < F.col("n") + window))
-    likeness = 2.0 * F.size(F.array_intersect("w", "v")) / (F.size("w") + F.size("v")) - 0.0005 * (F.col("k") - F.col("n"))
-    best = met.withColumn("likeness", F.round(likeness, 6)).filter(F.col("likeness") >= least)
-    return best.withColumn("at", F.row_number().over(Window.partitionBy("doc", "n").orderBy(F.desc("likeness"), "k"))).filter("at = 1").select("doc", "n", "k", "likeness")
+    """doc, n, k, likeness: the paragraphs (doc, n, key) of each text, in order, with those of its witness, each at most once and none behind the last. A text's paragraphs are one row."""
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct(F.col("n").cast("int").alias("n"), "key"))).alias(name))
+
+    def match(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, *sides in zip(*(batch.column(c).to_pylist() for c in ("doc", "own", "other")), strict=True):
+                own, other = ([(x["n"], x["key"].split()) for x in rows] for rows in sides)
+                found = list(in_turn(own, other, window, least))
+                yield pa.RecordBatch.from_arrays([pa.array([str(doc)] * len(found)), *(pa.array(x, t) for x, t in zip(zip(*found, strict=True) if found else [()] * 3, (pa.int32(), pa.int32(), pa.float64()), strict=True))], names=["doc", "n", "k", "likeness"])
+
+    both = side(paragraphs, "own").join(side(witness, "other"), "doc")
+    out = both.select("doc", "own", "other").mapInArrow(match, "doc string, n int, k int, likeness double")
+    return out.select(F.col("doc").cast(paragraphs.schema["doc"].dataType).alias("doc"), "n", "k", F.round("likeness", 6).alias("likeness"))
 
 
 def likeness(a: str, b: str) -> float:

@@ -160,12 +160,8 @@ def incremental_counts(spark, sf_dir):
     """Words counted from a stream of files: the totals are those of all texts at once."""
     from vellumq.streaming import batches as B
 
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = tempfile.mkdtemp(prefix="vellumq-")
-    out = f"{folder.rstrip('/')}/counts-{uuid.uuid4().hex}"
+    out = f"{G.shared_folder(spark)}/counts-{uuid.uuid4().hex}"
+    G.dropped_at_exit(spark, out)
     schema = table(spark, sf_dir, "documents").schema
     B.counted_by_word(B.arriving(spark, f"{sf_dir}/documents.parque*", schema), f"{out}/rows", f"{out}/state").awaitTermination()
     return B.totals(spark, f"{out}/rows")

@@ -119,12 +119,12 @@ def position_map(spark, sf_dir):
 
 @query()
 def collate_candidates(spark, sf_dir):
-    """Places of a text where two copies or more differ from it."""
+    """Places where two copies of a text or more have words that it lacks."""
     docs = _docs(spark, sf_dir)
     pairs = V.line_pairs(docs).select("a", "b")
     texts = docs.select("doc_id", "text")
     rows = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    return V.collate(G.settled(A.ops(rows)))
+    return V.collate(G.settled(V.witness_words(rows))).withColumn("words", F.array_join("words", " "))
 
 
 @query()
