@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellumq.llm import chat, decontaminate, jaccard, neighbours, packing, private, quality, repeats, secrets, toxicity
+from vellumq.llm import chat, decontaminate, divergence, jaccard, neighbours, packing, private, quality, repeats, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_quality": quality.op10_quality,
+    "op13_source_divergence": divergence.op13_source_divergence,
 }
 
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op6_secret_scan": secrets.ORACLE_SQL,
     "op7_chat_formatting": chat.ORACLE_SQL,
     "op8_ngram_jaccard_join": jaccard.ORACLE_SQL,
+    "op13_source_divergence": divergence.ORACLE_SQL,
 }
