@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from vellumq.llm import chat, decontaminate, divergence, firstseen, jaccard, neighbours, packing, private, quality, repeats, secrets, toxicity
+from vellumq.llm import chat, decontaminate, divergence, firstseen, jaccard, neighbours, packing, polytope, private, quality, repeats, secrets, toxicity
 
 QUERIES = {
     "op1_packing": packing.op1_packing,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_ngram_jaccard_join": jaccard.op8_ngram_jaccard_join,
     "op9_nearest_neighbours": neighbours.op9_nearest_neighbours,
     "op10_quality": quality.op10_quality,
+    "op11_near_vectors": polytope.op11_near_vectors,
     "op12_first_seen_lines": firstseen.op12_first_seen_lines,
     "op13_source_divergence": divergence.op13_source_divergence,
 }
