@@ -172,7 +172,7 @@ WITH RECURSIVE bits(i, step, v) AS (SELECT i, 0, i::UBIGINT FROM range(256) t(i)
 crc AS (SELECT list(v ORDER BY i) AS t FROM bits WHERE step = 8),
 docs AS (
   SELECT row_number() OVER () AS d, doc_id, coalesce(text, '') AS text,
-    10 * (xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: ascii(x)::UBIGINT)),
+    10 * (xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(list_filter(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda x: x <> ''), lambda x: ascii(x)::UBIGINT)),
       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255)::INTEGER + 1])), 4294967295::UBIGINT) & 63)::INTEGER // 64 AS batch
   FROM documents, crc),
 cut AS (SELECT d, batch, string_split(text, chr(10)) AS own FROM docs),
