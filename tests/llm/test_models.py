@@ -339,3 +339,21 @@ def test_stages_of_odd_tables(spark, tmp_path, texts):
     assert len(kept) == want
     pieces = pipeline.STAGES[-1][1](spark, at, str(tmp_path)).collect()
     assert len({(p.doc_id, p.start) for p in pieces}) >= min(1, len(kept))
+
+
+# -- samples of very many rows
+
+
+def test_shares_are_never_empty(spark):
+    rows = spark.range(200_000).select(F.xxhash64("id").alias("h"))
+    for share in (0.0, 1e-30, 0.25, 1.0, 7.0):
+        n = rows.filter(shared.within(F.col("h"), share)).count()
+        assert abs(n - min(1.0, share) * 200_000) < 900
+    # of 10^12 rows a share of 20,000 still has parts, and keeps what is that small
+    assert spark.sql("SELECT 5L AS h, -1L AS far").filter(shared.within(F.col("h"), 20_000 / 10**12)).filter(~shared.within(F.col("far"), 20_000 / 10**12)).count() == 1
+
+
+def test_long_spans_are_cut_not_left_out(spark):
+    text = "mail " + "x" * 5000 + "@example.com and a word behind it"
+    held = private.contexts(documents(spark, [(1, text)]), span_chars=100)
+    assert held and all(e - s <= 100 and " and a word" in t and len(t) < 400 for t, s, _, e in held)

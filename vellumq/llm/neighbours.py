@@ -139,7 +139,7 @@ class Index:
         self.rows = usable(embeddings)
         held = shared.written(entries(self.rows, k), "entries")
         n = held.count()
-        share = F.pmod(F.xxhash64("v", F.lit(3)), F.lit(1 << 20)) < int(min(1.0, fit_rows / max(1, n)) * (1 << 20))
+        share = shared.within(F.xxhash64("v", F.lit(3)), fit_rows / max(1, n))
         sample = np.array([r[0] for r in held.filter(share).select("v", "vec_id").orderBy("vec_id").limit(2 * fit_rows).select("v").collect()])
         self.tree = Tree(sample, max(1, min(n // leaf_rows, fit_rows // 8)))
         sent = spark.sparkContext.broadcast(self.tree)
@@ -157,7 +157,7 @@ class Index:
     def calibrated(self, trials: int) -> int:
         """Leaves to visit so that the trial entries meet the wanted share of their true neighbours."""
         k = self.k
-        picked = self.table.filter(F.pmod(F.xxhash64("vec_id", F.lit(5)), F.lit(1 << 20)) < int(min(1.0, 4 * trials / max(1, sum(self.counts.values()))) * (1 << 20)))
+        picked = self.table.filter(shared.within(F.xxhash64("vec_id", F.lit(5)), 4 * trials / max(1, sum(self.counts.values()))))
         picked = picked.orderBy(F.xxhash64("vec_id", F.lit(6)), "vec_id").limit(trials).collect()
         if not picked:
             return self.tree.leaves

@@ -9,7 +9,7 @@ scores choose between overlapping ones: the likeliest first, none touching anoth
 and the model's verdict beside them; other accepted spans are added where they touch no base span.
 
 The trees learn from contexts of the documents themselves (``contexts``): at most ``fit_spans`` places of base spans and as many of other digit runs, drawn by a
-hash from at most about ``fit_docs`` documents; this sample is the only bound. True spans are the base ones, also rewritten in other formats of their kind at the same
+hash from at most about ``fit_docs`` documents; this sample, and `span_chars` of a span in it, are the only bounds. True spans are the base ones, also rewritten in other formats of their kind at the same
 places, and a few seeded contexts, so that every kind has some where the documents have none. False ones are all other candidates that overlap a
 true one (sub-runs, runs with a neighbour, other kinds), runs of digits without a cue, and dates, versions, numbers and amounts at such places.
 
@@ -327,12 +327,11 @@ class Trees:
 # -- what the trees learn from
 
 
-def contexts(documents: DataFrame, fit_docs: int = 20_000, fit_spans: int = 2_000) -> list[tuple[str, int, int, int]]:
-    """(text, start, kind, end) of at most fit_spans base spans, and as many other digit runs (kind -1), each with the characters around it."""
+def contexts(documents: DataFrame, fit_docs: int = 20_000, fit_spans: int = 2_000, span_chars: int = 600) -> list[tuple[str, int, int, int]]:
+    """(text, start, kind, end) of at most fit_spans base spans, and as many other digit runs (kind -1), each with the characters around it; of longer spans the first span_chars characters."""
     total = documents.count()
-    share = int(min(1.0, fit_docs / max(1, total)) * (1 << 20))
     key = F.xxhash64("doc_id", "text", F.lit(13))
-    picked = documents.select(key.alias("order"), "text").filter((F.pmod(key, F.lit(1 << 20)) < share) & F.col("text").rlike("[0-9@]"))
+    picked = documents.select(key.alias("order"), "text").filter(shared.within(key, fit_docs / max(1, total)) & F.col("text").rlike("[0-9@]"))
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in words.pieces(batches, "text"):
@@ -351,11 +350,12 @@ def contexts(documents: DataFrame, fit_docs: int = 20_000, fit_spans: int = 2_00
             order = words.mix(part.column("order").to_numpy().view(np.uint64)[of] ^ words.mix(at.astype(np.uint64))) >> np.uint64(1)
             for (s, k, e), i, mixed in zip(spans, of.tolist(), order.tolist(), strict=True):
                 low, high = max(int(begins[i]), s - 2 * BEFORE), min(int(begins[i + 1]) - 1, e + 2 * BEFORE)
-                for x, v in zip(rows, (mixed, joined[low:high], s - low, k, e - low), strict=True):
+                end = min(e, s + span_chars)
+                for x, v in zip(rows, (mixed, joined[low:end] + joined[e:high], s - low, k, end - low), strict=True):
                     x.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, (pa.int64(), pa.string(), pa.int64(), pa.int32(), pa.int64()), strict=True)], names=["order", "text", "start", "kind", "end"])
 
-    rows = shared.written(picked.mapInArrow(cut, "order bigint, text string, start bigint, kind int, end bigint").filter(F.length("text") <= 1000), "contexts")
+    rows = shared.written(picked.mapInArrow(cut, "order bigint, text string, start bigint, kind int, end bigint"), "contexts")
     out = [tuple(r) for side in ("kind >= 0", "kind < 0") for r in rows.filter(side).orderBy("order", "text", "start", "kind").limit(fit_spans).select("text", "start", "kind", "end").collect()]
     shared.remove(rows)
     return out

@@ -62,5 +62,11 @@ def fold(key: Column, modulus: int) -> Column:
     return F.pmod(F.crc32(F.encode(key.cast("string"), "UTF-8")), F.lit(modulus))
 
 
+def within(key: Column, share: float) -> Column:
+    """Whether a 64-bit hash lies in this share of all hashes, in parts of 2^62: a sample of some rows is none at no number of rows."""
+    parts = 1 << 62
+    return F.shiftrightunsigned(key, 2) < min(parts, max(1, int(share * parts)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -103,7 +103,7 @@ def labelled(documents: DataFrame, labels: DataFrame, label: str, training: Colu
     total = documents.select("doc_id", F.length("text").alias("c")).join(known.select("key"), F.col("doc_id") == F.col("key")).agg(F.count("*"), F.sum("c")).head()
     share = min(1.0, fit_rows / max(1, total[0] or 0), fit_chars / max(1, total[1] or 0))
     order = F.xxhash64("key", F.lit(11))
-    return rows.filter(F.pmod(order, F.lit(1 << 20)) < int(share * (1 << 20))).select("text", "label", order.alias("order"))
+    return rows.filter(shared.within(order, share)).select("text", "label", order.alias("order"))
 
 
 def train(sample: DataFrame, bits: int = 20, epochs: int = 8, least: int = 2) -> tuple[np.ndarray, np.ndarray, float]:
