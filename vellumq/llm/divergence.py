@@ -78,10 +78,10 @@ def term_counts(docs: DataFrame, least_docs: int = 10, flush: int = 200_000) ->
 
 
 def groups(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """lang, source, n, terms, v of every occurring group: its occurrences of kept terms, how many kept terms it holds, and the vocabulary of its language."""
+    """lang, source, n, terms, v, total of every occurring group: its occurrences of kept terms, how many kept terms it holds, and both for its language."""
     every = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
     own = kept.groupBy("lang", "source").agg(F.sum("count").alias("n"), F.count("*").alias("terms"))
-    return every.join(own, ["lang", "source"], "left").join(languages(kept), "lang", "left").select("lang", "source", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "terms", "v")))
+    return every.join(own, ["lang", "source"], "left").join(languages(kept), "lang", "left").select("lang", "source", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("n", "terms", "v", "total")))
 
 
 def languages(kept: DataFrame) -> DataFrame:
@@ -132,7 +132,7 @@ def divergence(kept: DataFrame, group: DataFrame) -> DataFrame:
 def leading_terms(kept: DataFrame, group: DataFrame, top: int = 10) -> DataFrame:
     """lang, source, term, value, rank: terms of which a source holds a larger share than its language, by the measure of the two shares."""
     whole = kept.groupBy("lang", "term").agg(F.sum("count").alias("whole"))
-    rows = kept.join(whole, ["lang", "term"]).join(group.select("lang", "source", "n", "v"), ["lang", "source"]).join(languages(kept).select("lang", "total"), "lang")
+    rows = kept.join(whole, ["lang", "term"]).join(group, ["lang", "source"]).drop("terms")
     p, q = share(F.col("count"), F.col("n"), F.col("v")), share(F.col("whole"), F.col("total"), F.col("v"))
     rows = rows.select("lang", "source", "term", p.alias("p"), q.alias("q")).filter("p > q").select("lang", "source", "term", measure(F.col("p"), F.col("q")).alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
