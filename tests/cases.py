@@ -1,7 +1,4 @@
-"""Queries over planted cases: each operator on rows that hold what it is for, with the rows it must give as SQL.
-
-The tables of the driver hold no editions, numbered outlines, notes or witnesses; these inputs are small and fixed, so the folder of tables isn't read.
-"""
+"""Planted cases for the tests: each operator on rows that hold what it is for, with the rows it must give as SQL. None is a registered query, as none reads a table."""
 
 from __future__ import annotations
 
@@ -274,27 +271,6 @@ def _verse_counts(spark):
     return spark.createDataFrame([("1 Samuel", 14, 52), ("Psalms", 37, 40), ("1 Corinthians", 7, 40), ("Hebrews", 12, 29), ("Psalms", 23, 6), ("Genesis", 1, 31)], "book string, chapter int, n int")
 
 
-_CITED = [(1, "see Ps. 23:1, 2 and 1 Cor. vii. 3-5; Gen 99:1."), (2, None), (3, "eyes, 1 Sam 14 27. Why"), (4, "read Ps 23 5 times over")]
-
-
-@case("doc_id bigint, book string, chapter int, verses string", (1, "Psalms", 23, "1,2"), (1, "1 Corinthians", 7, "3,4,5"), (1, "Genesis", 99, "1"))
-def case_references(spark):
-    """SF10, SF11, ST7: references with their verses."""
-    return R.references(spark.createDataFrame(_CITED[:2], "doc_id bigint, text string")).withColumn("verses", F.array_join("verses", ","))
-
-
-@case("book string, chapter int", ("Genesis", 99))
-def case_missing_verses(spark):
-    """References to what isn't there."""
-    return R.missing(R.references(spark.createDataFrame(_CITED[:2], "doc_id bigint, text string")), _verse_counts(spark))
-
-
-@case("doc_id bigint, text string", (3, "eyes, 1 Sam 14:27. Why"), (4, "read Ps 23 5 times over"))
-def case_restyled(spark):
-    """SF12: a reference in the house's style; what is none stays."""
-    return R.restyle(spark.createDataFrame(_CITED[2:], "doc_id bigint, text string"), _verse_counts(spark))
-
-
 @case("share double", (0.25,))
 def case_weak_quotes(spark):
     """PF14: quotations that share too little with their verse."""
@@ -417,22 +393,6 @@ def case_belongs(spark):
     return P.belongs(spark.createDataFrame([("a",), ("b",), ("c",)], "path string"), spark.createDataFrame([("modern", "a"), ("classic", "a"), ("modern", "b")], "start string, node string"))
 
 
-@case("n int, rank int", (0, 1), (1, 2))
-def case_witness_ranks(spark):
-    """Ranks that a witness's marks give to paragraphs."""
-    paragraphs = spark.createDataFrame([("d", 0, "the oldest mill upon the riuer"), ("d", 1, "a barn with two doors beside it")], "doc string, n int, key string")
-    witness = spark.createDataFrame([("d", 0, "some words that have no mark", None), ("d", 1, "the oldest mill upon the riuer", 1), ("d", 2, "a barn with two doors beside it", 2)], "doc string, n int, key string, rank int")
-    return P.witness_ranks(paragraphs, witness)
-
-
-@case("doc_id bigint, rule string", (1, "semicolon"), (1, "spacing"), (2, "holy"), (3, "quotes curled"), (5, "doubled"))
-def case_house_rules(spark):
-    """QA1, QA2: texts that break one house rule or more."""
-    docs = spark.createDataFrame([(1, "Bread : salt. #emph[Oil]; then"), (2, "his holy Spirit, that holy Spirit, the holy Spirit and his holy Ghost"), (3, "‘I will go‘"), (4, "‘I’ll go,’"), (5, "#set x\nthe the end very very good"), (6, None)], "doc_id bigint, text string")
-    wanted = F.col("rule").isin("semicolon", "spacing", "holy", "quotes curled", "doubled")
-    return Y.house(docs).filter(wanted).select("doc_id", "rule").distinct()
-
-
 @case("word string", ("hath",), ("approueth",))
 def case_archaic_changes(spark):
     """PF13: spellings that change an old word into another."""
@@ -518,19 +478,6 @@ def case_caught(spark):
     return X.caught(spark.createDataFrame(_TARGETS, "file string, w1 int, w2 int"), spark.createDataFrame(_FLAGS, "file string, a int, b int"))
 
 
-@case("sent_no int, line string", (1, "01 15.0 Then [[or]] Rain fell."))
-def case_marked_line(spark):
-    """SF27: the strongest sentence as a line for a reader."""
-    words = ["Ann", "sat", "to", "eat.", "Then", "or", "Rain", "fell."]
-    lp = [0.0, -1.0, -0.1, -2.0, 0.0, -16.0, -0.2, -1.0]
-    best = [None, ("went", -1.0), ("to", -0.1), None, None, ("the", -0.5), None, None]
-    rows = spark.createDataFrame([(1, i // 4, i % 4, w, lp[i], best[i] and best[i][0], best[i][1] if best[i] else -15.0) for i, w in enumerate(words)], "doc_id int, sent_no int, at int, word string, lp double, best string, blp double")
-    scored = rows.select("doc_id", "sent_no", "at", "word", T.word_score(F.col("word"), F.col("lp"), F.col("best"), F.col("blp")).alias("score"))
-    top = X.budget_top(X.sentence_scores(scored), 0.5)
-    texts = rows.groupBy("doc_id", "sent_no").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("w"))
-    return top.join(texts, ["doc_id", "sent_no"]).select("sent_no", X.marked_line(F.col("w"), F.col("strongest"), F.col("score"), F.col("doc_id")).alias("line"))
-
-
 @case("unit string, holds boolean, state string", ("a", True, "done"), ("b", False, "carried"), ("c", False, "held"), ("d", True, "ready"), ("e", False, "changed"))
 def case_states(spark):
     """QA6: every state of a unit, changed ones too."""

@@ -42,6 +42,6 @@ def test_keys_and_ranks(spark):
     assert [r.key for r in rows] == ["εν αρχη", None]
     marks = spark.createDataFrame([("I. a", 0), ("2. b", 1), ("(3.) c", 2), ("[4.] d", 3), ("1st. e", 4), ("plain", None)], "t string, want int")
     assert marks.filter(~P.mark_rank(F.col("t")).eqNullSafe(F.col("want"))).isEmpty()
-    paragraphs = spark.createDataFrame([("d", 0, "the oldest mill upon the riuer"), ("d", 1, "a barn with two doors beside it")], "doc string, n int, key string")
-    witness = spark.createDataFrame([("d", 0, "some words that have no mark", None), ("d", 1, "the oldest mill upon the riuer", 1), ("d", 2, "a barn with two doors beside it", 2)], "doc string, n int, key string, rank int")
-    assert {(r.n, r.rank) for r in P.witness_ranks(paragraphs, witness).collect()} == {(0, 1), (1, 2)}
+    paragraphs = spark.createDataFrame([("x", 0, "salt wool and tin"), ("x", 3, "nine ships came in may"), ("y", 0, "no such thing here")], "doc string, n int, key string")
+    witness = spark.createDataFrame([("x", 1, "nine ships came in may", 4), ("x", 0, "salt wool and tin", None), ("y", 0, "quite another page", 2)], "doc string, n int, key string, rank int")
+    assert {(r.doc, r.n, r.rank) for r in P.witness_ranks(paragraphs, witness).collect() if r.rank} == {("x", 3, 4)}

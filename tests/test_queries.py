@@ -90,3 +90,10 @@ def test_nothing_else_imports_the_optional_operators():
             if name.endswith(".py") and "llm" not in folder:
                 with open(os.path.join(folder, name)) as f:
                     assert "vellumq.llm" not in f.read()
+
+
+def test_text_without_a_match(spark, tmp_path):
+    lines = [f"paragraph {i} that the two of them have word for word" for i in range(6)]
+    texts = ["\n".join(lines), "\n".join(lines), "\n".join(["1 2 3", *[f"{x} {y}" for x, y in zip("abcdef", lines, strict=True)]]), "\n".join(str(i) * 30 for i in range(5)), "\n".join(str(i) * 30 for i in range(5))]
+    got = registry.QUERIES["forward_match"](spark, written(spark, tmp_path, texts)).collect()
+    assert {(r.doc, r.n, r.k) for r in got if r.doc == 1} == {(1, i, i) for i in range(6)} and not [r for r in got if r.doc == 4]

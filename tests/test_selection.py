@@ -79,8 +79,10 @@ def test_chunks(spark):
 
 
 def test_marked_line(spark):
-    row = spark.createDataFrame([(["And", "or", "God", "spoke."],)], "w array<string>")
-    assert row.select(C.marked_line(F.col("w"), F.lit(1), F.lit(15.0), F.lit(1))).first()[0] == "01 15.0 And [[or]] God spoke."
+    row = spark.createDataFrame([(["Two", "ship", "sailed", "north"],)], "w array<string>")
+    line = lambda guess: row.select(C.marked_line(F.col("w"), F.lit(1), F.lit(7.25), F.lit(12), guess)).first()[0]
+    assert line(F.lit("ships")) == "12  7.3 Two [[ship]](ships?) sailed north"
+    assert line(F.lit(None).cast("string")) == line(None) == "12  7.3 Two [[ship]] sailed north"
 
 
 def test_words_in_context(spark):

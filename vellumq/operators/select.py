@@ -117,9 +117,10 @@ def hash_sample(rows: DataFrame, seed: int, share: float, weight: str, *keys: st
     return marked.filter(F.col(bucket) < last).select(*rows.columns).unionByName(end.select(*rows.columns))
 
 
-def marked_line(words: Column, mark: Column, score: Column, number: Column) -> Column:
-    """'NN score words', the strongest word in double brackets."""
-    shown = F.transform(words, lambda w, i: F.when(i == mark, F.concat(F.lit("[["), w, F.lit("]]"))).otherwise(w))
+def marked_line(words: Column, mark: Column, score: Column, number: Column, guess: Column | None = None) -> Column:
+    """'NN score words', the strongest word in double brackets, and behind it the likelier word, if there is one."""
+    behind = F.lit("") if guess is None else F.coalesce(F.concat(F.lit("("), guess, F.lit("?)")), F.lit(""))
+    shown = F.transform(words, lambda w, i: F.when(i == mark, F.concat(F.lit("[["), w, F.lit("]]"), behind)).otherwise(w))
     return F.concat_ws(" ", F.lpad(number.cast("string"), 2, "0"), F.format_string("%4.1f", score), F.array_join(shown, " "))
 
 

@@ -237,7 +237,7 @@ def forward_match(paragraphs: DataFrame, witness: DataFrame, window: int = 400,
             for doc, *sides in zip(*(batch.column(c).to_pylist() for c in ("doc", "own", "other")), strict=True):
                 own, other = ([(x["n"], x["key"].split()) for x in rows] for rows in sides)
                 found = list(in_turn(own, other, window, least))
-                yield pa.RecordBatch.from_arrays([pa.array([str(doc)] * len(found)), *(pa.array(x, t) for x, t in zip(zip(*found, strict=True) if found else [()] * 3, (pa.int32(), pa.int32(), pa.float64()), strict=True))], names=["doc", "n", "k", "likeness"])
+                yield pa.RecordBatch.from_arrays([pa.array([str(doc)] * len(found), pa.string()), *(pa.array(x, t) for x, t in zip(zip(*found, strict=True) if found else [()] * 3, (pa.int32(), pa.int32(), pa.float64()), strict=True))], names=["doc", "n", "k", "likeness"])
 
     both = side(paragraphs, "own").join(side(witness, "other"), "doc")
     out = both.select("doc", "own", "other").mapInArrow(match, "doc string, n int, k int, likeness double")
