@@ -125,13 +125,16 @@ def ends(blocks: DataFrame) -> DataFrame:
 
 
 def matched(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
-    """a, b, i, j, n: equal words of both sides, rising. Each round's blocks are a table, read by the round and by its gaps."""
-    blocks, out = whole(pairs), None
+    """a, b, i, j, n: equal words of both sides, rising. Each round's blocks are a table, read by the round and by its gaps. Equal texts are one run, as their anchors would find."""
+    same = F.col("wa") == F.col("wb")
+    zero = F.lit(0)
+    out = pairs.filter(same).select(*PAIR, zero.alias("i"), zero.alias("j"), F.size("wa").alias("n")).filter("n > 0")
+    blocks = whole(pairs.filter(~same))
     for width in rounds:
         blocks = settled(blocks)
         equal = settled(segments(chain(runs(anchors(blocks, width))), width))
         own = equal.select(*PAIR, "i", "j", "n")
-        out = own if out is None else out.unionByName(own)
+        out = out.unionByName(own)
         blocks = gaps(blocks, equal)
     return out.unionByName(ends(blocks))
 

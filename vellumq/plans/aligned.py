@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vellumq.operators import align as A
 from vellumq.operators import anchored as N
+from vellumq.operators import streams as M
 from vellumq.operators import witness as V
+from vellumq.operators.graph import settled
 from vellumq.plans import sql as S
 from vellumq.plans.pairs import _PAIRS
 from vellumq.plans.words import _docs
@@ -46,15 +49,42 @@ blk{n + 1} AS (SELECT x.a, x.b, x.u AS i0, x.v AS j0, f.wa[x.u - f.i0 + 1:x.i -
 
 
 _LEAD = "coalesce(list_position(list_transform(range(1, least(len({0}), len({1})) + 1), lambda k: {0}[k] = {1}[k]), false) - 1, least(len({0}), len({1})))"
-_ALIGNED = f"""WITH RECURSIVE {_PAIRS}, wd AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '{S.WORD}'), lambda x: lower(x)) AS w FROM documents),
-blk1 AS (SELECT near.a, near.b, 0 AS i0, 0 AS j0, x.w AS wa, y.w AS wb FROM near JOIN wd x ON x.doc_id = near.a JOIN wd y ON y.doc_id = near.b), {_round(1, 3)}"""
-_OPS = f"""{_ALIGNED}, {_round(2, 1)},
+_WORDS = f"""WITH RECURSIVE {_PAIRS}, wd AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '{S.WORD}'), lambda x: lower(x)) AS w FROM documents),
+blk1 AS (SELECT near.a, near.b, 0 AS i0, 0 AS j0, x.w AS wa, y.w AS wb FROM near JOIN wd x ON x.doc_id = near.a JOIN wd y ON y.doc_id = near.b)"""
+_ALIGNED = f"{_WORDS}, {_round(1, 3)}"
+_GAPS = f"""{_round(2, 1)},
 hd AS (SELECT *, {_LEAD.format('wa', 'wb')} AS head, list_reverse(wa) AS ra, list_reverse(wb) AS rb FROM blk3), tl AS (SELECT *, least({_LEAD.format('ra', 'rb')}, least(len(wa), len(wb)) - head) AS tail FROM hd),
 eq AS (SELECT a, b, i, j, n FROM seg1 UNION ALL SELECT a, b, i, j, n FROM seg2 UNION ALL SELECT a, b, i0, j0, head FROM tl WHERE head > 0 UNION ALL SELECT a, b, i0 + len(wa) - tail, j0 + len(wb) - tail, tail FROM tl WHERE tail > 0 UNION ALL SELECT a, b, len(wa), len(wb), 0 FROM blk1),
 st AS (SELECT *, coalesce(lag(i + n) OVER w, 0) AS u, coalesce(lag(j + n) OVER w, 0) AS v FROM eq WINDOW w AS (PARTITION BY a, b ORDER BY i, j, n DESC)),
 gr AS (SELECT *, sum(CASE WHEN i > u OR j > v THEN 1 ELSE 0 END) OVER (PARTITION BY a, b ORDER BY i, j, n DESC) AS g FROM st),
 op AS (SELECT a, b, CASE WHEN j = v THEN 'delete' WHEN i = u THEN 'insert' ELSE 'replace' END AS op, u AS i1, i AS i2, v AS j1, j AS j2 FROM st WHERE i > u OR j > v
   UNION ALL SELECT a, b, 'equal', min(i), max(i + n), min(j), max(j + n) FROM gr WHERE n > 0 GROUP BY a, b, g)"""
+_OPS = f"{_ALIGNED}, {_GAPS}"
+
+#: Two texts each for a rewrite, which no document needs: a numeral that becomes an item, a stop before a deletion, and marks on one side that the other lacks.
+PLANTED = [
+    (-1, -2, "She named her husband VIII. The second son went off to sea", "She named her husband.\n+ The second son went off to sea"),
+    (-3, -4, "all goes well here. by the margin note of hers.\nUnder the tree they sat down", "all goes well here.\nUnder the tree they sat down"),
+    (-5, -6, "one two three four\nold words out\n2. apples in the low barn", "one two three four\n+ pears in the low barn"),
+    (-7, -8, "the first line stands\nanother stands too", ""),
+]
+_TEXT = lambda t: " || chr(10) || ".join("'" + x + "'" for x in t.split("\n"))
+_LINE_MARK = "regexp_extract(x, '^[ \\t]*([+=]) ', 1)"
+_STREAM = f"""flatten(list_transform(string_split(coalesce(@, ''), chr(10)), lambda x: list_prepend(chr(2) || CASE {_LINE_MARK} WHEN '' THEN '¶' ELSE {_LINE_MARK} END, regexp_extract_all(regexp_replace(x, '^[ \\t]*[+=] ', ''), '{M.TOKEN.replace("'", "''")}'))))"""
+_STREAMS = f"""WITH RECURSIVE {_PAIRS}, tx AS (SELECT near.a, near.b, x.text AS ta, y.text AS tb FROM near JOIN documents x ON x.doc_id = near.a JOIN documents y ON y.doc_id = near.b UNION ALL SELECT * FROM (VALUES {", ".join(f"({a}, {b}, {_TEXT(x)}, {_TEXT(y)})" for a, b, x, y in PLANTED)}) t),
+blk1 AS (SELECT a, b, 0 AS i0, 0 AS j0, {_STREAM.replace("@", "ta")} AS wa, {_STREAM.replace("@", "tb")} AS wb FROM tx), {_round(1, 3)}, {_GAPS},
+sq AS (SELECT op.*, row_number() OVER (PARTITION BY a, b ORDER BY i1, j1, i2, j2) - 1 AS seq, CASE op WHEN 'equal' THEN wa[i1 + 1:i1 + 1] ELSE wa[i1 + 1:i2] END AS src, CASE op WHEN 'equal' THEN wb[j1 + 1:j1 + 1] ELSE wb[j1 + 1:j2] END AS tgt FROM op JOIN blk1 USING (a, b)),
+ns AS (SELECT *, coalesce(op = 'delete' AND len(src) = 1 AND regexp_matches(src[1], '{M.NUMERAL}') AND lead(op) OVER w = 'equal' AND lead(i2 - i1) OVER w = 1 AND lead(src[1]) OVER w IN ('.', ')') AND lead(op, 2) OVER w = 'insert' AND lead(tgt[1], 2) OVER w = chr(2) || '+', false) AS b0 FROM sq WINDOW w AS (PARTITION BY a, b ORDER BY seq)),
+np AS (SELECT *, CASE WHEN b0 THEN 0 WHEN lag(b0) OVER w THEN 1 WHEN lag(b0, 2) OVER w THEN 2 ELSE -1 END AS pl, lag(i1, 2) OVER w AS u, lag(src, 2) OVER w AS s2, lag(src) OVER w AS s1, lead(tgt) OVER w AS t1, lead(j1) OVER w AS v1, lead(j2) OVER w AS v2 FROM ns WINDOW w AS (PARTITION BY a, b ORDER BY seq)),
+nu AS (SELECT a, b, seq, CASE pl WHEN 0 THEN 'insert' WHEN 2 THEN 'replace' ELSE op END AS op, CASE pl WHEN 2 THEN u ELSE i1 END AS i1, CASE pl WHEN 0 THEN i1 ELSE i2 END AS i2, CASE pl WHEN 0 THEN v1 ELSE j1 END AS j1, CASE pl WHEN 0 THEN v2 ELSE j2 END AS j2,
+  CASE pl WHEN 0 THEN [] WHEN 2 THEN list_concat(s2, s1) ELSE src END AS src, CASE pl WHEN 0 THEN t1 ELSE tgt END AS tgt FROM np WHERE pl <> 1),
+mv AS (SELECT *, coalesce(op = 'delete' AND lag(op) OVER w = 'equal' AND lead(op) OVER w = 'equal' AND NOT regexp_matches(src[1], '^[\\p{{L}}\\p{{N}}_\\x02]') AND src[1] = lead(src[1]) OVER w, false) AS m FROM nu WINDOW w AS (PARTITION BY a, b ORDER BY seq)),
+ms AS (SELECT *, m::INTEGER AS o, coalesce(lead(m) OVER w, false)::INTEGER AS n1, coalesce(lag(m) OVER w, false)::INTEGER AS p1 FROM mv WINDOW w AS (PARTITION BY a, b ORDER BY seq)),
+mo AS (SELECT * FROM (SELECT a, b, seq, op, i1 + o + p1 AS i1, i2 + o + n1 AS i2, j1 + o + p1 AS j1, j2 + o + n1 AS j2, CASE WHEN m THEN list_concat(src[2:], src[1:1]) ELSE src END AS src, tgt FROM ms) WHERE i2 > i1 OR j2 > j1),
+mk AS (SELECT *, list_filter(list_transform(src, lambda x, k: CASE WHEN x[1] = chr(2) THEN k - 1 END), lambda k: k IS NOT NULL) AS ks, list_filter(list_transform(tgt, lambda x, k: CASE WHEN x[1] = chr(2) THEN k - 1 END), lambda k: k IS NOT NULL) AS kt FROM mo),
+mc AS (SELECT *, op <> 'equal' AND len(ks) > 0 AND len(kt) > 0 AND len(ks) <> len(kt) AS cut, ks[greatest(len(ks) - len(kt), 0) + 1] AS si, kt[greatest(len(kt) - len(ks), 0) + 1] AS ti FROM mk),
+rw AS (SELECT * FROM (SELECT a, b, op, i1, i2, j1, j2, src, tgt FROM mc WHERE NOT cut UNION ALL SELECT a, b, 'replace', i1, i1 + si, j1, j1 + ti, src[1:si], tgt[1:ti] FROM mc WHERE cut UNION ALL SELECT a, b, 'replace', i1 + si, i2, j1 + ti, j2, src[si + 1:], tgt[ti + 1:] FROM mc WHERE cut) WHERE i2 > i1 OR j2 > j1),
+nr AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY i1, j1, i2, j2) - 1 AS seq FROM rw)"""
 
 
 @query(f"{_ALIGNED} SELECT near.a, near.b, coalesce(r.anchors, 0)::BIGINT AS anchors, coalesce(r.runs, 0)::BIGINT AS runs, coalesce(c.chain, 0)::BIGINT AS chain FROM near LEFT JOIN (SELECT a, b, sum(n) AS anchors, count(*) AS runs FROM run1 GROUP BY a, b) r USING (a, b) LEFT JOIN (SELECT a, b, sum(n) AS chain FROM chn1 GROUP BY a, b) c USING (a, b)")
@@ -74,3 +104,22 @@ def anchored_totals(spark, sf_dir):
     """How many words each kind of change has."""
     found = N.operations(N.lowered_words(V.nearest_pairs(_docs(spark, sf_dir))))
     return found.groupBy("op").agg(F.count("*").alias("n"), F.sum(F.col("i2") - F.col("i1")).alias("words_a"), F.sum(F.col("j2") - F.col("j1")).alias("words_b"), F.count_distinct("b").alias("pairs"))
+
+
+@query(f"""{_STREAMS} SELECT a, b, seq::INTEGER AS seq, CASE WHEN op = 'equal' THEN op WHEN i1 = i2 THEN 'insert' WHEN j1 = j2 THEN 'delete' ELSE 'replace' END AS op, i1::INTEGER AS i1, i2::INTEGER AS i2, j1::INTEGER AS j1, j2::INTEGER AS j2, array_to_string(src, ' ') AS src, array_to_string(tgt, ' ') AS tgt FROM nr WHERE op <> 'equal'
+UNION ALL SELECT a, b, -1, 'equal', count(*)::INTEGER, sum(i2 - i1)::INTEGER, sum(j2 - j1)::INTEGER, 0, '', '' FROM rw WHERE op = 'equal' GROUP BY a, b""")
+def stream_changes(spark, sf_dir):
+    """Changes of tokens and block marks of each document against its nearest earlier one after the rewrites, and of four planted pairs; for each pair what is equal, as one row of counts."""
+    pairs = V.nearest_pairs(_docs(spark, sf_dir)).unionByName(spark.createDataFrame(PLANTED, "a bigint, b bigint, text_a string, text_b string"))
+    own = settled(M.streams(pairs))
+    rows = settled(M.rewritten(N.operations(own), own))
+    shown = rows.filter("op <> 'equal'").select("a", "b", "seq", "op", "i1", "i2", "j1", "j2", F.array_join("src", " ").alias("src"), F.array_join("tgt", " ").alias("tgt"))
+    zero, none = F.lit(0), F.lit("")
+    same = rows.filter("op = 'equal'").groupBy("a", "b").agg(F.count("*").cast("int").alias("i1"), F.sum(F.col("i2") - F.col("i1")).cast("int").alias("i2"), F.sum(F.col("j2") - F.col("j1")).cast("int").alias("j1"))
+    return shown.unionByName(same.select("a", "b", F.lit(-1).alias("seq"), F.lit("equal").alias("op"), "i1", "i2", "j1", zero.alias("j2"), none.alias("src"), none.alias("tgt")))
+
+
+@query(f"""{_OPS} SELECT a, b, p::INTEGER AS p, (j1 + round_even((p - i1) / greatest(i2 - i1, 1) * (j2 - j1), 0))::INTEGER AS q FROM op, unnest(range(i1, i2)) AS u(p)""")
+def position_map(spark, sf_dir):
+    """Where every word of a document stands in its nearest later copy."""
+    return A.whole_map(N.operations(N.lowered_words(V.nearest_pairs(_docs(spark, sf_dir)))))

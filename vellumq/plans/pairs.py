@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vellumq.functions import text as T
 from vellumq.operators import align as A
+from vellumq.operators import anchored as N
 from vellumq.operators import graph as G
 from vellumq.operators import sync as Z
 from vellumq.operators import witness as V
@@ -76,7 +77,7 @@ def drift_ops(spark, sf_dir):
 SELECT near.a, near.b, ta.n AS words_a, tb.n AS words_b FROM near JOIN t ta ON ta.doc_id = near.a JOIN t tb ON tb.doc_id = near.b""")
 def drift_tiles(spark, sf_dir):
     """The opcodes of each pair tile both texts: the spans of either side add up to its words."""
-    return A.ops(V.nearest_pairs(_docs(spark, sf_dir))).groupBy("a", "b").agg(F.sum(F.col("i2") - F.col("i1")).alias("words_a"), F.sum(F.col("j2") - F.col("j1")).alias("words_b"))
+    return N.operations(N.lowered_words(V.nearest_pairs(_docs(spark, sf_dir)))).groupBy("a", "b").agg(F.sum(F.col("i2") - F.col("i1")).alias("words_a"), F.sum(F.col("j2") - F.col("j1")).alias("words_b"))
 
 
 @query()
@@ -111,12 +112,6 @@ def block_pairs(spark, sf_dir):
     return A.block_pairs(V.nearest_pairs(_docs(spark, sf_dir)))
 
 
-@query()
-def position_map(spark, sf_dir):
-    """Where every word of a document stands in its nearest later copy."""
-    return A.whole_map(A.ops(V.nearest_pairs(_docs(spark, sf_dir))))
-
-
 @query()
 def collate_candidates(spark, sf_dir):
     """Places where two copies of a text or more have words that it lacks."""
