@@ -136,16 +136,21 @@ def usable(embedding):
     return v, F.coalesce(F.exists(v, lambda x: x != 0) & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))), F.lit(False))
 
 
-def dealt(rows: DataFrame, keys: list[str], full: int) -> DataFrame:
-    """The rows with ``parts``: how many parts of about ``full`` rows their key has."""
-    hot = rows.groupBy(*keys).count().filter(F.col("count") > full).select(*keys, F.ceil(F.col("count") / full).cast("int").alias("parts"))  # at most a row for each ``full`` rows
+def dealt(rows: DataFrame, keys: list[str], full: int, counted: DataFrame | None = None, most: int = 100_000) -> DataFrame:
+    """The rows with ``parts``: how many parts of about ``full`` rows their key has. ``counted`` has the rows' keys alone, if that is less work.
+
+    Keys of several parts are sent to all tasks only if they are at most ``most``; beyond that they are joined.
+    """
+    hot = (rows if counted is None else counted).groupBy(*keys).count().filter(F.col("count") > full).select(*keys, F.ceil(F.col("count") / full).cast("int").alias("parts"))
+    hot = shared.written(hot, "hot")
+    hot = F.broadcast(hot) if hot.count() <= most else hot.hint("merge")
     return rows.join(hot, keys, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
 
 
 class NearVectors:
     """Links and components of the rows (vec_id, embedding) at a cosine of ``cosine`` or more."""
 
-    def __init__(self, rows: DataFrame, cosine: float = 0.9, recall: float = 0.995, probes: int = 8, bucket: int = 64, full: int = 20_000, block: int = 4_096, leaders: int = 32):
+    def __init__(self, rows: DataFrame, cosine: float = 0.9, recall: float = 0.995, probes: int = 8, bucket: int = 512, full: int = 20_000, block: int = 4_096, leaders: int = 32):
         self.cosine, self.recall, self.probes, self.bucket, self.full, self.block, self.most = cosine, recall, probes, bucket, full, block, leaders
         self.angle = math.acos(cosine)
         v, fit = usable("embedding")
@@ -252,8 +257,8 @@ class NearVectors:
 
     # -- links
 
-    def buckets(self) -> DataFrame:
-        """size, tab, code, class, resident, led, copies, centre: the classes that each bucket holds, once a batch."""
+    def buckets(self, whole: bool) -> DataFrame:
+        """size, tab, code and, if whole, class, resident, led, copies, centre: the classes that each bucket holds, once a batch."""
         settings, probes = dict(self.settings), self.probes
 
         def file(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -270,16 +275,19 @@ class NearVectors:
                         new = np.ones(len(order), bool)
                         new[1:] = (code[order][1:] != code[order][:-1]) | (klass[at][order][1:] != klass[at][order][:-1])
                         order = order[new]
+                        keys = [pa.array(np.full(len(order), v.shape[1]), pa.int32()), pa.array(np.full(len(order), tab), pa.int32()), pa.array(code[order])]
+                        if not whole:
+                            yield pa.RecordBatch.from_arrays(keys, names=["size", "tab", "code"])
+                            continue
                         rows = part.take(pa.array(at[order]))
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(order), v.shape[1]), pa.int32()), pa.array(np.full(len(order), tab), pa.int32()), pa.array(code[order]), rows.column("class"), pa.array(own[order]), rows.column("led"), rows.column("copies"), rows.column("centre")], names=["size", "tab", "code", "class", "resident", "led", "copies", "centre"])
+                        yield pa.RecordBatch.from_arrays([*keys, rows.column("class"), pa.array(own[order]), rows.column("led"), rows.column("copies"), rows.column("centre")], names=["size", "tab", "code", "class", "resident", "led", "copies", "centre"])
 
-        return self.members.select("v", "class", "led", "copies", "centre").mapInArrow(file, "size int, tab int, code bigint, class bigint, resident boolean, led boolean, copies bigint, centre array<double>")
+        return self.members.select("v", "class", "led", "copies", "centre").mapInArrow(file, "size int, tab int, code bigint" if not whole else "size int, tab int, code bigint, class bigint, resident boolean, led boolean, copies bigint, centre array<double>")
 
     def verify(self) -> None:
         cosine, angle, settings, probes, block = self.cosine, self.angle, dict(self.settings), self.probes, self.block
-        filed = shared.written(self.buckets(), "buckets")
-        keys = ["size", "tab", "code"]
-        parted = dealt(filed, keys, self.block).withColumn("own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
+        # a bucket's rows hold vectors: they are dealt out once, and counted by their codes alone
+        parted = dealt(self.buckets(True), ["size", "tab", "code"], self.block, self.buckets(False)).withColumn("own", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
         # blocks i <= j of a bucket are compared in one task: a row goes to all that have its own block
         sent = parted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).drop("parts", "other")
         kinds = {"kind": pa.int32(), "a": pa.int64(), "b": pa.int64()}
@@ -375,7 +383,6 @@ class NearVectors:
         order = ["size", "tab", "code", "i", "j"]
         found = sent.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "kind int, a bigint, b bigint")
         found = shared.written(found.groupBy("kind", "a", F.when(F.col("kind") > 0, F.col("b")).alias("b")).agg(F.sum(F.when(F.col("kind") == 0, F.col("b"))).alias("n")), "found")
-        shared.remove(filed)
         self.stats = shared.written(self.members.groupBy("class").agg(F.first("centre").alias("centre"), F.max("angle").alias("radius"), F.sum("copies").alias("weight"), F.count("*").alias("entries"), F.min("least").alias("least")), "classes")
 
         pairs = found.filter("kind = 2").select("a", "b")
