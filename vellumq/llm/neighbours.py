@@ -220,10 +220,16 @@ class Index:
 
         def meet(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             now, held, table = None, [], None
+            nearest: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # of each query that this task has met the best so far
+
+            def out() -> pa.RecordBatch:
+                rows = [(q, n, f) for q, (near, far) in nearest.items() for n, f in zip(near.tolist(), far.tolist(), strict=True)]
+                nearest.clear()
+                return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [()] * 3, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query", "vec_id", "score"])
+
             for batch in batches:
                 v, ids, asks = matrix(batch.column("v")), batch.column("vec_id").to_numpy(), batch.column("asks").to_numpy()
                 place = batch.column("leaf").to_numpy().astype(np.int64) << 32 | batch.column("salt").to_numpy()
-                out: list[tuple] = []
                 cut = np.flatnonzero(np.concatenate(([True], (place[1:] != place[:-1]) | (asks[1:] != asks[:-1])))).tolist()
                 for a, b in zip(cut, [*cut[1:], len(ids)], strict=True):
                     if place[a] != now:
@@ -235,8 +241,14 @@ class Index:
                         table = tuple(np.concatenate(x) for x in zip(*held, strict=True)) if held else (v[:0], ids[:0])
                     for i in range(a, b):
                         near, far = top(table[0], table[1], v[i], k + 1)
-                        out += zip([ids[i]] * len(near), near.tolist(), far.tolist(), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True) if out else [()] * 3, (pa.int64(), pa.int64(), pa.float64()), strict=True)], names=["query", "vec_id", "score"])
+                        if (was := nearest.get(int(ids[i]))) is not None:
+                            near, far = np.concatenate((was[0], near)), np.concatenate((was[1], far))
+                            best = np.lexsort((near, far))[: k + 1]
+                            near, far = near[best], far[best]
+                        nearest[int(ids[i])] = near, far
+                if len(nearest) > 50_000:
+                    yield out()
+            yield out()
 
         met = rows.unionByName(asked).repartition("leaf", "salt").sortWithinPartitions("leaf", "salt", "asks").mapInArrow(meet, "query bigint, vec_id bigint, score double")
         best = met.withColumn("at", F.row_number().over(Window.partitionBy("query").orderBy("score", "vec_id"))).filter(F.col("at") <= k + 1).drop("at")
