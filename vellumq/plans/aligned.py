@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vellumq.operators import align as A
 from vellumq.operators import anchored as N
 from vellumq.operators import streams as M
+from vellumq.operators import unified as U
 from vellumq.operators import witness as V
 from vellumq.operators.graph import settled
 from vellumq.plans import sql as S
@@ -52,13 +53,20 @@ _LEAD = "coalesce(list_position(list_transform(range(1, least(len({0}), len({1})
 _WORDS = f"""WITH RECURSIVE {_PAIRS}, wd AS (SELECT doc_id, list_transform(regexp_extract_all(coalesce(text, ''), '{S.WORD}'), lambda x: lower(x)) AS w FROM documents),
 blk1 AS (SELECT near.a, near.b, 0 AS i0, 0 AS j0, x.w AS wa, y.w AS wb FROM near JOIN wd x ON x.doc_id = near.a JOIN wd y ON y.doc_id = near.b)"""
 _ALIGNED = f"{_WORDS}, {_round(1, 3)}"
-_GAPS = f"""{_round(2, 1)},
-hd AS (SELECT *, {_LEAD.format('wa', 'wb')} AS head, list_reverse(wa) AS ra, list_reverse(wb) AS rb FROM blk3), tl AS (SELECT *, least({_LEAD.format('ra', 'rb')}, least(len(wa), len(wb)) - head) AS tail FROM hd),
-eq AS (SELECT a, b, i, j, n FROM seg1 UNION ALL SELECT a, b, i, j, n FROM seg2 UNION ALL SELECT a, b, i0, j0, head FROM tl WHERE head > 0 UNION ALL SELECT a, b, i0 + len(wa) - tail, j0 + len(wb) - tail, tail FROM tl WHERE tail > 0 UNION ALL SELECT a, b, len(wa), len(wb), 0 FROM blk1),
+
+
+def _ops(rounds: int) -> str:
+    """CTEs from the gaps that these rounds leave to op, the op rows."""
+    equal = " UNION ALL ".join(f"SELECT a, b, i, j, n FROM seg{n}" for n in range(1, rounds + 1))
+    return f"""hd AS (SELECT *, {_LEAD.format('wa', 'wb')} AS head, list_reverse(wa) AS ra, list_reverse(wb) AS rb FROM blk{rounds + 1}), tl AS (SELECT *, least({_LEAD.format('ra', 'rb')}, least(len(wa), len(wb)) - head) AS tail FROM hd),
+eq AS ({equal} UNION ALL SELECT a, b, i0, j0, head FROM tl WHERE head > 0 UNION ALL SELECT a, b, i0 + len(wa) - tail, j0 + len(wb) - tail, tail FROM tl WHERE tail > 0 UNION ALL SELECT a, b, len(wa), len(wb), 0 FROM blk1),
 st AS (SELECT *, coalesce(lag(i + n) OVER w, 0) AS u, coalesce(lag(j + n) OVER w, 0) AS v FROM eq WINDOW w AS (PARTITION BY a, b ORDER BY i, j, n DESC)),
 gr AS (SELECT *, sum(CASE WHEN i > u OR j > v THEN 1 ELSE 0 END) OVER (PARTITION BY a, b ORDER BY i, j, n DESC) AS g FROM st),
 op AS (SELECT a, b, CASE WHEN j = v THEN 'delete' WHEN i = u THEN 'insert' ELSE 'replace' END AS op, u AS i1, i AS i2, v AS j1, j AS j2 FROM st WHERE i > u OR j > v
   UNION ALL SELECT a, b, 'equal', min(i), max(i + n), min(j), max(j + n) FROM gr WHERE n > 0 GROUP BY a, b, g)"""
+
+
+_GAPS = f"{_round(2, 1)}, {_ops(2)}"
 _OPS = f"{_ALIGNED}, {_GAPS}"
 
 #: Two texts each for a rewrite, which no document needs: a numeral that becomes an item, a stop before a deletion, and marks on one side that the other lacks.
@@ -123,3 +131,28 @@ def stream_changes(spark, sf_dir):
 def position_map(spark, sf_dir):
     """Where every word of a document stands in its nearest later copy."""
     return A.whole_map(N.operations(N.lowered_words(V.nearest_pairs(_docs(spark, sf_dir)))))
+
+
+_PART = "list_transform({1}[{2} + 1:{3}], lambda x: '{0}' || x)"
+_RANGE = "CASE WHEN {1} - {0} = 1 THEN ({0} + 1)::VARCHAR ELSE (CASE WHEN {1} = {0} THEN {0} ELSE {0} + 1 END)::VARCHAR || ',' || ({1} - {0})::VARCHAR END"
+_HUNKS = f"""WITH RECURSIVE {_PAIRS}, wd AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents),
+blk1 AS (SELECT near.a, near.b, 0 AS i0, 0 AS j0, x.w AS wa, y.w AS wb FROM near JOIN wd x ON x.doc_id = near.a JOIN wd y ON y.doc_id = near.b), {_round(1, 1)}, {_ops(1)},
+oh AS (SELECT *, sum(CASE WHEN op = 'equal' AND i2 - i1 > 6 THEN 1 ELSE 0 END) OVER (PARTITION BY a, b ORDER BY i1, j1, i2, j2) AS h FROM op),
+hk AS (SELECT a, b, row_number() OVER (PARTITION BY a, b ORDER BY h) - 1 AS hunk, list({{'i1': i1, 'i2': i2, 'j1': j1, 'j2': j2}} ORDER BY i1, i2, j1, j2) AS cs FROM oh WHERE op <> 'equal' GROUP BY a, b, h),
+hr AS (SELECT hk.a, hk.b, hunk, cs, wa, wb, least(3, cs[1].i1, cs[1].j1) AS bf, least(3, len(wa) - cs[-1].i2, len(wb) - cs[-1].j2) AS af FROM hk JOIN blk1 ON blk1.a = hk.a AND blk1.b = hk.b),
+hb AS (SELECT *, cs[1].i1 - bf AS i1, cs[-1].i2 + af AS i2, cs[1].j1 - bf AS j1, cs[-1].j2 + af AS j2 FROM hr)"""
+
+
+@query(f"""{_HUNKS} SELECT a, b, hunk::INTEGER AS hunk, '@@ -' || {_RANGE.format('i1', 'i2')} || ' +' || {_RANGE.format('j1', 'j2')} || ' @@' AS header,
+array_to_string(list_concat({_PART.format(' ', 'wa', 'i1', 'cs[1].i1')}, flatten(list_transform(cs, lambda c, k: list_concat(list_concat({_PART.format('-', 'wa', 'c.i1', 'c.i2')}, {_PART.format('+', 'wb', 'c.j1', 'c.j2')}), {_PART.format(' ', 'wa', 'c.i2', 'coalesce(cs[k + 1].i1, i2)')})))), chr(10)) AS body FROM hb""")
+def unified_hunks(spark, sf_dir):
+    """The unified difference of each document and its nearest earlier one, three lines of context."""
+    own = settled(U.lines(V.nearest_pairs(_docs(spark, sf_dir))))
+    return U.hunks(own, N.operations(own, (1,))).select("a", "b", "hunk", "header", F.array_join("body", "\n").alias("body"))
+
+
+@query(f"WITH {_PAIRS} SELECT near.a, near.b, sha256(coalesce(text, '')) AS sha256 FROM near JOIN documents ON doc_id = near.b")
+def unified_patched(spark, sf_dir):
+    """What each document's difference makes of its nearest earlier one: the document."""
+    own = settled(U.lines(V.nearest_pairs(_docs(spark, sf_dir))))
+    return U.patched(own, U.hunks(own, N.operations(own, (1,)))).select("a", "b", F.sha2("text", 256).alias("sha256"))
