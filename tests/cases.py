@@ -368,10 +368,10 @@ def case_verse_divisions(spark):
     return P.verse_divisions(spark.createDataFrame([("v", "l", "one two three four"), ("v", "p", "five"), ("p", "l", "a"), ("p", "p", "b"), ("e", "l", "")], "division string, kind string, text string"))
 
 
-@case("t string, depth int, ends boolean", ("a (b [c", 2, False), ("end. ", 0, True), ("", 0, True), ("x) y", -1, False))
+@case("t string, depth int, ends boolean", ("a (b [c", 2, False), ("End (", 1, True), ("", 0, True), ("x) y", 0, False), (") and", 0, False))
 def case_states_before(spark):
-    """W14, W16, PF22: open brackets, and whether a sentence has ended."""
-    rows = spark.createDataFrame([("a (b [c",), ("end. ",), ("",), ("x) y",)], "t string")
+    """W14, W16, PF22: open brackets, and whether a stop before a text ends a sentence."""
+    rows = spark.createDataFrame([("a (b [c",), ("End (",), ("",), ("x) y",), (") and",)], "t string")
     return rows.select("t", P.bracket_depth(F.col("t")).alias("depth"), P.ends_sentence(F.col("t")).alias("ends"))
 
 

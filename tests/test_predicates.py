@@ -11,7 +11,7 @@ def test_blocks(spark):
     assert [r.division for r in P.verse_divisions(b).collect()] == ["v"]
     d = spark.createDataFrame([("x", None, 0), ("x1", "x", 1), ("x2", "x", 2), ("x3", "x", 3)], "id string, parent string, pos int")
     assert [r.id for r in P.sections(d, 2, 3).orderBy("pos").collect()] == ["x2", "x3"] and [r.id for r in P.top_divisions(d).collect()] == ["x"]
-    t = spark.createDataFrame([("a (b [c", 2, False), ("end. ", 0, True), ("", 0, True), ("x) y", -1, False)], "t string, n int, e boolean")
+    t = spark.createDataFrame([("a (b [c", 2, False), (" Next one", 0, True), ("", 0, True), (" ; x) y", 0, False), ("u) (v", 1, False), ("1 \\( w", 0, True)], "t string, n int, e boolean")
     assert t.filter((P.bracket_depth(F.col("t")) != F.col("n")) | (P.ends_sentence(F.col("t")) != F.col("e"))).isEmpty()
 
 

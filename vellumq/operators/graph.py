@@ -106,11 +106,10 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def closure(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """start, node: everything reachable along the edges (from, to), the start itself included; each round goes on from new nodes only."""
-    reached = settled(start.select("start", F.col("start").alias("node")).distinct())
-    new = reached
+    """start, node: everything reachable along the edges (from, to), the start itself included; each round goes on from new nodes only, and writes these alone."""
+    new = reached = settled(start.select("start", F.col("start").alias("node")).distinct())
     while not new.isEmpty():
         step = new.join(edges.select(F.col("from").alias("node"), "to"), "node").select("start", F.col("to").alias("node")).distinct()
         new = settled(step.join(reached, ["start", "node"], "left_anti"))
-        reached = settled(reached.unionByName(new))
+        reached = reached.unionByName(new)
     return reached

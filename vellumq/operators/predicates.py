@@ -36,13 +36,14 @@ def top_divisions(divisions: DataFrame) -> DataFrame:
 
 
 def bracket_depth(before: Column) -> Column:
-    """How many brackets a text leaves open."""
-    opened = F.length(before) - F.length(F.regexp_replace(before, r"[(\[]", ""))
-    return opened - (F.length(before) - F.length(F.regexp_replace(before, r"[)\]]", "")))
+    """How many brackets a text leaves open: a closer too many closes nothing, an escaped bracket is none."""
+    signs = F.regexp_extract_all(F.regexp_replace(before, r"(?s)\\.", ""), F.lit(r"([()\[\]])"), 1)
+    return F.aggregate(signs, F.lit(0), lambda d, c: F.when(c.isin("(", "["), d + 1).otherwise(F.greatest(d - 1, F.lit(0))))
 
 
-def ends_sentence(before: Column) -> Column:
-    return before.rlike(r"""(^|[.!?][”’"')\]]*)\s*$""")
+def ends_sentence(after: Column) -> Column:
+    """Whether a stop before this text ends a sentence: nothing follows, or neither a small letter nor a sign that goes on."""
+    return ~after.rlike(r"^\s*[\p{Ll},;:)]")
 
 
 def footnote_numbers(notes: DataFrame, book: str = "doc_id", order: str = "pos") -> DataFrame:

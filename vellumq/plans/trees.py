@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vellumq.operators import brackets as B
 from vellumq.operators import intervals as I
 from vellumq.operators.graph import settled
 from vellumq.plans import sql as S
 from vellumq.plans.webpages import _BODY
+from vellumq.plans.words import _docs
 from vellumq.session import table
 
 QUERIES, ORACLES = {}, {}
@@ -80,3 +82,19 @@ def page_paths(spark, sf_dir):
     cut = settled(I.pieces(_pages(spark, sf_dir)))
     rows = I.reading(cut, settled(I.elements(cut)))
     return rows.groupBy("path").agg(F.count("*").alias("texts"), F.sum("words").alias("words"), F.count_if("joins").alias("joined"), F.count_distinct("page_id").alias("pages"))
+
+
+#: Texts with what the documents lack: brackets within brackets, closers too many, escapes, brackets that stay open, and notes alone.
+BRACKETED = [(-1, "a (b [c (d)] e) f) g"), (-2, "x \\\\( y (z \\\\) w) v"), (-3, "open [to the (end"), (-4, "(only)[notes]"), (-5, ") ] \\\\"), (-6, None)]
+_BRACKETED = ", ".join(f"({i}, " + ("NULL" if t is None else f"'{t}'") + ")" for i, t in BRACKETED)
+
+
+@query(rf"""WITH dc AS (SELECT doc_id, text FROM documents UNION ALL SELECT * FROM (VALUES {_BRACKETED}) t), ex AS (SELECT doc_id, regexp_extract_all(text, '{B.PIECE}') AS p FROM dc WHERE regexp_matches(text, '[(\[]')),
+pc AS (SELECT doc_id, i AS pos, p[i] AS piece FROM ex, unnest(range(1, len(p) + 1)) AS u(i)), sm AS (SELECT *, sum(CASE WHEN piece IN ('(', '[') THEN 1 WHEN piece IN (')', ']') THEN -1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) AS s FROM pc),
+dp AS (SELECT *, s - least(min(s) OVER (PARTITION BY doc_id ORDER BY pos), 0) AS depth FROM sm), ws AS (SELECT *, coalesce(lag(depth) OVER (PARTITION BY doc_id ORDER BY pos), 0) AS was FROM dp),
+pt AS (SELECT *, CASE WHEN depth > 0 OR was > 0 THEN sum(CASE WHEN depth > 0 AND was = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY pos) ELSE 0 END AS part FROM ws)
+SELECT doc_id, part::INTEGER AS part, max(depth)::INTEGER AS depth, string_agg(piece, '' ORDER BY pos) AS text FROM pt GROUP BY doc_id, part
+UNION ALL SELECT doc_id, 0, 0, '' FROM pt GROUP BY doc_id HAVING min(part) > 0 UNION ALL SELECT doc_id, 0, 0, coalesce(text, '') FROM dc WHERE NOT coalesce(regexp_matches(text, '[(\[]'), false)""")
+def bracketed_parts(spark, sf_dir):
+    """Body and notes of every document, parted by the depth of brackets."""
+    return B.parted(_docs(spark, sf_dir).select("doc_id", "text").unionByName(spark.createDataFrame(BRACKETED, "doc_id bigint, text string")))
