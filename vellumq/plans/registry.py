@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from vellumq.plans import aligned, editions, misc, pairs, records, selection, trees, webpages, words
+from vellumq.plans import aligned, editions, misc, pairs, records, rewritten, selection, trees, webpages, words
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
-for _part in (editions, words, selection, pairs, webpages, records, misc, aligned, trees):
+for _part in (editions, words, selection, pairs, webpages, records, misc, aligned, trees, rewritten):
     QUERIES |= _part.QUERIES
     ORACLES |= _part.ORACLES
