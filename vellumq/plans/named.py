@@ -28,7 +28,7 @@ _FOUND = rf"""b0 AS (SELECT DISTINCT regexp_extract(text, '^[A-Za-z]+ [A-Za-z]+'
 fm AS (SELECT form, min(name) AS name FROM (SELECT name, unnest([name, upper(name), replace(name, ' ', ''), upper(replace(name, ' ', ''))]) AS form FROM b0) WHERE form <> '' GROUP BY form),
 dc AS (SELECT doc_id, source, text FROM documents UNION ALL SELECT doc_id, 'planted', text FROM (VALUES {_VALUES}) t(doc_id, text)),
 pt AS (SELECT doc_id, source, regexp_extract_all(text, '[\p{{L}}\p{{N}}]+|[^\p{{L}}\p{{N}}]') AS p FROM dc WHERE text IS NOT NULL),
-pc AS (SELECT doc_id, source, i, p[i] AS w, (sum(length(p[i])) OVER (PARTITION BY doc_id ORDER BY i) - length(p[i]))::INTEGER AS start FROM pt, unnest(range(1, len(p) + 1)) AS u(i)),
+ps AS (SELECT doc_id, source, unnest(p) AS w, generate_subscripts(p, 1) AS i FROM pt), pc AS (SELECT *, (sum(length(w)) OVER (PARTITION BY doc_id ORDER BY i) - length(w))::INTEGER AS start FROM ps),
 gr AS (SELECT doc_id, source, start, unnest([w, w || lead(w, 1) OVER x || lead(w, 2) OVER x, w || lead(w, 1) OVER x || lead(w, 2) OVER x || lead(w, 3) OVER x || lead(w, 4) OVER x]) AS form FROM pc WINDOW x AS (PARTITION BY doc_id ORDER BY i)),
 met AS MATERIALIZED (SELECT doc_id, source, start, start + length(form) AS stop, form, name, row_number() OVER (PARTITION BY doc_id ORDER BY start, length(form) DESC) AS r FROM gr JOIN fm USING (form)),
 hit AS (SELECT doc_id, source, start, stop, form, name FROM met WHERE r = 1 UNION ALL
