@@ -67,7 +67,13 @@ def planted_slips(spark, sf_dir):
     return C.plant_doubles(_docs(spark, sf_dir)).select("doc_id", "at", "word", F.sha2("text", 256).alias("sha256"))
 
 
-@query()
+_FINE = ", ".join(f"'{w}'" for w in T.FINE_DOUBLED)
+
+
+@query(rf"""WITH {_PLANT}, v1 AS (SELECT doc_id, place, list_concat(w[1:place + 1], w[place + 1:]) AS v FROM w1),
+fl AS (SELECT doc_id, i - 1 AS a FROM v1, unnest(range(1, len(v))) AS u(i) WHERE v[i] = v[i + 1] AND regexp_matches(v[i], '^[\p{{L}}\p{{N}}_]+$') AND v[i] NOT IN ({_FINE})),
+met AS (SELECT doc_id, a FROM fl JOIN v1 USING (doc_id) WHERE a - 3 <= place + 1 AND place <= a + 4)
+SELECT (SELECT count(*) FROM v1) AS planted, (SELECT count(DISTINCT doc_id) FROM met) AS caught, (SELECT count(*) FROM fl) AS flags, (SELECT count(*) FROM fl) - (SELECT count(*) FROM met) AS false_alarms""")
 def plant_score(spark, sf_dir):
     """How many planted doubles the doubled-words rule flags, and how many flags meet none."""
     from vellumq.operators.graph import settled
