@@ -97,3 +97,16 @@ def test_text_without_a_match(spark, tmp_path):
     texts = ["\n".join(lines), "\n".join(lines), "\n".join(["1 2 3", *[f"{x} {y}" for x, y in zip("abcdef", lines, strict=True)]]), "\n".join(str(i) * 30 for i in range(5)), "\n".join(str(i) * 30 for i in range(5))]
     got = registry.QUERIES["forward_match"](spark, written(spark, tmp_path, texts)).collect()
     assert {(r.doc, r.n, r.k) for r in got if r.doc == 1} == {(1, i, i) for i in range(6)} and not [r for r in got if r.doc == 4]
+
+
+@pytest.mark.parametrize("name", ["token_coverage", "decision_report"])
+def test_capitals_letter_by_letter(spark, tmp_path, name):
+    """Letters whose capitals are several, or that hang on what follows, as SQL has them."""
+    rows_ = [(i, t, "de", "s") for i, t in enumerate(["ßein ßer. ßein Verß. STRAßE ŉa. ﬁn ΣΑΣ İa ᾳa. ᾳb"] * 12)]
+    frame = spark.createDataFrame(rows_, "doc_id long, text string, lang string, source string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    c = duckdb.connect()
+    c.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    got = registry.QUERIES[name](spark, str(tmp_path))
+    names = sorted(got.columns)
+    assert rows(got.select(names).collect()) == rows(c.sql(f"SELECT {', '.join(names)} FROM ({registry.ORACLES[name]})").fetchall())

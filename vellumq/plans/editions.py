@@ -27,11 +27,11 @@ def _readings(spark, sf_dir):
     """lang, source, word, start, n, modern: distinct words with their machine reading; the rules run once for each."""
     first = F.transform(T.sentences(F.col("text")), lambda s: F.transform(T.words(s), lambda w, i: F.struct(w.alias("word"), (i == 0).alias("start"))))
     rows = _docs(spark, sf_dir).select("lang", "source", F.explode(F.flatten(first)).alias("x")).groupBy("lang", "source", "x.word", "x.start").agg(F.count("*").alias("n"))
-    lower = F.lower("word")
+    lower = T.small_letters(F.col("word"))
     rows = rows.withColumn("modern", F.when(lower.rlike("^[a-z]+$"), T.letterforms(lower)).otherwise(lower))
     modern = F.col("modern")
-    small = F.when(F.col("start"), F.concat(F.upper(F.substring(modern, 1, 1)), F.substring(modern, F.lit(2), F.length(modern)))).otherwise(modern)
-    return rows.withColumn("modern", F.when((F.upper("word") == F.col("word")) & (F.length("word") > 1), F.upper(modern)).otherwise(small))
+    small = F.when(F.col("start"), F.concat(T.capitals(F.substring(modern, 1, 1)), F.substring(modern, F.lit(2), F.length(modern)))).otherwise(modern)
+    return rows.withColumn("modern", F.when((T.capitals(F.col("word")) == F.col("word")) & (F.length("word") > 1), T.capitals(modern)).otherwise(small))
 
 
 _READ = f"""{S.SENT}, tw AS (SELECT lang, source, w[i] AS word, i = 1 AS start FROM (SELECT lang, source, regexp_extract_all(s, '{S.WORD}') AS w FROM sent), unnest(range(1, len(w) + 1)) AS u(i)),
@@ -49,8 +49,8 @@ def token_coverage(spark, sf_dir):
     n = F.col("n")
     return r.groupBy("lang", "source").agg(
         F.sum(n).alias("words"), F.sum(F.when(F.col("word") != F.col("modern"), n).otherwise(0)).alias("form"),
-        F.sum(F.when(F.lower("word") != F.lower("modern"), n).otherwise(0)).alias("spelling"),
-        F.sum(F.when((F.col("word") != F.col("modern")) & (F.lower("word") == F.lower("modern")), n).otherwise(0)).alias("case_only"),
+        F.sum(F.when(T.small_letters(F.col("word")) != T.small_letters(F.col("modern")), n).otherwise(0)).alias("spelling"),
+        F.sum(F.when((F.col("word") != F.col("modern")) & (T.small_letters(F.col("word")) == T.small_letters(F.col("modern"))), n).otherwise(0)).alias("case_only"),
         F.round(100 * F.sum(F.when(F.col("word") == F.col("modern"), n).otherwise(0)) / F.greatest(F.sum(n), F.lit(1)), 1).alias("unchanged_pct"),
     )
 
@@ -59,7 +59,7 @@ def token_coverage(spark, sf_dir):
 def decision_report(spark, sf_dir):
     """The machine's decisions that were made ten times or more: kind, old, new, count."""
     r = _readings(spark, sf_dir).filter("word <> modern")
-    kind = F.when(F.lower("word") == F.lower("modern"), "case").otherwise("spelling")
+    kind = F.when(T.small_letters(F.col("word")) == T.small_letters(F.col("modern")), "case").otherwise("spelling")
     return r.groupBy(kind.alias("type"), F.col("word").alias("orig"), F.col("modern").alias("auto")).agg(F.sum("n").alias("n")).filter("n >= 10")
 
 
