@@ -110,3 +110,9 @@ def test_capitals_letter_by_letter(spark, tmp_path, name):
     got = registry.QUERIES[name](spark, str(tmp_path))
     names = sorted(got.columns)
     assert rows(got.select(names).collect()) == rows(c.sql(f"SELECT {', '.join(names)} FROM ({registry.ORACLES[name]})").fetchall())
+
+
+def test_held_words_are_not_broadcast(spark):
+    """A table of words is far larger in memory than its files say: joins with it are merges."""
+    plan = registry.QUERIES["containment"](spark, DATA)._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("SortMergeJoin") >= 2
