@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from vellumq.operators import align as A
 from vellumq.operators import markup as M
+from vellumq.operators.graph import dealt
 
 VOWELS = "aeiouy"
 
@@ -160,7 +161,7 @@ def sync(pairs: DataFrame) -> DataFrame:
                     row |= {"xml": xml, "decisions": [], "failed": ["well formed"]}
                 yield pa.RecordBatch.from_pylist([row], SCHEMA)
 
-    return pairs.select("a", "b", "xml", "review").mapInArrow(run, "a bigint, b bigint, xml string, decisions array<struct<at:bigint,orig:string,auto:string,editor:string,type:string>>, failed array<string>")
+    return dealt(pairs.select("a", "b", "xml", "review"), "a", "b").mapInArrow(run, "a bigint, b bigint, xml string, decisions array<struct<at:bigint,orig:string,auto:string,editor:string,type:string>>, failed array<string>")
 
 
 def structure(pairs: DataFrame) -> DataFrame:
