@@ -1,6 +1,7 @@
 """Alignment by anchors against brute force, and the rewrites of streams, each on texts of its own."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -126,3 +127,35 @@ def test_rewrites_keep_random_streams_whole(spark):
 def test_streams(spark):
     rows = spark.createDataFrame([("= A head\n  + it’s 5.\n\nx",), (None,), ("",)], "t string").select(M.stream(F.col("t")).alias("s")).collect()
     assert rows[0].s == ["\x02=", "A", "head", "\x02+", "it’s", "5", ".", "\x02¶", "\x02¶", "x"] and rows[1].s == rows[2].s == ["\x02¶"]
+
+
+def test_heaviest_chain_by_brute_force():
+    r = random.Random(5)
+    for _ in range(200):
+        places = r.sample(range(40), r.randrange(12))
+        weights = [r.randrange(1, 4) for _ in places]
+        best, state = (0, 1), []
+        for j, n in zip(places, weights, strict=True):  # the greatest weight before, of the first place that has it
+            before = max([(w, -k) for k, (w, _, at) in enumerate(state) if at < j], default=(0, 1))
+            state.append((before[0] + n, -before[1], j))
+        k = max([(w, -k) for k, (w, _, _) in enumerate(state)], default=best)[1]
+        want = []
+        while k <= 0:
+            want.append(-k)
+            k = -state[-k][1]
+        assert N.heaviest(places, weights) == want[::-1]
+
+
+def test_chains_of_many_runs_without_their_square(spark):
+    words = [f"x{k}" for k in range(12_000)]
+    text_a, text_b = " ".join(words), " ".join(w for k in range(0, 12_000, 2) for w in (words[k + 1], words[k]))
+    rows = spark.createDataFrame([(0, 1, text_a, text_b)], SCHEMA)
+    begun = time.time()
+    got = N.operations(N.lowered_words(rows), (1,)).filter("op = 'equal'").agg(F.sum(F.col("i2") - F.col("i1"))).collect()[0][0]
+    assert got == 6_000 and time.time() - begun < 40
+
+
+def test_rounds_shuffle_no_words(spark):
+    rows = pairs(spark, [("one two three four", "one two four three")])
+    plan = N.chained(N.whole(N.lowered_words(rows)), 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the test's own repartition

@@ -2,29 +2,30 @@
 
 A pair is a row (a, b, wa, wb) of two sequences of words. Rounds of anchors go from runs of words to single ones:
 
-1. ``anchors``: runs of ``width`` words that the block holds once on either side, by a join on the run.
-2. ``runs``: anchors that follow each other on both sides are one run (islands of a window).
-3. ``chain``: the heaviest chain of runs that rises on both sides; of equal ones that with the earliest runs. A fold over a block's runs, not over its words.
+1. ``anchors``: runs of ``width`` words that the block holds once on either side: neighbours in one sorted list of both sides' runs.
+2. ``runs``: anchors that follow each other on both sides are one run (islands of a list).
+3. ``chain``: the heaviest chain of runs that rises on both sides; of equal ones that with the earliest runs. A tree of prefixes over a block's runs: their number times its logarithm.
 4. ``gaps``: what lies between the chain's runs is a block of the next round.
 
-In the last gaps, equal words at either end are taken. Everything else is a change. The work is a shuffle of words a round and a fold over runs, which are few where texts are alike;
+In the last gaps, equal words at either end are taken. Everything else is a change. A block is a row, and all of a round stays within it: no words are shuffled but for dealing the pairs over all tasks;
 a gap without common words that stand once costs nothing more, however long it is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType
 
 from vellumq.functions import text as T
-from vellumq.operators.graph import settled
+from vellumq.operators.graph import dealt, settled
 
 PAIR = ("a", "b")
 BLOCK = ("a", "b", "i0", "j0")
 ROUNDS = (3, 1)
 
-_STATE = "array<struct<i:int,j:int,n:int,best:int,prev:int>>"
-
 
 def lowered_words(pairs: DataFrame) -> DataFrame:
     """a, b, wa, wb: the lower-cased words of each pair's texts."""
@@ -37,76 +38,105 @@ def whole(pairs: DataFrame) -> DataFrame:
     return pairs.select(*PAIR, zero.alias("i0"), zero.alias("j0"), "wa", "wb")
 
 
-def anchors(blocks: DataFrame, width: int) -> DataFrame:
-    """a, b, i0, j0, i, j: where a run of ``width`` words that the block holds once on either side begins."""
+def _with(value: Column, make: Callable[[Column], Column]) -> Column:
+    """make(value), the value worked out once though make names it many times."""
+    return F.get(F.transform(F.array(value), make), F.lit(0))
+
+
+def _there(rows: Column, what: Callable[[Column, Column], Column]) -> Column:
+    """What is made of a list's entries and their places, where it is something."""
+    return F.filter(F.transform(rows, what), lambda x: x.isNotNull())
+
 
-    def side(words: str, at: int) -> DataFrame:
+def anchors(width: int) -> Column:
+    """(i, j), rising in i: where a run of ``width`` words that the block holds once on either side begins, within the block. Both sides' runs are sorted in one list, in which an anchor's two stand alone together."""
+
+    def side(words: str, of: int) -> Column:
         own = F.col(words)
+        row = lambda run, k: F.struct(run.alias("run"), F.lit(of).alias("side"), k.alias("at"))
+        if width == 1:
+            return F.transform(own, row)
         last = F.size(own) - width
-        runs = own if width == 1 else F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: F.array_join(F.slice(own, k + 1, width), "\x01")))
-        return blocks.select(*BLOCK, F.posexplode(runs).alias("at", "run")).withColumn("side", F.lit(at))
+        runs_ = F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda k: row(F.concat_ws("\x01", *(F.get(own, k + m) for m in range(width))), k))
+        return F.filter(runs_, lambda x: last >= 0)
+
+    def alone(rows: Column) -> Column:
+        other = lambda x, k: F.coalesce(F.get(rows, k)["run"] != x["run"], F.lit(True))
+        met = lambda x, k: (x["side"] == 0) & ~other(x, k + 1) & (F.get(rows, k + 1)["side"] == 1) & other(x, k - 1) & other(x, k + 2)
+        return _there(rows, lambda x, k: F.when(met(x, k), F.struct(x["at"].alias("i"), F.get(rows, k + 1)["at"].alias("j"))))
+
+    return F.sort_array(_with(F.sort_array(F.concat(side("wa", 0), side("wb", 1))), alone))
+
+
+def runs(found: Column) -> Column:
+    """(i, j, n): anchors that follow each other on both sides, as one run of n."""
 
-    both = side("wa", 0).unionByName(side("wb", 1)).groupBy(*BLOCK, "run")
-    counted = both.agg(*(F.count_if(F.col("side") == s).alias(f"n{s}") for s in (0, 1)), *(F.max(F.when(F.col("side") == s, F.col("at"))).alias(f"p{s}") for s in (0, 1)))
-    return counted.filter("n0 = 1 AND n1 = 1").select(*BLOCK, (F.col("i0") + F.col("p0")).alias("i"), (F.col("j0") + F.col("p1")).alias("j"))
+    def begun(rows: Column) -> Column:
+        follows = lambda x, k: (F.get(rows, k - 1)["i"] + 1 == x["i"]) & (F.get(rows, k - 1)["j"] + 1 == x["j"])
+        first = _there(rows, lambda x, k: F.when(~F.coalesce(follows(x, k), F.lit(False)), F.struct(x["i"].alias("i"), x["j"].alias("j"), k.alias("k"))))
+        return _with(first, lambda s: F.transform(s, lambda x, m: F.struct(x["i"].alias("i"), x["j"].alias("j"), (F.coalesce(F.get(s, m + 1)["k"], F.size(rows)) - x["k"]).alias("n"))))
 
+    return _with(found, begun)
 
-def runs(found: DataFrame) -> DataFrame:
-    """a, b, i0, j0, i, j, n: anchors that follow each other on both sides, as one run of n."""
-    order = Window.partitionBy(*BLOCK).orderBy("i")
-    apart = F.coalesce((F.lag("i").over(order) + 1 != F.col("i")) | (F.lag("j").over(order) + 1 != F.col("j")), F.lit(True))
-    islands = found.withColumn("run", F.sum(apart.cast("int")).over(order))
-    return islands.groupBy(*BLOCK, "run").agg(F.min("i").alias("i"), F.min("j").alias("j"), F.count("*").cast("int").alias("n")).drop("run")
 
+def heaviest(places: Sequence[int], weights: Sequence[int]) -> list[int]:
+    """Which of these make the heaviest chain of rising places; of equal ones that with the earliest. A tree of prefixes holds the best chain that ends before a place."""
+    rank = {j: k for k, j in enumerate(sorted(places), 1)}
+    tree = [(0, 1)] * (len(rank) + 1)  # weight, the negative of the last one's number
+    last: list[int] = []
+    best = (0, 1)
+    for k, (j, n) in enumerate(zip(places, weights, strict=True)):
+        at, before = rank[j] - 1, (0, 1)
+        while at:
+            before, at = max(before, tree[at]), at & (at - 1)
+        last.append(-before[1])
+        now, at = (before[0] + n, -k), rank[j]
+        while at < len(tree):
+            tree[at], at = max(tree[at], now), at + (at & -at)
+        best = max(best, now)
+    kept, k = [], -best[1]
+    while k >= 0:
+        kept.append(k)
+        k = last[k]
+    return kept[::-1]
 
-def _best(state: Column, fits=None) -> Column:
-    """The greatest weight of the state's chains and, as its negative, the first place that has it."""
-    rows = F.transform(state, lambda s, k: F.struct(s["best"].alias("best"), (-k).alias("k"), s["j"].alias("j")))
-    rows = rows if fits is None else F.filter(rows, fits)
-    return F.array_max(F.transform(rows, lambda s: F.struct(s["best"], s["k"])))
 
+@F.udf(ArrayType(IntegerType()), useArrow=True)
+def _heaviest(places, weights):
+    return heaviest([int(j) for j in places], [int(n) for n in weights])
 
-def chain(found: DataFrame) -> DataFrame:
-    """a, b, i0, j0, i, j, n: the runs of each block's heaviest rising chain."""
-    listed = found.groupBy(*BLOCK).agg(F.array_sort(F.collect_list(F.struct("i", "j", "n"))).alias("rs"))  # runs of one pair of texts
 
-    def weigh(state: Column, x: Column) -> Column:
-        before = _best(state, lambda s: s["j"] < x["j"])
-        row = F.struct(x["i"].alias("i"), x["j"].alias("j"), x["n"].alias("n"), (x["n"] + F.coalesce(before["best"], F.lit(0))).alias("best"), (-F.coalesce(before["k"], F.lit(1))).alias("prev"))
-        return F.concat(state, F.array(row)).cast(_STATE)
+def chained(blocks: DataFrame, width: int) -> DataFrame:
+    """The blocks with ``runs`` and with ``chain``, those of the heaviest chain of them that rises on both sides."""
+    found = blocks.withColumn("runs", runs(anchors(width)))
+    kept = found.withColumn("kept", _heaviest(F.col("runs")["j"], F.col("runs")["n"]))
+    return kept.withColumn("chain", F.transform("kept", lambda k: F.get(F.col("runs"), k))).drop("kept")
 
-    def back(state: Column) -> Column:
-        start = F.struct((-_best(state)["k"]).cast("int").alias("want"), F.array().cast("array<int>").alias("kept"))
 
-        def step(at: Column, k: Column) -> Column:
-            hit = at["want"] == k
-            return F.struct(F.when(hit, F.get(state, k)["prev"]).otherwise(at["want"]).cast("int").alias("want"), F.when(hit, F.concat(at["kept"], F.array(k))).otherwise(at["kept"]).cast("array<int>").alias("kept"))
+def segments(width: int) -> Column:
+    """(i, j, n): the equal words of a block's chain, in its texts; where two runs' last and first words overlap, the earlier run keeps them."""
 
-        kept = F.aggregate(F.reverse(F.sequence(F.lit(0), F.size(state) - 1)), start, step)["kept"]
-        return F.transform(F.reverse(kept), lambda k: F.get(state, k))
+    def cut(x: Column, k: Column) -> Column:
+        before = F.get(F.col("chain"), k - 1)
+        end = before["n"] + width - 1
+        over = F.coalesce(F.greatest(F.lit(0), before["i"] + end - x["i"], before["j"] + end - x["j"]), F.lit(0))
+        return F.struct((F.col("i0") + x["i"] + over).alias("i"), (F.col("j0") + x["j"] + over).alias("j"), (x["n"] + width - 1 - over).alias("n"))
 
-    rows = F.aggregate("rs", F.array().cast(_STATE), weigh, back)
-    return listed.select(*BLOCK, F.explode(rows).alias("x")).select(*BLOCK, "x.i", "x.j", "x.n")
+    return F.transform("chain", cut)
 
 
-def segments(chained: DataFrame, width: int) -> DataFrame:
-    """a, b, i0, j0, i, j, n: the equal words of a chain; where two runs' last and first words overlap, the earlier run keeps them."""
-    words = F.col("n") + width - 1
-    order = Window.partitionBy(*BLOCK).orderBy("i")
-    over = F.greatest(F.lit(0), F.lag(F.col("i") + words).over(order) - F.col("i"), F.lag(F.col("j") + words).over(order) - F.col("j"))
-    cut = F.coalesce(over, F.lit(0))
-    return chained.select(*BLOCK, (F.col("i") + cut).alias("i"), (F.col("j") + cut).alias("j"), (words - cut).alias("n"))
+def gaps(blocks: DataFrame) -> DataFrame:
+    """The blocks between the ``equal`` words: those with words on both sides."""
+    end = F.array(F.struct((F.col("i0") + F.size("wa")).alias("i"), (F.col("j0") + F.size("wb")).alias("j"), F.lit(0).alias("n")))
 
+    def between(rows: Column) -> Column:
+        after = lambda k, c: F.coalesce(F.get(rows, k - 1)[c] + F.get(rows, k - 1)["n"], F.col(f"{c}0"))
+        return F.filter(F.transform(rows, lambda x, k: F.struct(after(k, "i").alias("u"), after(k, "j").alias("v"), x["i"].alias("i"), x["j"].alias("j"))), lambda g: (g["i"] > g["u"]) & (g["j"] > g["v"]))
 
-def gaps(blocks: DataFrame, equal: DataFrame) -> DataFrame:
-    """The blocks between the equal words: those with words on both sides."""
-    ends = blocks.select(*BLOCK, (F.col("i0") + F.size("wa")).alias("i"), (F.col("j0") + F.size("wb")).alias("j"), F.lit(0).alias("n"))
-    order = Window.partitionBy(*BLOCK).orderBy("i", "j")
-    before = lambda c: F.coalesce(F.lag(F.col(c) + F.col("n")).over(order), F.col(f"{c}0"))
-    rows = equal.unionByName(ends).select(*BLOCK, before("i").alias("u"), before("j").alias("v"), "i", "j").filter("i > u AND j > v")
-    lists = rows.groupBy(*BLOCK).agg(F.collect_list(F.struct("u", "v", "i", "j")).alias("gaps"))
-    cut = F.transform("gaps", lambda g: F.struct(g["u"].alias("i1"), g["v"].alias("j1"), F.slice("wa", g["u"] - F.col("i0") + 1, g["i"] - g["u"]).alias("xa"), F.slice("wb", g["v"] - F.col("j0") + 1, g["j"] - g["v"]).alias("xb")))
-    return blocks.join(lists, list(BLOCK)).select(*PAIR, F.inline(cut)).select(*PAIR, F.col("i1").alias("i0"), F.col("j1").alias("j0"), F.col("xa").alias("wa"), F.col("xb").alias("wb"))
+    words = lambda g, c, u, i, first: F.transform(F.sequence(g[u] - F.col(first), g[i] - F.col(first) - 1), lambda k: F.get(F.col(c), k))  # a slice would unpack all words for each gap
+    found = blocks.withColumn("gaps", _with(F.concat("equal", end), between))
+    cut = F.transform("gaps", lambda g: F.struct(g["u"].alias("i1"), g["v"].alias("j1"), words(g, "wa", "u", "i", "i0").alias("xa"), words(g, "wb", "v", "j", "j0").alias("xb")))
+    return found.select(*PAIR, F.inline(cut)).select(*PAIR, F.col("i1").alias("i0"), F.col("j1").alias("j0"), F.col("xa").alias("wa"), F.col("xb").alias("wb"))
 
 
 def ends(blocks: DataFrame) -> DataFrame:
@@ -125,17 +155,15 @@ def ends(blocks: DataFrame) -> DataFrame:
 
 
 def matched(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
-    """a, b, i, j, n: equal words of both sides, rising. Each round's blocks are a table, read by the round and by its gaps. Equal texts are one run, as their anchors would find."""
+    """a, b, i, j, n: equal words of both sides, rising. Each round's blocks, with their equal words, are a table, read for these and for its gaps. Equal texts are one run, as their anchors would find."""
     same = F.col("wa") == F.col("wb")
     zero = F.lit(0)
     out = pairs.filter(same).select(*PAIR, zero.alias("i"), zero.alias("j"), F.size("wa").alias("n")).filter("n > 0")
-    blocks = whole(pairs.filter(~same))
+    blocks = whole(dealt(pairs.filter(~same), *PAIR))
     for width in rounds:
-        blocks = settled(blocks)
-        equal = settled(segments(chain(runs(anchors(blocks, width))), width))
-        own = equal.select(*PAIR, "i", "j", "n")
-        out = out.unionByName(own)
-        blocks = gaps(blocks, equal)
+        done = settled(chained(blocks, width).withColumn("equal", segments(width)).select(*BLOCK, "wa", "wb", "equal"))
+        out = out.unionByName(done.select(*PAIR, F.inline("equal")))
+        blocks = gaps(done)
     return out.unionByName(ends(blocks))
 
 
@@ -156,9 +184,5 @@ def operations(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
 
 def summary(pairs: DataFrame, width: int = ROUNDS[0]) -> DataFrame:
     """a, b, anchors, runs, chain: of the first round, how many anchors and runs there are and how many anchors the heaviest chain has."""
-    blocks = settled(whole(pairs))
-    found = settled(runs(anchors(blocks, width)))
-    every = found.groupBy(*PAIR).agg(F.sum("n").alias("anchors"), F.count("*").alias("runs"))
-    best = chain(found).groupBy(*PAIR).agg(F.sum("n").alias("chain"))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-    return blocks.select(*PAIR).join(every, list(PAIR), "left").join(best, list(PAIR), "left").select(*PAIR, zero("anchors"), zero("runs"), zero("chain"))
+    total = lambda c, n: F.aggregate(F.col(c)["n"], F.lit(0).cast("long"), lambda s, x: s + x).alias(n)
+    return chained(whole(dealt(pairs, *PAIR)), width).select(*PAIR, total("runs", "anchors"), F.size("runs").cast("long").alias("runs"), total("chain", "chain"))
