@@ -146,9 +146,7 @@ def loose_families(spark, sf_dir):
 @query()
 def marked_lines(spark, sf_dir):
     """The strongest sentences as lines for a reader, the strongest word marked."""
-    scores = C.bigram_scores(_docs(spark, sf_dir))
-    s = G.settled(C.sentence_scores(scores))
-    top = C.budget_top(s, 0.02).filter("strongest is not null").select("doc_id", "sent_no", "score", "strongest")
+    top = C.budget_top(C.scored_sentences(_docs(spark, sf_dir)), 0.02).filter("strongest is not null").select("doc_id", "sent_no", "score", "strongest")
     from vellumq.operators.tokens import sentences
 
     texts = sentences(_docs(spark, sf_dir)).select("doc_id", "sent_no", T.spaced_words(F.col("s")).alias("w"))
