@@ -16,12 +16,12 @@ EDITOR, MACHINE = "#editor", "#auto"
 FORM = ("spelling", "case", "punctuation", "spacing", "reference")
 
 
-def reading(regs: str = "regs", orig: str = "orig", expan: str | None = None, only_machine: bool = False) -> Column:
+def reading(regs: str | Column = "regs", orig: str | Column = "orig", expan: str | None = None, only_machine: bool = False) -> Column:
     """The effective reading: the editor's, else the first, else the expansion, else what is printed."""
     editor = F.filter(regs, lambda r: r["resp"] == EDITOR)
     machine = F.filter(regs, lambda r: r["resp"] == MACHINE)
-    chosen = F.get(machine, 0)["text"] if only_machine else F.coalesce(F.get(editor, 0)["text"], F.get(F.col(regs), 0)["text"])
-    return F.coalesce(chosen, *([F.col(expan)] if expan else []), F.col(orig))
+    chosen = F.get(machine, 0)["text"] if only_machine else F.coalesce(F.get(editor, 0)["text"], F.get(regs, 0)["text"])
+    return F.coalesce(chosen, *([F.col(expan)] if expan else []), orig)
 
 
 def effective(regs: str = "regs") -> Column:

@@ -98,15 +98,29 @@ def verb_roots(spark, sf_dir):
     return N.verb_roots(words.distinct(), N.dictionary(words))
 
 
+def _decided(orig, auto):
+    """A word's decisions: the machine's, and the editor's who takes back those of words in capitals."""
+    reg = lambda text, resp: F.struct(text.alias("text"), F.lit(resp).alias("resp"), F.lit("spelling").alias("type"))
+    machine = F.when(auto != orig, reg(auto, L.MACHINE))
+    editor = F.when((auto != orig) & (F.upper(orig) == orig), reg(orig, L.EDITOR))
+    return F.array_compact(F.array(machine, editor))
+
+
 def _choices(spark, sf_dir):
     """Choices of the documents: the machine's letterforms, and an editor who takes back those of words in capitals."""
     rows = _docs(spark, sf_dir).select("doc_id", "lang", F.posexplode(T.words(F.col("text"))).alias("pos", "orig"))
     lower = F.lower("orig")
     auto = F.when(lower.rlike("^[a-z]+$"), T.case_pattern(F.col("orig"), T.letterforms(lower))).otherwise(F.col("orig"))
-    reg = lambda text, resp: F.struct(text.alias("text"), F.lit(resp).alias("resp"), F.lit("spelling").alias("type"))
-    machine = F.when(auto != F.col("orig"), reg(auto, L.MACHINE))
-    editor = F.when((auto != F.col("orig")) & (F.upper("orig") == F.col("orig")), reg(F.col("orig"), L.EDITOR))
-    return rows.withColumn("regs", F.array_compact(F.array(machine, editor)))
+    return rows.withColumn("regs", _decided(F.col("orig"), auto))
+
+
+def _row_choices(words):
+    """The same choices (orig, regs) of an array of words, step by step within its row; each step is worked out once for a word."""
+    step = lambda rows, name, make: F.transform(rows, lambda r: F.struct(r["orig"].alias("orig"), make(r).alias(name)))
+    rows = F.transform(words, lambda w: F.struct(w.alias("orig"), F.lower(w).alias("lower")))
+    rows = step(rows, "modern", lambda r: F.when(r["lower"].rlike("^[a-z]+$"), T.letterforms(r["lower"])))
+    rows = step(rows, "auto", lambda r: F.when(r["modern"].isNotNull(), T.case_pattern(r["orig"], r["modern"])).otherwise(r["orig"]))
+    return step(rows, "regs", lambda r: _decided(r["orig"], r["auto"]))
 
 
 _CHOICE = f"""{S.TOK}, c AS (SELECT doc_id, lang, pos, word AS orig, CASE WHEN regexp_matches(lower(word), '^[a-z]+$') THEN (SELECT CASE WHEN upper(word) = word AND length(word) > 1 THEN upper(z) WHEN upper(word[1]) = word[1] THEN upper(z[1]) || z[2:] ELSE z END FROM (SELECT {S.letterforms('lower(word)')} AS z)) ELSE word END AS auto FROM tok)"""
@@ -115,9 +129,14 @@ _CHOICE = f"""{S.TOK}, c AS (SELECT doc_id, lang, pos, word AS orig, CASE WHEN r
 @query(f"""WITH {_CHOICE} SELECT doc_id, sha256(string_agg(CASE WHEN upper(orig) = orig THEN orig ELSE auto END, ' ' ORDER BY pos)) AS reg_sha256, sha256(string_agg(orig, ' ' ORDER BY pos)) AS orig_sha256 FROM c GROUP BY doc_id""")
 def layer_projection(spark, sf_dir):
     """Digests of the printed and of the edited layer of each document, from one table of choices."""
-    c = _choices(spark, sf_dir)
-    both = c.select("doc_id", "pos", "orig", L.reading().alias("reg")).groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "orig", "reg"))).alias("x"))
-    return both.select("doc_id", F.sha2(F.array_join(F.transform("x", lambda r: r["reg"]), " "), 256).alias("reg_sha256"), F.sha2(F.array_join(F.transform("x", lambda r: r["orig"]), " "), 256).alias("orig_sha256"))
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
+    if docs.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        rows = docs.select("doc_id", T.words(F.col("text")).alias("w"))
+    else:  # texts of one doc_id are one document, whose words stand by their places
+        placed = F.transform("texts", lambda t: F.transform(T.words(t), lambda w, i: F.struct(i.alias("pos"), w.alias("orig"))))
+        rows = docs.groupBy("doc_id").agg(F.collect_list("text").alias("texts")).select("doc_id", F.array_sort(F.flatten(placed))["orig"].alias("w"))
+    both = rows.filter("size(w) > 0").select("doc_id", "w", F.transform(_row_choices(F.col("w")), lambda r: L.reading(r["regs"], r["orig"])).alias("reg"))
+    return both.select("doc_id", F.sha2(F.array_join("reg", " "), 256).alias("reg_sha256"), F.sha2(F.array_join("w", " "), 256).alias("orig_sha256"))
 
 
 @query(f"""WITH {_CHOICE} SELECT orig, auto, CASE WHEN upper(orig) = orig THEN orig END AS editor, count(*) AS n FROM c WHERE auto <> orig GROUP BY ALL""")
