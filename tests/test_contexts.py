@@ -68,3 +68,12 @@ def test_roman_values(spark):
     numerals = ["i", "iv", "ix", "xiv", "xl", "xlix", "xcix", "cxix", "cxliv", "cl"]
     got = spark.createDataFrame([(x,) for x in numerals], "w string").select("w", C.roman(C.F.col("w"))).collect()
     assert {r[0]: r[1] for r in got} == {x: roman(x) for x in numerals}
+
+
+def test_only_texts_with_a_name_and_its_number_are_cut(spark):
+    """Texts that only begin like a name ("Then 5") are left out; those with one stay, wherever blanks and capitals stand."""
+    inside = ["Then 5 and Gen . ii. 7", "Then 5, GEN.2.7", "They 5; 1 Sam 14. 27", "So 5, Song of Songs ii. 3", "Chap 2. Isa x", "The 3\nJude 5"]
+    outside = ["Then 5", "Then 12 came to John, in 5 days", "Genuine 2. 7", "Job could do 5", "Gen. 1234", "Gen 3rd", "gen 2"]
+    docs = spark.createDataFrame(list(enumerate(inside + outside)), "doc_id bigint, text string")
+    assert {r.doc_id for r in C.signs(docs).select("doc_id").distinct().collect()} == set(range(len(inside)))
+    assert docs.filter(docs.text.rlike(C.beginnings()) != docs.text.rlike(C.quick_beginnings())).isEmpty()
