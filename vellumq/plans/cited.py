@@ -109,4 +109,4 @@ SELECT d.doc_id, coalesce(k, 0)::INTEGER AS changed, coalesce(s.text, d.text) AS
 def references_restyled(spark, sf_dir):
     """Every document, with its references in one form where they are there."""
     documents, rows = _resolved(spark, sf_dir)
-    return C.restyled(documents, C.written(rows))
+    return C.restyled(documents, settled(C.written(rows)))  # as a table its size is known beforehand, and few references don't shuffle all texts
