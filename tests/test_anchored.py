@@ -159,3 +159,20 @@ def test_rounds_shuffle_no_words(spark):
     rows = pairs(spark, [("one two three four", "one two four three")])
     plan = N.chained(N.whole(N.lowered_words(rows)), 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1  # the test's own repartition
+
+
+def test_rounds_write_the_words_of_gaps_alone(spark, monkeypatch):
+    tables = []
+
+    def held(df, settled=N.settled):
+        tables.append(df)
+        return settled(df)
+
+    monkeypatch.setattr(N, "settled", held)
+    words = [f"x{k}" for k in range(500)]
+    rows = pairs(spark, [(" ".join(words), " ".join([*words[:250], "other", "words", *words[251:]])), (" ".join(words), " ".join(words))])
+    got = N.operations(N.lowered_words(rows)).orderBy("a", "seq").collect()
+    assert [(o.op, o.i1, o.i2, o.j1, o.j2) for o in got] == [("equal", 0, 250, 0, 250), ("replace", 250, 251, 250, 252), ("equal", 251, 500, 252, 501), ("equal", 0, 500, 0, 500)]
+    strings = lambda x: 1 if isinstance(x, str) else sum(map(strings, x)) if isinstance(x, (list, tuple)) else 0
+    assert sum(strings(r) for t in tables for r in t.collect()) <= 6  # one word and two, in either round's gaps
+    assert tables[0]._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].count("Exchange") == 1  # the test's own repartition: texts are dealt before, words are not

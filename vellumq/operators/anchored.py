@@ -7,7 +7,7 @@ A pair is a row (a, b, wa, wb) of two sequences of words. Rounds of anchors go f
 3. ``chain``: the heaviest chain of runs that rises on both sides; of equal ones that with the earliest runs. A tree of prefixes over a block's runs: their number times its logarithm.
 4. ``gaps``: what lies between the chain's runs is a block of the next round.
 
-In the last gaps, equal words at either end are taken. Everything else is a change. A block is a row, and all of a round stays within it: no words are shuffled but for dealing the pairs over all tasks;
+In the last gaps, equal words at either end are taken. Everything else is a change. A block is a row, and all of a round stays within it: no words are shuffled, and only those of gaps are written;
 a gap without common words that stand once costs nothing more, however long it is.
 """
 
@@ -20,10 +20,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from vellumq.functions import text as T
-from vellumq.operators.graph import dealt, settled
+from vellumq.operators.graph import settled
 
 PAIR = ("a", "b")
-BLOCK = ("a", "b", "i0", "j0")
 ROUNDS = (3, 1)
 
 
@@ -126,7 +125,7 @@ def segments(width: int) -> Column:
 
 
 def gaps(blocks: DataFrame) -> DataFrame:
-    """The blocks between the ``equal`` words: those with words on both sides."""
+    """The blocks with ``gaps``, (i0, j0, wa, wb): what lies between the ``equal`` words and has words on both sides."""
     end = F.array(F.struct((F.col("i0") + F.size("wa")).alias("i"), (F.col("j0") + F.size("wb")).alias("j"), F.lit(0).alias("n")))
 
     def between(rows: Column) -> Column:
@@ -135,8 +134,7 @@ def gaps(blocks: DataFrame) -> DataFrame:
 
     words = lambda g, c, u, i, first: F.transform(F.sequence(g[u] - F.col(first), g[i] - F.col(first) - 1), lambda k: F.get(F.col(c), k))  # a slice would unpack all words for each gap
     found = blocks.withColumn("gaps", _with(F.concat("equal", end), between))
-    cut = F.transform("gaps", lambda g: F.struct(g["u"].alias("i1"), g["v"].alias("j1"), words(g, "wa", "u", "i", "i0").alias("xa"), words(g, "wb", "v", "j", "j0").alias("xb")))
-    return found.select(*PAIR, F.inline(cut)).select(*PAIR, F.col("i1").alias("i0"), F.col("j1").alias("j0"), F.col("xa").alias("wa"), F.col("xb").alias("wb"))
+    return found.withColumn("gaps", F.transform("gaps", lambda g: F.struct(g["u"].alias("i0"), g["v"].alias("j0"), words(g, "wa", "u", "i", "i0").alias("wa"), words(g, "wb", "v", "j", "j0").alias("wb"))))
 
 
 def ends(blocks: DataFrame) -> DataFrame:
@@ -155,25 +153,29 @@ def ends(blocks: DataFrame) -> DataFrame:
 
 
 def matched(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
-    """a, b, i, j, n: equal words of both sides, rising. Each round's blocks, with their equal words, are a table, read for these and for its gaps. Equal texts are one run, as their anchors would find."""
+    """a, b, i, j, n: equal words of both sides, rising, and the end of both (n = 0). Each round's equal words and gaps are a table; of the words it has those of the gaps alone. Equal texts are one run, as their anchors would find, and have no block."""
     same = F.col("wa") == F.col("wb")
-    zero = F.lit(0)
-    out = pairs.filter(same).select(*PAIR, zero.alias("i"), zero.alias("j"), F.size("wa").alias("n")).filter("n > 0")
-    blocks = whole(dealt(pairs.filter(~same), *PAIR))
+    none, zero = F.array().cast("array<string>"), F.lit(0)
+    sides = pairs.select(*PAIR, same.alias("same"), F.size("wa").alias("la"), F.size("wb").alias("lb"), *(F.when(same, none).otherwise(F.col(c)).alias(c) for c in ("wa", "wb")))
+    blocks = sides.select(*PAIR, zero.alias("i0"), zero.alias("j0"), "wa", "wb", "same", "la", "lb")
+    out = None
     for width in rounds:
-        done = settled(chained(blocks, width).withColumn("equal", segments(width)).select(*BLOCK, "wa", "wb", "equal"))
-        out = out.unionByName(done.select(*PAIR, F.inline("equal")))
-        blocks = gaps(done)
+        found = gaps(chained(blocks, width).withColumn("equal", segments(width)))
+        if out is None:
+            point = lambda i, j, n: F.array(F.struct(i.alias("i"), j.alias("j"), n.alias("n")))
+            found = found.withColumn("equal", F.concat(F.when(F.col("same"), point(zero, zero, F.col("la"))).otherwise(F.col("equal")), point(F.col("la"), F.col("lb"), zero)))
+        done = settled(found.select(*PAIR, "equal", "gaps"))
+        equal = done.select(*PAIR, F.inline("equal"))
+        out = equal if out is None else out.unionByName(equal)
+        blocks = done.select(*PAIR, F.inline("gaps"))
     return out.unionByName(ends(blocks))
 
 
 def operations(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
-    """a, b, seq, op, i1, i2, j1, j2: equal, replace, delete and insert, in order; they tile both sequences."""
-    pairs = settled(pairs)
-    lengths = pairs.select(*PAIR, F.size("wa").alias("i"), F.size("wb").alias("j"), F.lit(0).alias("n"))
+    """a, b, seq, op, i1, i2, j1, j2: equal, replace, delete and insert, in order; they tile both sequences. The pairs are aligned in the tasks they come in: who makes them deals them, while they are texts."""
     order = Window.partitionBy(*PAIR).orderBy("i", "j", F.desc("n"))
     before = lambda c: F.coalesce(F.lag(F.col(c) + F.col("n")).over(order), F.lit(0))
-    rows = matched(pairs, rounds).unionByName(lengths).select(*PAIR, before("i").alias("u"), before("j").alias("v"), "i", "j", "n")
+    rows = matched(pairs, rounds).select(*PAIR, before("i").alias("u"), before("j").alias("v"), "i", "j", "n")
     apart = (F.col("i") > F.col("u")) | (F.col("j") > F.col("v"))
     changed = rows.filter(apart).select(*PAIR, F.when(F.col("j") == F.col("v"), "delete").when(F.col("i") == F.col("u"), "insert").otherwise("replace").alias("op"), F.col("u").alias("i1"), F.col("i").alias("i2"), F.col("v").alias("j1"), F.col("j").alias("j2"))
     runs_ = rows.withColumn("run", F.sum(apart.cast("int")).over(order)).filter("n > 0").groupBy(*PAIR, "run")
@@ -185,4 +187,4 @@ def operations(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
 def summary(pairs: DataFrame, width: int = ROUNDS[0]) -> DataFrame:
     """a, b, anchors, runs, chain: of the first round, how many anchors and runs there are and how many anchors the heaviest chain has."""
     total = lambda c, n: F.aggregate(F.col(c)["n"], F.lit(0).cast("long"), lambda s, x: s + x).alias(n)
-    return chained(whole(dealt(pairs, *PAIR)), width).select(*PAIR, total("runs", "anchors"), F.size("runs").cast("long").alias("runs"), total("chain", "chain"))
+    return chained(whole(pairs), width).select(*PAIR, total("runs", "anchors"), F.size("runs").cast("long").alias("runs"), total("chain", "chain"))

@@ -9,7 +9,7 @@ from vellumq.operators import anchored as N
 from vellumq.operators import streams as M
 from vellumq.operators import unified as U
 from vellumq.operators import witness as V
-from vellumq.operators.graph import settled
+from vellumq.operators.graph import dealt, settled
 from vellumq.plans import sql as S
 from vellumq.plans.pairs import _PAIRS
 from vellumq.plans.words import _docs
@@ -120,7 +120,7 @@ def stream_changes(spark, sf_dir):
     """Changes of tokens and block marks of each document against its nearest earlier one after the rewrites, and of four planted pairs; for each pair what is equal, as one row of counts."""
     pairs = V.nearest_pairs(_docs(spark, sf_dir)).unionByName(spark.createDataFrame(PLANTED, "a bigint, b bigint, text_a string, text_b string"))
     own = settled(M.streams(pairs))
-    rows = settled(M.rewritten(N.operations(own), own))
+    rows = settled(M.rewritten(N.operations(dealt(own, "a", "b")), own))
     shown = rows.filter("op <> 'equal'").select("a", "b", "seq", "op", "i1", "i2", "j1", "j2", F.array_join("src", " ").alias("src"), F.array_join("tgt", " ").alias("tgt"))
     zero, none = F.lit(0), F.lit("")
     same = rows.filter("op = 'equal'").groupBy("a", "b").agg(F.count("*").cast("int").alias("i1"), F.sum(F.col("i2") - F.col("i1")).cast("int").alias("i2"), F.sum(F.col("j2") - F.col("j1")).cast("int").alias("j1"))
@@ -148,11 +148,11 @@ array_to_string(list_concat({_PART.format(' ', 'wa', 'i1', 'cs[1].i1')}, flatten
 def unified_hunks(spark, sf_dir):
     """The unified difference of each document and its nearest earlier one, three lines of context."""
     own = settled(U.lines(V.nearest_pairs(_docs(spark, sf_dir))))
-    return U.hunks(own, N.operations(own, (1,))).select("a", "b", "hunk", "header", F.array_join("body", "\n").alias("body"))
+    return U.hunks(own, N.operations(dealt(own, "a", "b"), (1,))).select("a", "b", "hunk", "header", F.array_join("body", "\n").alias("body"))
 
 
 @query(f"WITH {_PAIRS} SELECT near.a, near.b, sha256(coalesce(text, '')) AS sha256 FROM near JOIN documents ON doc_id = near.b")
 def unified_patched(spark, sf_dir):
     """What each document's difference makes of its nearest earlier one: the document."""
     own = settled(U.lines(V.nearest_pairs(_docs(spark, sf_dir))))
-    return U.patched(own, U.hunks(own, N.operations(own, (1,)))).select("a", "b", F.sha2("text", 256).alias("sha256"))
+    return U.patched(own, U.hunks(own, N.operations(dealt(own, "a", "b"), (1,)))).select("a", "b", F.sha2("text", 256).alias("sha256"))
