@@ -59,3 +59,34 @@ def test_layers_within_the_row(spark, folder, twice):
     else:
         assert got[6] == (sha("VNTO the understanding joy goodness Joy up"), sha("VNTO the vnderstanding ioy goodnesse Ioy vp"))
         assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+ODD = [*TEXTS, (7, "\t \n", "en"), (8, "\t. \u000b And the end of it, t-he end of THE (end)!  ", "en"), (9, "ΣΑΣ the ΟΔΟΣ. İt was the ßide and of\x85it. & and & the", "en"), (10, "the the of the the. So that is so", "en"), (11, "the", None)]
+
+
+@pytest.mark.parametrize("share", [0.0, 0.15, 0.5])
+def test_budget_orders_one_bucket_alone(spark, folder, monkeypatch, share):
+    docs = spark.read.parquet(f"{folder([(d + 20 * k, t, lang) for k in range(3) for d, t, lang in ODD])}/documents.parquet")
+    scored = C.sentence_scores(C.bigram_scores(docs))
+    plain = lambda rows: sorted((r.doc_id, r.sent_no, r.words, r.score) for r in rows.collect())
+    want = plain(C.taken(scored, C.strength_order(), "words", share=share))
+    given = []
+
+    def counted(rows, *of, taken=C.taken, **more):
+        given.append(rows.count())
+        return taken(rows, *of, **more)
+
+    monkeypatch.setattr(C, "taken", counted)
+    assert plain(C.strongest_sentences(docs, share)) == want
+    assert plain(C.budget_top(scored, share)) == want and bool(want) == (share > 0)
+    assert max(given) <= scored.count() * 2 / 3
+    if share:
+        return
+    same = ["doc_id", "sent_no", "words", "score", "strongest"]
+    assert sorted(map(str, C.scored_sentences(docs).select(same).collect())) == sorted(map(str, scored.select(same).collect()))
+
+
+def test_sentences_without_words_come_first(spark):
+    rows = spark.createDataFrame([(1, 0, 0, 0.0, []), (2, 0, 3, 2.5, [2.5]), (3, 0, 4, 0.0, []), (4, 0, 3, 2.5004, [2.5004])], "doc_id long, sent_no int, words long, score double, strength array<double>")
+    top = lambda share: sorted(r.doc_id for r in C.budget_top(rows, share).collect())
+    assert [top(s) for s in (0.0, 0.05, 0.4, 0.7, 1.0)] == [[], [1, 4], [1, 2, 4], [1, 2, 3, 4], [1, 2, 3, 4]]

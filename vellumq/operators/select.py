@@ -34,26 +34,90 @@ def sentence_scores(scores: DataFrame) -> DataFrame:
     return rows.select("doc_id", "sent_no", "words", "score", F.when(F.col("score") > 0, F.col("at")).alias("strongest"), "strength")
 
 
-def scored_sentences(documents: DataFrame, floor: float = -15.0) -> DataFrame:
-    """doc_id, sent_no, words, score, strongest, strength: as sentence_scores of bigram_scores, but strength has scores above 0 only.
+def small_words(documents: DataFrame) -> DataFrame:
+    """doc_id, sents (words, small: at, before, word), firsts (before, n): of each sentence how many words it has and its small words but a first one; and, with one of some hundred texts, how often these have each word with one behind it.
+
+    Cut in Arrow batches: white space is ASCII's, as in the pattern of spaced words, which bytes.split() has too. What is a small word is worked out once for each form.
+    """
+    import re
+    from collections import Counter
+    from itertools import accumulate
+
+    import pyarrow as pa
+
+    letters, small = re.compile(rb"[^a-z]+"), frozenset(x.encode() for x in T.SMALL)
+
+    class Known(dict):
+        def __missing__(self, word: bytes) -> bool:
+            if len(self) > 1 << 18:
+                self.clear()
+            self[word] = out = letters.sub(b"", word) in small
+            return out
+
+    def listed(sizes: list[int], values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, *accumulate(sizes)], pa.int32()), values)
+
+    def told(texts: list[bytes], known: Known) -> list[pa.Array]:
+        sents, words, found, at, before, word, own = ([] for _ in range(7))
+        for text in texts:
+            n = len(words)
+            for sentence in text.split(b"\x01"):
+                if sentence.strip(b" "):
+                    w = sentence.split()
+                    places = [i for i, x in enumerate(w) if known[x] and i]
+                    words.append(len(w))
+                    found.append(len(places))
+                    at += places
+                    before += [w[i - 1] for i in places]
+                    word += [w[i] for i in places]
+                    own += w[:-1]
+            sents.append(len(words) - n)
+        count = Counter(own)
+        firsts = [len(count), *[0] * (len(texts) - 1)]
+        each = pa.StructArray.from_arrays([pa.array(at, pa.int32()), pa.array(before, pa.string()), pa.array(word, pa.string())], ["at", "before", "word"])
+        both = pa.StructArray.from_arrays([pa.array(words, pa.int64()), listed(found, each)], ["words", "small"])
+        return [listed(sents, both), listed(firsts, pa.StructArray.from_arrays([pa.array(list(count), pa.string()), pa.array(list(count.values()), pa.int64())], ["before", "n"]))]
+
+    def cut(batches):
+        known = Known()
+        for batch in batches:
+            for k in range(0, batch.num_rows, 256):
+                part = batch.slice(k, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), *told(part.column(1).cast(pa.binary()).to_pylist(), known)], names=["doc_id", "sents", "firsts"])
+
+    marked = F.lower(T.ends_marked(F.col("text")))
+    kind = documents.schema["doc_id"].dataType.simpleString()
+    return documents.select("doc_id", marked.alias("text")).mapInArrow(cut, f"doc_id {kind}, sents array<struct<words:bigint,small:array<struct<at:int,before:string,word:string>>>>, firsts array<struct<before:string,n:bigint>>")
+
+
+def small_scores(documents: DataFrame, floor: float = -15.0) -> tuple[DataFrame, DataFrame]:
+    """doc_id, sent_no, words of each sentence that has words; and doc_id, sent_no, at, score of each small word that isn't a sentence's first, scored as in bigram_scores.
 
     Only small words can score, so only they are exploded and joined with the scores of their pairs; a sentence's other words are its number of words.
     """
-    w = F.transform(T.spaced_words(F.col("s")), F.lower)
-    small = F.filter(F.transform("w", lambda x, i: F.struct(i.alias("at"), F.get(F.col("w"), i - 1).alias("before"), x.alias("word"))), lambda x: (x["at"] > 0) & F.regexp_replace(x["word"], "[^a-z]", "").isin(*T.SMALL))
-    split = sentences(documents).select("doc_id", "sent_no", w.alias("w"))
-    rows = settled(split.select("doc_id", "sent_no", F.size("w").cast("long").alias("words"), small.alias("small"), F.slice("w", 1, F.greatest(F.size("w") - 1, F.lit(0))).alias("first")))
-    found = rows.select("doc_id", "sent_no", F.explode("small").alias("x")).select("doc_id", "sent_no", "x.at", "x.before", "x.word")
+    rows = settled(small_words(documents))
+    each = rows.select("doc_id", F.posexplode("sents").alias("sent_no", "x"))
+    found = each.select("doc_id", "sent_no", F.explode("x.small").alias("x")).select("doc_id", "sent_no", "x.at", "x.before", "x.word")
     both = found.groupBy("before", "word").agg(F.count("*").alias("n"))
-    total = rows.select(F.explode("first").alias("before")).groupBy("before").agg(F.count("*").alias("total"))
+    total = rows.select(F.inline("firsts")).groupBy("before").agg(F.sum("n").alias("total"))
     lp = F.greatest(F.lit(floor), F.log(F.col("n") / F.col("total")))
     scores = both.join(total, "before").select("before", "word", F.round(T.word_score(F.col("word"), lp, F.lit(None).cast("string"), F.lit(floor)), 6).alias("score"))
-    told = found.join(scores, ["before", "word"]).select("doc_id", "sent_no", F.lit(None).cast("long").alias("words"), "at", "score")
+    return each.select("doc_id", "sent_no", "x.words").filter("words > 0"), found.join(scores, ["before", "word"]).select("doc_id", "sent_no", "at", "score")
+
+
+def scored_sentences(documents: DataFrame, floor: float = -15.0) -> DataFrame:
+    """doc_id, sent_no, words, score, strongest, strength: as sentence_scores of bigram_scores, but strength has scores above 0 only."""
+    rows, told = small_scores(documents, floor)
+    told = told.select("doc_id", "sent_no", F.lit(None).cast("long").alias("words"), "at", "score")
     bare = rows.select("doc_id", "sent_no", "words", F.lit(None).cast("int").alias("at"), F.lit(None).cast("double").alias("score"))
-    each = told.unionByName(bare).groupBy("doc_id", "sent_no").agg(F.max("words").alias("words"), F.coalesce(F.max("score"), F.lit(0.0)).alias("score"), F.max_by("at", F.when(F.col("score") > 0, F.struct("score", -F.col("at")))).alias("at"), F.sort_array(F.collect_list(F.when(F.col("score") > 0, F.col("score"))), asc=False).alias("strength"))
+    each = told.unionByName(bare).groupBy("doc_id", "sent_no").agg(F.max("words").alias("words"), F.coalesce(F.max("score"), F.lit(0.0)).alias("score"), F.max_by("at", F.when(F.col("score") > 0, F.struct("score", -F.col("at")))).alias("at"), _strength())
     return each.select("doc_id", "sent_no", "words", (F.col("score") + 0.0).alias("score"), F.when(F.col("score") > 0, F.col("at")).alias("strongest"), "strength")
 
 
+def _strength() -> Column:
+    return F.sort_array(F.collect_list(F.when(F.col("score") > 0, F.col("score"))), asc=False).alias("strength")
+
+
 def taken(rows: DataFrame, order: list[Column], weight: str, budget: Column | None = None, share: float | None = None) -> DataFrame:
     """Rows in order while the weight of those before is under the budget, or under a share of all rows' weight; the last may overshoot.
 
@@ -88,8 +152,42 @@ def strength_order() -> list[Column]:
     return [vector.asc(), F.col("words").asc(), F.col("doc_id").asc(), F.col("sent_no").asc()]
 
 
-def budget_top(sentences: DataFrame, share: float = 0.15) -> DataFrame:
-    return taken(sentences, strength_order(), "words", share=share)
+def _ending(sums: list[tuple[int, int]], share: float) -> tuple[int, float]:
+    """In which of the buckets (number, weight), the highest first, a share of all weight ends (-1: in none), and what is left of it there."""
+    left = share * sum(w for _, w in sums)
+    for b, w in sorted(sums, reverse=True):
+        if w >= left:
+            return b, left
+        left -= w
+    return -1, left
+
+
+def budget_top(sentences: DataFrame, share: float = 0.15, told: DataFrame | None = None) -> DataFrame:
+    """The sentences (with score, words, strength) in strength_order while the words of those before are under a share of all; the last may overshoot.
+
+    Sentences fall into buckets by their greatest score. The buckets' words (a row each, BUCKETS and one at most) say in which the budget ends: those above are taken whole, and that one alone is put in order.
+    told (doc_id, sent_no, score): the words' scores, where the sentences have no strength; only those of that bucket are given one then.
+    """
+    bucket = unused("bucket", sentences)
+    none = (F.col("words") == 0) & (F.col("score") <= 0)  # a vector without an entry comes first
+    at = F.when(none, BUCKETS).otherwise(F.least(F.floor(F.col("score") * 1000), F.lit(BUCKETS - 1))).cast("int")
+    rows = settled(sentences.withColumn(bucket, at))
+    last, left = _ending([(b, w or 0) for b, w in rows.groupBy(bucket).agg(F.sum("words")).collect()], share)
+    end = rows.filter(F.col(bucket) == last)
+    if told is not None:
+        keys = ["doc_id", "sent_no"]
+        end = end.join(told.join(end.select(*keys), keys, "left_semi").groupBy(*keys).agg(_strength()), keys, "left").withColumn("strength", F.coalesce("strength", F.array().cast("array<double>")))
+    end = taken(end, strength_order(), "words", budget=F.lit(left))
+    return rows.filter(F.col(bucket) > last).select(*sentences.columns).unionByName(end.select(*sentences.columns))
+
+
+def strongest_sentences(documents: DataFrame, share: float = 0.15) -> DataFrame:
+    """doc_id, sent_no, words, score: budget_top of scored_sentences, but no vector of scores is made for sentences whose greatest score decides."""
+    rows, told = small_scores(documents)
+    told = settled(told)
+    both = told.select("doc_id", "sent_no", F.lit(None).cast("long").alias("words"), "score").unionByName(rows.select("doc_id", "sent_no", "words", F.lit(None).cast("double").alias("score")))
+    each = both.groupBy("doc_id", "sent_no").agg(F.max("words").alias("words"), (F.coalesce(F.max("score"), F.lit(0.0)) + 0.0).alias("score"))
+    return budget_top(each, share, told)
 
 
 BUCKETS = 1 << 16

@@ -46,7 +46,7 @@ def sentence_strongest(spark, sf_dir):
 SELECT doc_id, CAST(sent_no AS INTEGER) AS sent_no, words FROM r WHERE coalesce(used, 0) < 0.15 * total""")
 def budget_top(spark, sf_dir):
     """The strongest sentences up to 15 % of all words."""
-    return C.budget_top(_scored(spark, sf_dir)).select("doc_id", "sent_no", "words")
+    return C.strongest_sentences(_docs(spark, sf_dir)).select("doc_id", "sent_no", "words")
 
 
 @query(rf"""WITH {S.SENT}, n AS (SELECT doc_id, sent_no, CAST(len(regexp_extract_all(s, '\S+')) AS BIGINT) AS words FROM sent),
