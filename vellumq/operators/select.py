@@ -166,11 +166,12 @@ def budget_top(sentences: DataFrame, share: float = 0.15, told: DataFrame | None
     """The sentences (with score, words, strength) in strength_order while the words of those before are under a share of all; the last may overshoot.
 
     Sentences fall into buckets by their greatest score. The buckets' words (a row each, BUCKETS and one at most) say in which the budget ends: those above are taken whole, and that one alone is put in order.
-    told (doc_id, sent_no, score): the words' scores, where the sentences have no strength; only those of that bucket are given one then.
+    told (doc_id, sent_no, score): the words' scores, where the sentences have no strength; only those of that bucket are given one then. Sentences without a score have it in their strength.
     """
     bucket = unused("bucket", sentences)
-    none = (F.col("words") == 0) & (F.col("score") <= 0)  # a vector without an entry comes first
-    at = F.when(none, BUCKETS).otherwise(F.least(F.floor(F.col("score") * 1000), F.lit(BUCKETS - 1))).cast("int")
+    score = F.col("score") if "score" in sentences.columns else F.greatest(F.coalesce(F.array_max("strength"), F.lit(0.0)), F.lit(0.0))
+    none = (F.col("words") == 0) & (score <= 0)  # a vector without an entry comes first
+    at = F.when(none, BUCKETS).otherwise(F.least(F.floor(score * 1000), F.lit(BUCKETS - 1))).cast("int")
     rows = settled(sentences.withColumn(bucket, at))
     last, left = _ending([(b, w or 0) for b, w in rows.groupBy(bucket).agg(F.sum("words")).collect()], share)
     end = rows.filter(F.col(bucket) == last)
