@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from vellumq.operators import anchored as N
 from vellumq.operators import targets as P
 from vellumq.operators import witness as V
-from vellumq.operators.graph import settled
 from vellumq.plans.aligned import _GAPS, _OPS, _round
 from vellumq.plans.pairs import _PAIRS
 from vellumq.plans.words import _docs
@@ -76,7 +75,7 @@ SELECT kind, count(*) AS planted, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM f
 def slips_found(spark, sf_dir):
     """How many planted slips of each kind an alignment with the text that was right finds."""
     docs = _docs(spark, sf_dir)
-    slips = settled(P.plant(docs))
+    slips = P.plant(docs)
     texts = P.planted_texts(docs, slips).filter("slips > 0").select("doc_id", F.col("text").alias("text_a"))
     pairs = texts.join(docs.select("doc_id", F.col("text").alias("text_b")), "doc_id").select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "text_a", "text_b")
     fixes = P.real_fixes(pairs).select(F.col("a").alias("file"), F.col("w1").alias("a"), F.col("w2").alias("b"))
