@@ -124,21 +124,24 @@ def segments(width: int) -> Column:
     return F.transform("chain", cut)
 
 
-def gaps(blocks: DataFrame) -> DataFrame:
-    """The blocks with ``gaps``, (i0, j0, wa, wb): what lies between the ``equal`` words and has words on both sides."""
+def gaps(blocks: DataFrame, lone: bool = False) -> DataFrame:
+    """The blocks with ``gaps``, (i0, j0, wa, wb): what lies between the ``equal`` words and has words on both sides; with ``lone`` also what has them on one side."""
     end = F.array(F.struct((F.col("i0") + F.size("wa")).alias("i"), (F.col("j0") + F.size("wb")).alias("j"), F.lit(0).alias("n")))
 
     def between(rows: Column) -> Column:
         after = lambda k, c: F.coalesce(F.get(rows, k - 1)[c] + F.get(rows, k - 1)["n"], F.col(f"{c}0"))
-        return F.filter(F.transform(rows, lambda x, k: F.struct(after(k, "i").alias("u"), after(k, "j").alias("v"), x["i"].alias("i"), x["j"].alias("j"))), lambda g: (g["i"] > g["u"]) & (g["j"] > g["v"]))
+        return F.filter(F.transform(rows, lambda x, k: F.struct(after(k, "i").alias("u"), after(k, "j").alias("v"), x["i"].alias("i"), x["j"].alias("j"))), lambda g: (g["i"] > g["u"]) | (g["j"] > g["v"]) if lone else (g["i"] > g["u"]) & (g["j"] > g["v"]))
+
+    def words(g: Column, c: str, u: str, i: str, first: str) -> Column:  # a slice would unpack all words for each gap
+        said = F.transform(F.sequence(g[u] - F.col(first), g[i] - F.col(first) - 1), lambda k: F.get(F.col(c), k))
+        return F.when(g[i] > g[u], said).otherwise(F.array().cast("array<string>")) if lone else said
 
-    words = lambda g, c, u, i, first: F.transform(F.sequence(g[u] - F.col(first), g[i] - F.col(first) - 1), lambda k: F.get(F.col(c), k))  # a slice would unpack all words for each gap
     found = blocks.withColumn("gaps", _with(F.concat("equal", end), between))
     return found.withColumn("gaps", F.transform("gaps", lambda g: F.struct(g["u"].alias("i0"), g["v"].alias("j0"), words(g, "wa", "u", "i", "i0").alias("wa"), words(g, "wb", "v", "j", "j0").alias("wb"))))
 
 
-def ends(blocks: DataFrame) -> DataFrame:
-    """a, b, i, j, n: equal words at the beginning of a block, and at its end where they are others."""
+def _trimmed(blocks: DataFrame) -> DataFrame:
+    """The blocks with la, lb, their words' numbers, and head and tail: how many words are equal at the beginning, and at the end where they are others."""
 
     def leading(x: Column, y: Column) -> Column:
         """How many first words agree."""
@@ -147,9 +150,29 @@ def ends(blocks: DataFrame) -> DataFrame:
         return F.when(first == 0, short).otherwise(F.least(short, first - 1))
 
     head = blocks.withColumn("head", leading(F.col("wa"), F.col("wb"))).withColumn("la", F.size("wa")).withColumn("lb", F.size("wb"))
-    rest = head.withColumn("tail", F.least(leading(F.reverse("wa"), F.reverse("wb")), F.least("la", "lb") - F.col("head")))
+    return head.withColumn("tail", F.least(leading(F.reverse("wa"), F.reverse("wb")), F.least("la", "lb") - F.col("head")))
+
+
+def ends(blocks: DataFrame) -> DataFrame:
+    """a, b, i, j, n: equal words at the beginning of a block, and at its end where they are others."""
     both = F.array(F.struct(F.col("i0").alias("i"), F.col("j0").alias("j"), F.col("head").alias("n")), F.struct((F.col("i0") + F.col("la") - F.col("tail")).alias("i"), (F.col("j0") + F.col("lb") - F.col("tail")).alias("j"), F.col("tail").alias("n")))
-    return rest.select(*PAIR, F.inline(both)).filter("n > 0")
+    return _trimmed(blocks).select(*PAIR, F.inline(both)).filter("n > 0")
+
+
+def changed(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:
+    """a, b, i1, i2, j1, j2, wa, wb: the operations but the equal ones, with their words. A round's gaps that have words on one side are changes already, and so is what the ends of the last gaps leave; as each is cut out of its block, no text is joined again."""
+    same, none, zero = F.col("wa") == F.col("wb"), F.array().cast("array<string>"), F.lit(0)
+    blocks = pairs.select(*PAIR, zero.alias("i0"), zero.alias("j0"), *(F.when(same, none).otherwise(F.col(c)).alias(c) for c in ("wa", "wb")))
+    both, out = (F.size("wa") > 0) & (F.size("wb") > 0), None
+    for width in rounds:
+        done = settled(gaps(chained(blocks, width).withColumn("equal", segments(width)), lone=True).select(*PAIR, "gaps"))
+        each = done.select(*PAIR, F.inline("gaps"))
+        lone, blocks = each.filter(~both), each.filter(both)
+        out = lone if out is None else out.unionByName(lone)
+    left = lambda c, n: F.slice(c, F.col("head") + 1, F.col(n) - F.col("head") - F.col("tail")).alias(c)
+    rest = _trimmed(blocks).filter("greatest(la, lb) > head + tail").select(*PAIR, *((F.col(c) + F.col("head")).alias(c) for c in ("i0", "j0")), left("wa", "la"), left("wb", "lb"))
+    end = lambda c, words: F.col(c) + F.size(words)
+    return out.unionByName(rest).select(*PAIR, F.col("i0").alias("i1"), end("i0", "wa").alias("i2"), F.col("j0").alias("j1"), end("j0", "wb").alias("j2"), "wa", "wb")
 
 
 def matched(pairs: DataFrame, rounds: tuple[int, ...] = ROUNDS) -> DataFrame:

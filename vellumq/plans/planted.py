@@ -76,8 +76,7 @@ def slips_found(spark, sf_dir):
     """How many planted slips of each kind an alignment with the text that was right finds."""
     docs = _docs(spark, sf_dir)
     slips = P.plant(docs)
-    texts = P.planted_texts(docs, slips).filter("slips > 0").select("doc_id", F.col("text").alias("text_a"))
-    pairs = texts.join(docs.select("doc_id", F.col("text").alias("text_b")), "doc_id").select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), "text_a", "text_b")
+    pairs = P.planted_texts(docs, slips).filter("slips > 0").select(F.col("doc_id").alias("a"), F.col("doc_id").alias("b"), F.col("text").alias("text_a"), F.col("was").alias("text_b"))
     fixes = P.real_fixes(pairs).select(F.col("a").alias("file"), F.col("w1").alias("a"), F.col("w2").alias("b"))
     return P.found_by_kind(slips, fixes)
 
