@@ -592,3 +592,18 @@ def test_names_that_clash(spark):
     assert kept.columns == docs.columns and sorted(x.doc_id for x in kept.collect()) == [0, 2, 3]
     assert repeats.passages(docs, 4, 2).count() > 0 and packing.pack_documents(docs).count() > 3 and private.redact(docs, private.Model([])).columns == docs.columns
     assert secrets.spans(docs.withColumn("end", F.lit(1)))[0].count() == 4
+
+
+def test_groups_of_the_index_hold_few_segments(spark):
+    """A reader takes a whole group of rows at once, so a group holds a segment or two, however many the task wrote."""
+    from urllib.parse import urlparse
+
+    import pyarrow.parquet as pq
+
+    from vellumq.llm import decontaminate
+
+    text = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(400_000)), lambda i: F.conv(F.xxhash64(i, "doc_id").cast("string"), 10, 36)), " ")
+    index = decontaminate.indexed(spark.range(1, 7, 1, 1).select(F.col("id").alias("doc_id")).withColumn("text", text))
+    files = [pq.ParquetFile(urlparse(f).path).metadata for f in index.inputFiles()]
+    assert index.count() == 6
+    assert max(m.row_group(k).num_rows for m in files for k in range(m.num_row_groups)) <= 2

@@ -209,9 +209,13 @@ def windows(texts: Iterable[tuple[object, str]], size: int, block_bytes: int) ->
         yield out, ids
 
 
+#: A segment is a row of some MB. Parquet's writer looks at its size after a hundred rows only, and a reader takes thousands of rows of a group at once; so groups are small and looked at row by row, and a task holds few segments, however many it has.
+GROUPS = {"parquet.block.size": str(8 << 20), "parquet.block.size.row.check.min": "1", "parquet.block.size.row.check.max": "1", "parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
+
+
 def indexed(documents: DataFrame) -> DataFrame:
     """The index as a table in the shared folder, segments numbered."""
-    return shared.written(build_index(documents).withColumn("segment", F.monotonically_increasing_id()), "postings")
+    return shared.written(build_index(documents).withColumn("segment", F.monotonically_increasing_id()), "postings", **GROUPS)
 
 
 def frequencies(index: DataFrame, vocabulary: list[int]) -> dict[int, int]:

@@ -25,11 +25,11 @@ def shared_dir(spark: SparkSession) -> str:
     return _own["dir"]
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a Parquet table in the shared folder, read again: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """The rows as a Parquet table in the shared folder, read again: cuts the lineage and survives lost executors. options: the writer's."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/vellumq-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     atexit.register(_remove, spark, path)
     return spark.read.schema(df.schema).parquet(path)
 
