@@ -43,3 +43,35 @@ def test_small_ones(spark):
     assert Z.signature("Your servant, J. O.") == ("Your servant,", "J. O.") and Z.signature("plain") == ("plain", "")
     rows = Z.partners(spark.createDataFrame([("g", 1, "a"), ("g", 2, "b")], "g string, n int, k string"), "g", "n", "k")
     assert {(x.k, x.before, x.after) for x in rows.collect()} == {("a", None, "b"), ("b", "a", None)}
+
+
+def test_spread_by_brute_force():
+    from vellumq.operators import align as A
+
+    def plain(source, target):
+        owner, at = [0] * len(target), 0
+        for j, word in enumerate(target):
+            likeness = [A.ratio(source[i].lower(), word.lower()) for i in range(at, len(source))]
+            if likeness and max(likeness) >= 0.5:
+                at += likeness.index(max(likeness))
+            owner[j] = min(at, len(source) - 1)
+        return [" ".join(w for w, o in zip(target, owner, strict=True) if o == i) for i in range(len(source))]
+
+    r = random.Random(9)
+    word = lambda: r.choice(["", "A", "né"]) + "".join(r.choice("abcde") for _ in range(r.randint(1, 7)))
+    for _ in range(300):
+        source, target = ([word() for _ in range(r.randint(1, 9))] for _ in range(2))
+        target += r.sample(source, r.randint(0, len(source)))
+        assert Z.spread(source, target) == plain(source, target)
+    long = ["a" * 300, "a" * 250, "ab" * 150]
+    assert Z.spread(long, long[::-1]) == plain(long, long[::-1])
+
+
+def test_texts_are_parsed_once(monkeypatch):
+    """A source and its outcome are read once each, and no word is parsed by itself."""
+    seen, own = [], Z.E.fromstring
+    monkeypatch.setattr(Z.E, "fromstring", lambda text: seen.append(text) or own(text))
+    xml, review = Z.as_xml(" ".join(f"w{i} loue a &amp; b" for i in range(99)).replace("&amp;", "&")), " ".join(f"w{i} love a \\& b" for i in range(99))
+    out, found = Z.synced(xml, review)
+    assert all(Z.checks(xml, review, out).values()) and len(found) == 99
+    assert len(seen) <= 3

@@ -10,6 +10,7 @@ import re
 import xml.etree.ElementTree as E
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,6 +23,7 @@ from vellumq.operators.graph import dealt
 VOWELS = "aeiouy"
 
 
+@lru_cache(1 << 18)
 def machine(word: str) -> str:
     """The unambiguous letterform rules, with the printed word's capitals."""
     w = word.lower()
@@ -58,18 +60,32 @@ def spread(source: list[str], target: list[str]) -> list[str]:
     """The target words of a cluster, given to its source words: those that are alike keep each other in order, the rest go to the word before them, or to the first. A source word without any is left out."""
     owner = [0] * len(target)
     at = 0
-    for j, word in enumerate(target):
-        likeness = [A.ratio(source[i].lower(), word.lower()) for i in range(at, len(source))]
-        if likeness and max(likeness) >= 0.5:
-            at += likeness.index(max(likeness))
+    lowered = [w.lower() for w in source]
+    for j, word in enumerate(w.lower() for w in target):
+        best, where = 0.0, at
+        for i in range(at, len(lowered)):
+            if lowered[i] == word and len(word) < 200:  # of longer ones the library leaves common letters out
+                where = i
+                break
+            bound = A.at_most(lowered[i], word)
+            if bound >= 0.5 and bound > best and (now := A.word_ratio(lowered[i], word)) >= 0.5 and now > best:
+                best, where = now, i
+        at = where
         owner[j] = min(at, len(source) - 1)
-    return [" ".join(w for w, o in zip(target, owner, strict=True) if o == i) for i in range(len(source))]
+    readings: list[list[str]] = [[] for _ in source]
+    for w, o in zip(target, owner, strict=True):
+        readings[o].append(w)
+    return [" ".join(words) for words in readings]
 
 
-def decided(source: list[str], target: list[str]) -> list[Decision]:
-    """Decisions that make the source's words read as the target's. Words that the target adds belong to the word before."""
+def compared(source: list[str], target: list[str]) -> list[tuple[str, int, int, int, int]]:
+    return A.opcodes([machine(w).lower() for w in source], [w.lower() for w in target])
+
+
+def decided(source: list[str], target: list[str], found: list[tuple[str, int, int, int, int]] | None = None) -> list[Decision]:
+    """Decisions that make the source's words read as the target's. Words that the target adds belong to the word before. found: their opcodes, if they are known."""
     readings: list[str] = list(source)
-    for op, i1, i2, j1, j2 in A.opcodes([machine(w).lower() for w in source], [w.lower() for w in target]):
+    for op, i1, i2, j1, j2 in compared(source, target) if found is None else found:
         if op == "equal":
             readings[i1:i2] = target[j1:j2]
         elif op == "insert":
@@ -88,19 +104,31 @@ def decided(source: list[str], target: list[str]) -> list[Decision]:
     return out
 
 
+@lru_cache(2)
+def _tokens(xml: str) -> tuple[M.Token, ...]:
+    """A source and what came of it are read several times each."""
+    return tuple(M.tokenised(E.fromstring(xml)))
+
+
+@lru_cache(1)
+def _reviewed(review: str) -> tuple[str, ...]:
+    """The words of a review."""
+    return tuple(w for w, kind, _ in M.parse_review(review).body if kind == "w" and re.match(r"\w", w))
+
+
 def synced(xml: str, review: str) -> tuple[str, list[Decision]]:
     """The source with its decisions, and these. Notes stay as they are."""
-    tokens = list(M.tokenised(E.fromstring(xml)))
+    tokens = _tokens(xml)
     places = [i for i, t in enumerate(tokens) if t.kind == "word" and not t.in_note]
     source = [M.reading(tokens[i], "orig") for i in places]
-    target = [w for w, kind, _ in M.parse_review(review).body if kind == "w" and re.match(r"\w", w)]
+    target = list(_reviewed(review))
     lead: list[str] = []
     # words that the review adds before the first word are given to it, in front
-    found = A.opcodes([machine(w).lower() for w in source], [w.lower() for w in target])
+    found: list | None = compared(source, target)
     if found and found[0][0] == "insert" and source:
         lead = target[: found[0][4]]
-        target = target[found[0][4] :]
-    decisions = decided(source, target)
+        target, found = target[found[0][4] :], None
+    decisions = decided(source, target, found)
     if lead:
         old = decisions[0] if decisions and decisions[0].at == 0 else Decision(0, source[0], None, None, "emendation")
         own = old.editor if old.editor is not None else old.auto or source[0]
@@ -112,7 +140,7 @@ def synced(xml: str, review: str) -> tuple[str, list[Decision]]:
             regs = [{"text": d.auto, "resp": "#auto", "type": None if d.editor is not None else d.type}] if d.auto is not None else []
             regs += [{"text": d.editor, "resp": "#editor", "type": d.type}] if d.editor is not None else []
             out.append(M.choice_xml(d.orig, regs))
-        elif i in places and t.regs:
+        elif t.regs and t.kind == "word" and not t.in_note:
             out.append(M._escaped(M.reading(t, "orig")))  # an older decision that the review takes back
         else:
             out.append(t.text)
@@ -122,7 +150,7 @@ def synced(xml: str, review: str) -> tuple[str, list[Decision]]:
 def words_of(xml: str, layer: str) -> list[str]:
     """Words of a layer's text, without notes."""
     found = []
-    for t in M.tokenised(E.fromstring(xml)):
+    for t in _tokens(xml):
         if t.kind == "word" and not t.in_note:
             chosen = next((r for r in t.regs if r["resp"] == "#editor"), t.regs[0] if t.regs else None) if layer == "reg" else None
             found += re.findall(r"\w+(?:['’]\w+)*", chosen["text"] if chosen else M.reading(t, "orig"))
@@ -131,7 +159,7 @@ def words_of(xml: str, layer: str) -> list[str]:
 
 def checks(xml: str, review: str, out: str) -> dict[str, bool]:
     """What must hold of a synced text."""
-    target = [w for w, kind, _ in M.parse_review(review).body if kind == "w" and re.match(r"\w", w)]
+    target = _reviewed(review)
     return {
         "reads as reviewed": words_of(out, "reg") == [x for w in target for x in re.findall(r"\w+(?:['’]\w+)*", w)],
         "printed words kept": words_of(out, "orig") == words_of(xml, "orig"),
